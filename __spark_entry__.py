@@ -38,8 +38,16 @@ V7_NUM = ["Recommended_PO_Qty", "Vendor_Total_Exposure", "CalculatedSS_Purchasin
           "Recommended_PO_Qty_Optimized"]
 
 
+_RUNS: dict[tuple[int, str], LedgerRun] = {}
+
+
 def _run(spark: SparkSession, sf_dir: str) -> LedgerRun:
-    return LedgerRun(load_testdata(spark, sf_dir), testdata_params())
+    """One run per (session, data dir): the shared intermediates (views 2, 4,
+    5 and safety stock) are computed once for all registered queries."""
+    key = (id(spark), sf_dir)
+    if key not in _RUNS:
+        _RUNS[key] = LedgerRun(load_testdata(spark, sf_dir), testdata_params())
+    return _RUNS[key]
 
 
 def _norm(df: DataFrame, numeric: list[str]) -> DataFrame:

@@ -1,17 +1,24 @@
 """The eight composed outputs, each built once per run.
 
 The source re-inlines every upstream view (view 7 expands views 5 and 4
-again).  Here each output is one lazy DataFrame built once; outputs with two
-consumers (view 2 feeds views 4 and 5's chain; view 5 feeds views 6 and 7)
-can be cut from their lineage with ``checkpoint()`` into the cluster's
-shared checkpoint folder, so a lost executor recomputes from the checkpoint
-instead of from the sources.
+again, view 4 reads view 2 twice).  Here each output is one DataFrame built
+once, and the outputs with several consumers -- view 2 (both sides of the
+view-4 re-attach join), view 4 (views 5 and 7), view 5 (views 6 and 7) and
+safety stock (views 6 and 7) -- are materialised once per run:
+
+  materialize="persist"     MEMORY_AND_DISK cache; a lost executor's blocks
+                            are recomputed from lineage.
+  materialize="checkpoint"  written to the cluster's shared
+                            ``spark.checkpoint.dir``; lineage is cut, so a
+                            lost executor re-reads instead of recomputing.
+  materialize=None          fully lazy (each consumer recomputes).
 """
 
 from __future__ import annotations
 
 import functools
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from stockpulse.operators import action, buyer, demand, overlay, quarantine, risk, safety, suppress
@@ -34,18 +41,31 @@ class LedgerRun:
     """All outputs of one run over one snapshot of the sources."""
 
     def __init__(self, tables: dict[str, DataFrame], params: Params,
-                 checkpoint: bool = False):
+                 materialize: str | None = "persist"):
+        if materialize not in (None, "persist", "checkpoint"):
+            raise ValueError(f"materialize={materialize!r}")
         self.t = tables
         self.p = params
-        self.checkpoint = checkpoint
+        self.materialize = materialize
+        self._held: list[DataFrame] = []
 
     def _cut(self, df: DataFrame) -> DataFrame:
-        if not self.checkpoint:
+        if self.materialize is None:
+            return df
+        if self.materialize == "persist":
+            df = df.persist(StorageLevel.MEMORY_AND_DISK)
+            self._held.append(df)
             return df
         if checkpoint_dir(df.sparkSession) is None:
-            raise RuntimeError("checkpoint=True needs spark.checkpoint.dir")
+            raise RuntimeError("materialize='checkpoint' needs spark.checkpoint.dir")
         return df.checkpoint(eager=True)
 
+    def release(self) -> None:
+        """Drop persisted intermediates."""
+        for df in self._held:
+            df.unpersist()
+        self._held.clear()
+
     @functools.cached_property
     def v1(self) -> DataFrame:
         """Demand ledger (31 columns)."""
@@ -69,7 +89,7 @@ class LedgerRun:
     @functools.cached_property
     def v4(self) -> DataFrame:
         """Extended ledger (35 columns)."""
-        return overlay.extended_ledger(self.v2_full, self.v3, self.p)
+        return self._cut(overlay.extended_ledger(self.v2_full, self.v3, self.p))
 
     @functools.cached_property
     def v5(self) -> DataFrame:
@@ -80,8 +100,8 @@ class LedgerRun:
     def vs(self) -> DataFrame:
         """Safety stock (16 columns)."""
         t = self.t
-        return safety.safety_stock_calc(t["ss_items"], t["receipts"], t["receipt_lines"],
-                                        t["consumption"], self.p)
+        return self._cut(safety.safety_stock_calc(t["ss_items"], t["receipts"],
+                                                  t["receipt_lines"], t["consumption"], self.p))
 
     @functools.cached_property
     def v6(self) -> DataFrame:
