@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from stockpulse.functions import norm_key, str_eq
 from stockpulse.operators.demand import BEG_BAL
+from stockpulse.operators.prefix import prefix_sums
 from stockpulse.operators.quarantine import VIEW_LEVEL
 from stockpulse.operators.suppress import ST_BEGBAL
 from stockpulse.params import Params
@@ -39,7 +40,7 @@ def supply_schedule(pipe: DataFrame, p: Params) -> DataFrame:
             .agg(F.sum("QTY_ON_HAND").alias("WFQ_Qty")))
 
 
-def allocate_supply(dem: DataFrame, supply: DataFrame, p: Params) -> DataFrame:
+def allocate_supply(dem: DataFrame, supply: DataFrame, p: Params, split: bool = True) -> DataFrame:
     """W2 + W3 + W5 in one pass over a per-item timeline (rewrite R2).
 
     Demand rows and supply rows are unioned and ordered per item by
@@ -51,6 +52,10 @@ def allocate_supply(dem: DataFrame, supply: DataFrame, p: Params) -> DataFrame:
       Stockout_Seq MIN Demand_Seq whose adjusted balance is <= 0.
     Influx is the cumulative supply on demand rows at/after the stockout.
     Linear per item, instead of the demand x supply product of the plain form.
+
+    ``split=True`` computes the running sums with the skew-safe two-phase
+    prefix (a hot item spans many tasks) and the stockout as a per-item
+    partial aggregate; False uses single per-item windows.
     """
     ci = p.case_insensitive
     d = dem.withColumns({"_k": norm_key(F.col("ITEMNMBR"), ci),
@@ -60,19 +65,26 @@ def allocate_supply(dem: DataFrame, supply: DataFrame, p: Params) -> DataFrame:
                       F.col("Estimated_Release_Date").cast("timestamp_ntz").alias("_t"),
                       F.lit(0).alias("_kind"), F.col("WFQ_Qty").cast("decimal(38,5)").alias("_qty"))
     u = d.unionByName(s, allowMissingColumns=True)
-    w = Window.partitionBy("_k").orderBy(
-        F.col("_t").asc_nulls_first(), F.col("_kind").asc_nulls_first(),
-        F.col("ORDERNUMBER").asc_nulls_first(),
-        F.coalesce(F.col("Unified_Value"), F.lit("")).asc_nulls_first(),
-        F.col("Seq").asc_nulls_first())
-    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    u = u.withColumns({
-        "Demand_Seq": F.sum(F.col("_kind")).over(upto),
-        "_cum": F.coalesce(F.sum(F.col("_qty")).over(upto), F.lit(0)),
-    })
-    u = u.withColumn("Stockout_Seq", F.min(
-        F.when((F.col("_kind") == 1) & (F.col("Adjusted_Running_Balance") <= 0),
-               F.col("Demand_Seq"))).over(Window.partitionBy("_k")))
+    order = [F.col("_t").asc_nulls_first(), F.col("_kind").asc_nulls_first(),
+             F.col("ORDERNUMBER").asc_nulls_first(),
+             F.coalesce(F.col("Unified_Value"), F.lit("")).asc_nulls_first(),
+             F.col("Seq").asc_nulls_first()]
+    stock = F.when((F.col("_kind") == 1) & (F.col("Adjusted_Running_Balance") <= 0),
+                   F.col("Demand_Seq"))
+    if split:
+        u = prefix_sums(u, "_k", {"_s_day": F.to_date("_t")}, order,
+                        {"Demand_Seq": F.col("_kind"), "_cum": F.col("_qty")})
+        u = u.withColumn("_cum", F.coalesce(F.col("_cum"), F.lit(0)))
+        so = u.groupBy(F.col("_k").alias("_so_k")).agg(F.min(stock).alias("Stockout_Seq"))
+        u = u.join(so, u._k == so._so_k, "left").drop("_so_k")
+    else:
+        upto = Window.partitionBy("_k").orderBy(*order) \
+            .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        u = u.withColumns({
+            "Demand_Seq": F.sum(F.col("_kind")).over(upto),
+            "_cum": F.coalesce(F.sum(F.col("_qty")).over(upto), F.lit(0)),
+        })
+        u = u.withColumn("Stockout_Seq", F.min(stock).over(Window.partitionBy("_k")))
     gate = F.col("Stockout_Seq").isNotNull() & (F.col("Demand_Seq") >= F.col("Stockout_Seq"))
     return (u.where(F.col("_kind") == 1)
              .withColumn("Ledger_WFQ_Influx", F.when(gate, F.col("_cum")).otherwise(F.lit(0)))
@@ -126,8 +138,9 @@ V4_COLUMNS = ["ITEMNMBR", "ItemDescription", "UOM", "ORDERNUMBER", "Construct",
               "WFQ_Extended_Status"]
 
 
-def extended_ledger(v2full: DataFrame, pipe: DataFrame, p: Params) -> DataFrame:
+def extended_ledger(v2full: DataFrame, pipe: DataFrame, p: Params, split: bool = True) -> DataFrame:
     """V4: 35 columns."""
     led = demand_ledger_frame(v2full)
-    ext = extended_status(allocate_supply(demand_rows(led, p), supply_schedule(pipe, p), p))
+    ext = extended_status(allocate_supply(demand_rows(led, p), supply_schedule(pipe, p), p,
+                                          split=split))
     return final_ledger(led, ext, p).select(*V4_COLUMNS)

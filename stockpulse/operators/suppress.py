@@ -10,6 +10,7 @@ from pyspark.sql.types import DecimalType
 
 from stockpulse.functions import norm_key, str_eq, try_date, try_decimal, ts_lit
 from stockpulse.operators.demand import BEG_BAL, V1_COLUMNS, asc
+from stockpulse.operators.prefix import join_segments, segment_window, segments_before
 from stockpulse.params import Params
 
 # FIXED VALUES: demand status labels
@@ -82,15 +83,27 @@ def classify_demand(df: DataFrame, p: Params) -> DataFrame:
     })
 
 
+def _ledger_flag():
+    return F.when(F.col("Is_BegBal_Row") == 1, 0).otherwise(1)
+
+
+def _ledger_date(p: Params):
+    return F.coalesce(F.col("DUEDATE"), try_date(F.col("Date_Expiry"), p.date_formats),
+                      F.col("MRP_IssueDate").cast("date"), F.lit(NO_DATE))
+
+
+def ledger_order(p: Params) -> list:
+    """I8 order: Beg Bal first, then effective date, order, audit key, status
+    (then tie-breakers, so the order is total)."""
+    return [_ledger_flag().asc_nulls_first(),
+            _ledger_date(p).asc_nulls_first(), F.col("ORDERNUMBER").asc_nulls_first(),
+            F.coalesce(F.col("Unified_Value"), F.lit("")).asc_nulls_first(),
+            F.coalesce(F.col("STSDESCR"), F.lit("")).asc_nulls_first(), *asc(*SEQ_TIEBREAK)]
+
+
 def ledger_window(p: Params) -> Window:
-    """I8 order: Beg Bal first, then effective date, order, audit key, status."""
-    eff_date = F.coalesce(F.col("DUEDATE"), try_date(F.col("Date_Expiry"), p.date_formats),
-                          F.col("MRP_IssueDate").cast("date"), F.lit(NO_DATE))
-    return Window.partitionBy(norm_key(F.col("ITEMNMBR"), p.case_insensitive)).orderBy(
-        F.when(F.col("Is_BegBal_Row") == 1, 0).otherwise(1).asc_nulls_first(),
-        eff_date.asc_nulls_first(), F.col("ORDERNUMBER").asc_nulls_first(),
-        F.coalesce(F.col("Unified_Value"), F.lit("")).asc_nulls_first(),
-        F.coalesce(F.col("STSDESCR"), F.lit("")).asc_nulls_first(), *asc(*SEQ_TIEBREAK))
+    return Window.partitionBy(norm_key(F.col("ITEMNMBR"), p.case_insensitive)) \
+        .orderBy(*ledger_order(p))
 
 
 def adjusted_balance(df: DataFrame, p: Params) -> DataFrame:
@@ -118,6 +131,64 @@ def adjusted_balance(df: DataFrame, p: Params) -> DataFrame:
                           (F.col("RB_Anchor") + running).cast(D18_6))
 
 
+def adjusted_balance_split(df: DataFrame, p: Params) -> DataFrame:
+    """I8-I10, skew-safe: same result as ``adjusted_balance`` without putting
+    a hot item into one task (see ``operators.prefix``).
+
+    Segments are (item, Beg Bal flag, effective date): contiguous runs of the
+    ledger order.  Per segment: local sequence, local lag, local running sum
+    of adjusted deltas with the segment's first row counted 0.  Per item,
+    over its segments: the sequence offset, the balance before the segment
+    (to finish the first row's delta), the running total before the segment
+    and the anchor (first balance of the item).
+    """
+    order = ledger_order(p)
+    seg = ["_s_flag", "_s_date"]
+    d = df.withColumns({"_k": norm_key(F.col("ITEMNMBR"), p.case_insensitive),
+                        "_s_flag": _ledger_flag(), "_s_date": _ledger_date(p)})
+    ws = segment_window("_k", seg, order)
+    rb = try_decimal(F.col("Running_Balance"), 18, 6)
+    zero = F.lit(0).cast(D18_6)
+    d = d.withColumns({"RB_Num": rb, "_lseq": F.row_number().over(ws),
+                       "_llag": F.lag(rb).over(ws)})
+    d = d.withColumn("_ladj", F.when(F.col("_lseq") == 1, zero)
+                     .when(F.col("Is_Suppressed") == 1, zero)
+                     .otherwise(F.coalesce(F.col("RB_Num") - F.col("_llag"), zero)))
+    d = d.withColumn("_lrun", F.sum("_ladj").over(
+        ws.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    segs = d.groupBy("_k", *seg).agg(
+        F.count(F.lit(1)).alias("_n"), F.sum("_ladj").alias("_ltot"),
+        F.min_by("RB_Num", "_lseq").alias("_first_rb"), F.max_by("RB_Num", "_lseq").alias("_last_rb"),
+        F.min_by("Is_Suppressed", "_lseq").alias("_first_sup"))
+    wk = Window.partitionBy("_k").orderBy(*[F.col(c).asc_nulls_first() for c in seg])
+    before = segments_before("_k", seg)
+    segs = segs.withColumns({"_prev_last": F.lag("_last_rb").over(wk),
+                             "_segno": F.row_number().over(wk),
+                             "_anchor": F.first("_first_rb").over(wk)})
+    segs = segs.withColumn("_first_adj", F.when(F.col("_segno") == 1, zero)
+                           .when(F.col("_first_sup") == 1, zero)
+                           .otherwise(F.coalesce(F.col("_first_rb") - F.col("_prev_last"), zero)))
+    segs = segs.withColumn("_tot", F.col("_first_adj") + F.col("_ltot"))
+    segs = segs.select("_k", *seg, "_prev_last", "_anchor", "_first_adj",
+                       F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off_n"),
+                       F.coalesce(F.sum("_tot").over(before), zero).alias("_off_sum"))
+    j = join_segments(d, segs, "_k", seg)
+    first_row = F.col("_lseq") == 1
+    j = j.withColumns({
+        "Seq": F.col("_lseq") + F.col("_off_n"),
+        "RB_Delta": F.when(first_row, F.col("RB_Num") - F.col("_prev_last"))
+                     .otherwise(F.col("RB_Num") - F.col("_llag")),
+        "RB_Anchor": F.col("_anchor"),
+    })
+    j = j.withColumn("RB_Delta_Adjusted",
+                     F.when(F.col("Seq") == 1, zero).when(F.col("Is_Suppressed") == 1, zero)
+                      .otherwise(F.coalesce(F.col("RB_Delta"), zero)))
+    running = F.col("_off_sum") + F.col("_first_adj") + F.col("_lrun")
+    j = j.withColumn("Adjusted_Running_Balance", (F.col("RB_Anchor") + running).cast(D18_6))
+    return j.drop("_k", *seg, "_lseq", "_llag", "_ladj", "_lrun", "_prev_last", "_anchor",
+                  "_first_adj", "_off_n", "_off_sum")
+
+
 V2_COLUMNS = ["ITEMNMBR", "ItemDescription", "UOM", "ORDERNUMBER", "Construct", "DUEDATE",
               "Expiry_Dates", "Date_Expiry", "BEG_BAL", "Deductions", "Expiry", "POs",
               "Running_Balance", "Adjusted_Running_Balance", "MRP_IssueDate", "WCID_From_MO",
@@ -128,8 +199,12 @@ V2_COLUMNS = ["ITEMNMBR", "ItemDescription", "UOM", "ORDERNUMBER", "Construct",
               "Unified_Value"]
 
 
-def suppressed_ledger_full(v1: DataFrame, bin_stock: DataFrame, p: Params) -> DataFrame:
-    """V2 with internal columns (Seq, Is_BegBal_Row) kept for later stages."""
+def suppressed_ledger_full(v1: DataFrame, bin_stock: DataFrame, p: Params,
+                           split: bool = True) -> DataFrame:
+    """V2 with internal columns (Seq, Is_BegBal_Row) kept for later stages.
+
+    ``split=True`` uses the skew-safe two-phase balance; False the single
+    per-item window (cheaper when no item is hot)."""
     assert v1.columns == V1_COLUMNS, v1.columns
-    led = with_inventory(v1, wc_inventory(bin_stock, p), p)
-    return adjusted_balance(classify_demand(led, p), p)
+    led = classify_demand(with_inventory(v1, wc_inventory(bin_stock, p), p), p)
+    return adjusted_balance_split(led, p) if split else adjusted_balance(led, p)

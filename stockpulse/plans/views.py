@@ -41,12 +41,13 @@ class LedgerRun:
     """All outputs of one run over one snapshot of the sources."""
 
     def __init__(self, tables: dict[str, DataFrame], params: Params,
-                 materialize: str | None = "persist"):
+                 materialize: str | None = "persist", split: bool = True):
         if materialize not in (None, "persist", "checkpoint"):
             raise ValueError(f"materialize={materialize!r}")
         self.t = tables
         self.p = params
         self.materialize = materialize
+        self.split = split  # skew-safe two-phase prefixes for per-item orders
         self._held: list[DataFrame] = []
 
     def _cut(self, df: DataFrame) -> DataFrame:
@@ -74,7 +75,8 @@ class LedgerRun:
     @functools.cached_property
     def v2_full(self) -> DataFrame:
         """View 2 plus internal columns (Seq, flags)."""
-        return self._cut(suppress.suppressed_ledger_full(self.v1, self.t["bin_stock"], self.p))
+        return self._cut(suppress.suppressed_ledger_full(self.v1, self.t["bin_stock"], self.p,
+                                                                  split=self.split))
 
     @functools.cached_property
     def v2(self) -> DataFrame:
@@ -89,7 +91,7 @@ class LedgerRun:
     @functools.cached_property
     def v4(self) -> DataFrame:
         """Extended ledger (35 columns)."""
-        return self._cut(overlay.extended_ledger(self.v2_full, self.v3, self.p))
+        return self._cut(overlay.extended_ledger(self.v2_full, self.v3, self.p, split=self.split))
 
     @functools.cached_property
     def v5(self) -> DataFrame:

@@ -1,7 +1,8 @@
 """Same result under different shuffle widths (window orders are made total)."""
 
 from stockpulse.plans import LedgerRun
-from stockpulse.sources.testdata import load_testdata, testdata_params
+from stockpulse.sources.testdata import load_testdata
+from stockpulse.sources.testdata import testdata_params as td_params
 
 from conftest import SF_SMALL
 
@@ -12,7 +13,7 @@ def test_v4_same_under_partitions_1_and_7(spark):
     try:
         for n in ("1", "7"):
             spark.conf.set("spark.sql.shuffle.partitions", n)
-            run = LedgerRun(load_testdata(spark, SF_SMALL), testdata_params(), materialize=None)
+            run = LedgerRun(load_testdata(spark, SF_SMALL), td_params(), materialize=None)
             results.append(run.v4.collect())
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
