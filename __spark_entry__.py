@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import sys
+import tempfile
 from collections.abc import Callable
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F  # noqa: E402
 import oracle_sql as O  # noqa: E402
 from stockpulse.operators import (  # noqa: E402
     action, buyer, demand, overlay, risk, safety, suppress)
-from stockpulse.plans import LedgerRun  # noqa: E402
+from stockpulse.plans import LedgerRun, checkpoint_dir  # noqa: E402
 from stockpulse.plans import reports as R  # noqa: E402
 from stockpulse.sources.testdata import load_testdata, testdata_params  # noqa: E402
 
@@ -46,7 +47,10 @@ def _run(spark: SparkSession, sf_dir: str) -> LedgerRun:
     5 and safety stock) are computed once for all registered queries."""
     key = (id(spark), sf_dir)
     if key not in _RUNS:
-        _RUNS[key] = LedgerRun(load_testdata(spark, sf_dir), testdata_params())
+        # the session's checkpoint folder; a private one only when it names none
+        checkpoint_dir(spark, fallback=tempfile.mkdtemp(prefix="stockpulse-ckpt-"))
+        _RUNS[key] = LedgerRun(load_testdata(spark, sf_dir), testdata_params(),
+                               materialize="checkpoint")
     return _RUNS[key]
 
 

@@ -2,9 +2,11 @@
 
 The source re-inlines every upstream view (view 7 expands views 5 and 4
 again, view 4 reads view 2 twice).  Here each output is one DataFrame built
-once, and the outputs with several consumers -- view 2 (both sides of the
-view-4 re-attach join), view 4 (views 5 and 7), view 5 (views 6 and 7) and
-safety stock (views 6 and 7) -- are materialised once per run:
+once, and the outputs with several consumers -- view 1 (both branches of the
+skew-safe balance), view 2 (both sides of the view-4 re-attach join), view 3
+(supply timeline and PO timing), view 4 (views 5 and 7), view 5 (views 6
+and 7), safety stock (views 6 and 7), and views 6 and 7 (the report
+queries) -- are materialised once per run:
 
   materialize="persist"     MEMORY_AND_DISK cache; a lost executor's blocks
                             are recomputed from lineage.
@@ -12,6 +14,11 @@ safety stock (views 6 and 7) -- are materialised once per run:
                             ``spark.checkpoint.dir``; lineage is cut, so a
                             lost executor re-reads instead of recomputing.
   materialize=None          fully lazy (each consumer recomputes).
+  materialize="auto"        (default) checkpoint when the session names a
+                            checkpoint folder, else persist.
+
+Checkpointing also truncates the logical plan: later stages plan against a
+scan of the checkpoint instead of re-analysing the whole upstream tree.
 """
 
 from __future__ import annotations
@@ -41,9 +48,12 @@ class LedgerRun:
     """All outputs of one run over one snapshot of the sources."""
 
     def __init__(self, tables: dict[str, DataFrame], params: Params,
-                 materialize: str | None = "persist", split: bool = True):
-        if materialize not in (None, "persist", "checkpoint"):
+                 materialize: str | None = "auto", split: bool = True):
+        if materialize not in (None, "auto", "persist", "checkpoint"):
             raise ValueError(f"materialize={materialize!r}")
+        if materialize == "auto":
+            spark = next(iter(tables.values())).sparkSession
+            materialize = "checkpoint" if checkpoint_dir(spark) else "persist"
         self.t = tables
         self.p = params
         self.materialize = materialize
@@ -69,8 +79,8 @@ class LedgerRun:
 
     @functools.cached_property
     def v1(self) -> DataFrame:
-        """Demand ledger (31 columns)."""
-        return demand.demand_ledger(self.t, self.p)
+        """Demand ledger (31 columns); read twice by the skew-safe balance."""
+        return self._cut(demand.demand_ledger(self.t, self.p))
 
     @functools.cached_property
     def v2_full(self) -> DataFrame:
@@ -85,8 +95,8 @@ class LedgerRun:
 
     @functools.cached_property
     def v3(self) -> DataFrame:
-        """Quarantine pipe (12 columns)."""
-        return quarantine.quarantine_pipe(self.t["lots"], self.t["item_master"], self.p)
+        """Quarantine pipe (12 columns); feeds the supply timeline and PO timing."""
+        return self._cut(quarantine.quarantine_pipe(self.t["lots"], self.t["item_master"], self.p))
 
     @functools.cached_property
     def v4(self) -> DataFrame:
@@ -107,13 +117,18 @@ class LedgerRun:
 
     @functools.cached_property
     def v6(self) -> DataFrame:
-        """Run risk (12 columns)."""
-        return risk.run_risk(self.v5, self.vs, self.p)
+        """Run risk (12 columns); feeds reports P1-P3 and check D2."""
+        return self._cut(risk.run_risk(self.v5, self.vs, self.p))
+
+    @functools.cached_property
+    def _v7_rows(self) -> DataFrame:
+        return self._cut(buyer.buyer_control(self.v5, self.vs, self.v4, self.t["receipt_lines"],
+                                             self.p, sort=False))
 
     def v7(self, sort: bool = True) -> DataFrame:
-        """Buyer control (22 columns)."""
-        return buyer.buyer_control(self.v5, self.vs, self.v4, self.t["receipt_lines"], self.p,
-                                   sort=sort)
+        """Buyer control (22 columns), in presentation order unless ``sort=False``;
+        feeds reports P4-P6 and checks D1-D2."""
+        return buyer.buyer_sort(self._v7_rows, self.p) if sort else self._v7_rows
 
     def outputs(self) -> dict[str, DataFrame]:
         return {"demand_ledger": self.v1, "suppressed_ledger": self.v2,
