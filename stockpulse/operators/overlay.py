@@ -69,14 +69,13 @@ def allocate_supply(dem: DataFrame, supply: DataFrame, p: Params, split: bool =
              F.col("ORDERNUMBER").asc_nulls_first(),
              F.coalesce(F.col("Unified_Value"), F.lit("")).asc_nulls_first(),
              F.col("Seq").asc_nulls_first()]
-    stock = F.when((F.col("_kind") == 1) & (F.col("Adjusted_Running_Balance") <= 0),
-                   F.col("Demand_Seq"))
+    out_of_stock = (F.col("_kind") == 1) & (F.col("Adjusted_Running_Balance") <= 0)
+    stock = F.when(out_of_stock, F.col("Demand_Seq"))
     if split:
         u = prefix_sums(u, "_k", {"_s_day": F.to_date("_t")}, order,
-                        {"Demand_Seq": F.col("_kind"), "_cum": F.col("_qty")})
+                        {"Demand_Seq": F.col("_kind"), "_cum": F.col("_qty")},
+                        key_mins={"Stockout_Seq": ("Demand_Seq", out_of_stock)})
         u = u.withColumn("_cum", F.coalesce(F.col("_cum"), F.lit(0)))
-        so = u.groupBy(F.col("_k").alias("_so_k")).agg(F.min(stock).alias("Stockout_Seq"))
-        u = u.join(so, u._k == so._so_k, "left").drop("_so_k")
     else:
         upto = Window.partitionBy("_k").orderBy(*order) \
             .rowsBetween(Window.unboundedPreceding, Window.currentRow)

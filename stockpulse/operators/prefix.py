@@ -51,20 +51,33 @@ def join_segments(d: DataFrame, segs: DataFrame, key: str, seg: list[str]) -> Da
 
 
 def prefix_sums(df: DataFrame, key: str, seg: dict[str, Column], order: list[Column],
-                sums: dict[str, Column]) -> DataFrame:
+                sums: dict[str, Column],
+                key_mins: dict[str, tuple[str, Column]] | None = None) -> DataFrame:
     """Running (inclusive) SUM of each expression per ``key`` in ``order``.
 
+    ``key_mins`` adds per-key columns ``name = MIN(<running sum s> WHERE cond)``
+    for ``name: (s, cond)``, computed from the segment table (the offset is
+    constant within a segment, so MIN(local + offset) = MIN(local) + offset)
+    instead of another pass over the rows.
+
     ``seg`` must be monotone in ``order`` (equal order prefixes -> equal
     segment), and ``order`` total within a key."""
     names = list(seg)
+    key_mins = key_mins or {}
     d = with_segments(df, seg)
     w = segment_window(key, names, order).rowsBetween(Window.unboundedPreceding,
                                                       Window.currentRow)
     d = d.withColumns({f"_l_{k}": F.sum(v).over(w) for k, v in sums.items()})
-    segs = d.groupBy(key, *names).agg(*[F.sum(v).alias(f"_t_{k}") for k, v in sums.items()])
+    segs = d.groupBy(key, *names).agg(
+        *[F.sum(v).alias(f"_t_{k}") for k, v in sums.items()],
+        *[F.min(F.when(cond, F.col(f"_l_{s}"))).alias(f"_m_{m}") for m, (s, cond) in key_mins.items()])
     before = segments_before(key, names)
-    segs = segs.select(key, *names, *[F.sum(f"_t_{k}").over(before).alias(f"_o_{k}")
-                                      for k in sums])
+    segs = segs.select(key, *names, *[f"_m_{m}" for m in key_mins],
+                       *[F.sum(f"_t_{k}").over(before).alias(f"_o_{k}") for k in sums])
+    whole = Window.partitionBy(key)
+    segs = segs.select(key, *names, *[f"_o_{k}" for k in sums],
+                       *[F.min(F.col(f"_m_{m}") + F.coalesce(F.col(f"_o_{s}"), F.lit(0)))
+                          .over(whole).alias(m) for m, (s, _) in key_mins.items()])
     d = join_segments(d, segs, key, names)
     out = {}
     for k in sums:

@@ -40,7 +40,10 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str | No
         spark.conf.set("spark.checkpoint.dir", fallback)
         d = fallback
     if d is not None:
-        spark.sparkContext.setCheckpointDir(d)
+        try:
+            spark.sparkContext.setCheckpointDir(d)
+        except Exception:  # noqa: BLE001 - no SparkContext (e.g. Spark Connect): persist instead
+            return None
     return d
 
 
