@@ -10,6 +10,8 @@ COUNT DISTINCT are unaffected.  No row is multiplied out.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
@@ -191,9 +193,16 @@ def buyer_sort(df: DataFrame, p: Params) -> DataFrame:
 
 
 def buyer_control(sa: DataFrame, ss: DataFrame, v4: DataFrame, receipt_lines: DataFrame,
-                  p: Params, sort: bool = True) -> DataFrame:
-    """V7: 22 columns."""
+                  p: Params, sort: bool = True,
+                  cut: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """V7: 22 columns.
+
+    The item/vendor rows feed both the vendor-exposure aggregate and the join
+    back; ``cut`` (a checkpoint, in a run) materialises them once so the
+    consolidation is not computed twice."""
     vf = consolidate(sa, ss, v4, p)
     h = holding_rate(resolve_cost(vf, ss, po_unit_cost(receipt_lines, p), p), p)
+    if cut is not None:
+        h = cut(h)
     out = final_output(vendor_exposure(h, p), p)
     return buyer_sort(out, p) if sort else out

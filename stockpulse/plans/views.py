@@ -126,7 +126,7 @@ class LedgerRun:
     @functools.cached_property
     def _v7_rows(self) -> DataFrame:
         return self._cut(buyer.buyer_control(self.v5, self.vs, self.v4, self.t["receipt_lines"],
-                                             self.p, sort=False))
+                                             self.p, sort=False, cut=self._cut))
 
     def v7(self, sort: bool = True) -> DataFrame:
         """Buyer control (22 columns), in presentation order unless ``sort=False``;

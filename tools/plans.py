@@ -71,7 +71,7 @@ def main() -> None:
             t["ss_items"], t["receipts"], t["receipt_lines"], t["consumption"], p),
         "v6 run risk": lambda: risk.run_risk(run.v5, run.vs, p),
         "v7 buyer control": lambda: buyer.buyer_control(
-            run.v5, run.vs, run.v4, t["receipt_lines"], p, sort=False),
+            run.v5, run.vs, run.v4, t["receipt_lines"], p, sort=False, cut=run._cut),
     }
     for name, make in outs.items():
         print(summarise(name, make()))
