@@ -107,7 +107,7 @@ _L8 = ["CleanMO", "ITEMNMBR", "MRP_IssueDate", "WCID_I", "Total_Issued", "Remain
 _reg("l8_ranked_issues",
      lambda r: demand.rank_issues(demand.issue_metrics(
          demand.open_mo_issues(r.t["mo_issues"], r.t["mo_status"], r.p)), r.p).select(*_L8),
-     f"SELECT {', '.join(_L8)} FROM ledger_ranked WHERE rn_qty = 1 OR rn_any = 1", ["ledger_ranked"],
+     f"SELECT {', '.join(_L8)} FROM ledger_ranked", ["ledger_ranked"],
      ["Total_Issued", "Remaining_Required", "Required_Qty"])
 _reg("i1_wc_inventory", lambda r: suppress.wc_inventory(r.t["bin_stock"], r.p),
      "SELECT * FROM inventory_agg", ["inventory_agg"], ["Total_QTY_Available"])

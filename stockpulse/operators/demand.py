@@ -142,8 +142,16 @@ def issue_metrics(issues: DataFrame) -> DataFrame:
 
 
 def rank_issues(m: DataFrame, p: Params) -> DataFrame:
-    """rn_qty = latest per (MO, item, qty); rn_any = issued first, largest
-    |qty|, latest date per (MO, item).  Then R1: keep only rows that can match."""
+    """L8 + R1: the issue rows that can match.
+
+    rn_qty = 1: latest row per (MO, item, required qty); rn_any = 1: per
+    (MO, item) the issued row first, then largest |qty|, then latest date.
+    Each is a pure top-1 (ROW_NUMBER = 1), which Spark plans as a partial
+    WindowGroupLimit before the shuffle, so a hot (MO, item) is cut down
+    map-side.  The two picks are merged by content with their flags (0/1):
+    rows identical in every column count once, which makes the match
+    deterministic where the source's choice among identical rows is not.
+    """
     ci = p.case_insensitive
     mo, it = norm_key(F.col("CleanMO"), ci), norm_key(F.col("ITEMNMBR"), ci)
     tail = [F.col("WCID_I").asc_nulls_first(), F.col("Total_Issued").desc_nulls_last(),
@@ -154,9 +162,13 @@ def rank_issues(m: DataFrame, p: Params) -> DataFrame:
         F.when(F.col("Total_Issued") > 0, 1).otherwise(2).asc_nulls_first(),
         F.abs(F.col("Required_Qty")).desc_nulls_last(),
         F.col("MRP_IssueDate").desc_nulls_last(), *tail)
-    return (m.withColumn("rn_any", F.row_number().over(w_any))
-             .withColumn("rn_qty", F.row_number().over(w_qty))
-             .where("rn_qty = 1 OR rn_any = 1"))
+    cols = m.columns
+    q = (m.withColumn("_rn", F.row_number().over(w_qty)).where("_rn = 1")
+          .select(*cols, F.lit(1).alias("rn_qty"), F.lit(0).alias("rn_any")))
+    a = (m.withColumn("_rn", F.row_number().over(w_any)).where("_rn = 1")
+          .select(*cols, F.lit(0).alias("rn_qty"), F.lit(1).alias("rn_any")))
+    return q.unionByName(a).groupBy(*cols).agg(F.max("rn_qty").alias("rn_qty"),
+                                               F.max("rn_any").alias("rn_any"))
 
 
 def match_issues(core: DataFrame, ranked: DataFrame, p: Params) -> DataFrame:
