@@ -63,9 +63,14 @@ def filter_demand(planning: DataFrame, p: Params) -> DataFrame:
 
 
 def dedupe_fg(fg_orders: DataFrame, p: Params) -> DataFrame:
-    """L2: one row per (clean order, FG): first by customer, FG description, order no."""
+    """L2: one row per (clean order, FG): first by customer, FG description, order no.
+
+    Hash-partitioned on the clean order once: that satisfies both this
+    window (clean order, FG) and the demand join on the clean order (L4), so
+    the orders-sized FG table is shuffled once."""
     ci = p.case_insensitive
-    m = fg_orders.withColumn("CleanOrder", clean_order(F.col("ORDERNUMBER"), ci))
+    m = fg_orders.withColumn("CleanOrder", clean_order(F.col("ORDERNUMBER"), ci)) \
+        .repartition("CleanOrder")
     w = Window.partitionBy("CleanOrder", norm_key(F.col("FG"), ci)) \
         .orderBy(*asc("Customer", "FG_Desc", "ORDERNUMBER"))
     return (m.withColumn("rn_fg", F.row_number().over(w)).where("rn_fg = 1")
