@@ -24,6 +24,7 @@ scan of the checkpoint instead of re-analysing the whole upstream tree.
 from __future__ import annotations
 
 import functools
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -133,6 +134,18 @@ class LedgerRun:
         feeds reports P4-P6 and checks D1-D2."""
         return buyer.buyer_sort(self._v7_rows, self.p) if sort else self._v7_rows
 
+    # dependency waves: everything in a wave only needs earlier waves
+    WAVES = (("v1", "v3", "vs"), ("v2_full",), ("v4",), ("v5",), ("v6", "_v7_rows"))
+
+    def materialize_all(self, workers: int = 3) -> "LedgerRun":
+        """Build every output, submitting independent ones as concurrent Spark
+        jobs (stages of small outputs leave the cluster's cores idle otherwise).
+        Each wave only needs the waves before it, so nothing is built twice."""
+        with ThreadPoolExecutor(max_workers=workers) as pool:
+            for wave in self.WAVES:
+                list(pool.map(lambda name: getattr(self, name), wave))
+        return self
+
     def outputs(self) -> dict[str, DataFrame]:
         return {"demand_ledger": self.v1, "suppressed_ledger": self.v2,
                 "quarantine_pipe": self.v3, "extended_ledger": self.v4,

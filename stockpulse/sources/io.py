@@ -57,12 +57,24 @@ def register_views(outputs: dict[str, DataFrame], prefix: str = "") -> None:
 
 
 def write_outputs(outputs: dict[str, DataFrame], path: str, fmt: str = "parquet",
-                  mode: str = "overwrite", partition_by: dict[str, list[str]] | None = None) -> None:
+                  mode: str = "overwrite", partition_by: dict[str, list[str]] | None = None,
+                  workers: int = 1) -> None:
     """Write each output to ``{path}/{name}``.  Writes are idempotent
-    (overwrite), so a job restarted after executor loss re-runs cleanly."""
+    (overwrite), so a job restarted after executor loss re-runs cleanly.
+    ``workers > 1`` submits the writes as concurrent Spark jobs."""
     partition_by = partition_by or {}
-    for name, df in outputs.items():
+
+    def write(item: tuple[str, DataFrame]) -> None:
+        name, df = item
         w = df.write.mode(mode).format(fmt)
         if name in partition_by:
             w = w.partitionBy(*partition_by[name])
         w.save(f"{path}/{name}")
+
+    if workers <= 1:
+        for item in outputs.items():
+            write(item)
+        return
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=workers) as pool:
+        list(pool.map(write, outputs.items()))

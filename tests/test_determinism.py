@@ -19,3 +19,12 @@ def test_v4_same_under_partitions_1_and_7(spark):
         spark.conf.set("spark.sql.shuffle.partitions", old)
     a, b = (sorted(map(tuple, r), key=repr) for r in results)
     assert a == b
+
+
+def test_parallel_materialisation_same_outputs(spark):
+    from stockpulse.plans import LedgerRun as LR
+    t = load_testdata(spark, SF_SMALL)
+    a = LR(t, td_params(), materialize="checkpoint").materialize_all().v7(sort=False)
+    b = LR(t, td_params(), materialize="checkpoint").v7(sort=False)
+    x, y = (sorted(map(tuple, d.collect()), key=repr) for d in (a, b))
+    assert x == y and len(x) > 0
