@@ -44,17 +44,19 @@ def main() -> None:
     adapt_s = time.time() - t0
     tables = load_tables(spark, f"{scratch}/sources")
 
-    views = {"v1_demand_ledger": lambda r: r.v1, "v2_suppressed_ledger": lambda r: r.v2,
-             "v3_quarantine_pipe": lambda r: r.v3, "v4_extended_ledger": lambda r: r.v4,
-             "v5_supply_action": lambda r: r.v5, "vs_safety_stock": lambda r: r.vs,
-             "v6_run_risk": lambda r: r.v6, "v7_buyer_control": lambda r: r.v7()}
+    views = {"v1_demand_ledger": ("v1", lambda r: r.v1),
+             "v2_suppressed_ledger": ("v2_full", lambda r: r.v2),
+             "v3_quarantine_pipe": ("v3", lambda r: r.v3), "v4_extended_ledger": ("v4", lambda r: r.v4),
+             "v5_supply_action": ("v5", lambda r: r.v5), "vs_safety_stock": ("vs", lambda r: r.vs),
+             "v6_run_risk": ("v6", lambda r: r.v6), "v7_buyer_control": ("_v7_rows", lambda r: r.v7())}
     times: dict[str, float] = {}
     rows: dict[str, int] = {}
-    for name, make in views.items():
+    for name, (target, make) in views.items():
         samples = []
         for i in range(REPS + 1):  # first pass warms the JVM / file cache
             run = LedgerRun(tables, params)  # fresh run: intermediates recomputed and checkpointed
             t = time.time()
+            run.materialize_all(only=target)  # the view and its upstream, independent ones concurrently
             make(run).write.format("noop").mode("overwrite").save()
             if i:
                 samples.append(time.time() - t)

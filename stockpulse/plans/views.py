@@ -136,14 +136,25 @@ class LedgerRun:
 
     # dependency waves: everything in a wave only needs earlier waves
     WAVES = (("v1", "v3", "vs"), ("v2_full",), ("v4",), ("v5",), ("v6", "_v7_rows"))
-
-    def materialize_all(self, workers: int = 3) -> "LedgerRun":
-        """Build every output, submitting independent ones as concurrent Spark
-        jobs (stages of small outputs leave the cluster's cores idle otherwise).
-        Each wave only needs the waves before it, so nothing is built twice."""
+    NEEDS = {"v1": (), "v3": (), "vs": (), "v2_full": ("v1",), "v4": ("v2_full", "v3"),
+             "v5": ("v4", "v3"), "v6": ("v5", "vs"), "_v7_rows": ("v5", "vs", "v4")}
+
+    def materialize_all(self, workers: int = 3, only: str | None = None) -> "LedgerRun":
+        """Build every output (or ``only`` one and what it needs), submitting
+        independent ones as concurrent Spark jobs (stages of small outputs
+        leave the cluster's cores idle otherwise).  Each wave only needs the
+        waves before it, so nothing is built twice."""
+        want = set(self.NEEDS)
+        if only is not None:
+            want, todo = set(), [only]
+            while todo:
+                name = todo.pop()
+                if name not in want:
+                    want.add(name)
+                    todo.extend(self.NEEDS[name])
         with ThreadPoolExecutor(max_workers=workers) as pool:
             for wave in self.WAVES:
-                list(pool.map(lambda name: getattr(self, name), wave))
+                list(pool.map(lambda name: getattr(self, name), [n for n in wave if n in want]))
         return self
 
     def outputs(self) -> dict[str, DataFrame]:
