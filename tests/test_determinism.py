@@ -7,18 +7,22 @@ from stockpulse.sources.testdata import testdata_params as td_params
 from conftest import SF_SMALL
 
 
-def test_v4_same_under_partitions_1_and_7(spark):
+def test_v4_same_under_partitions_and_input_order(spark):
+    """Shuffle widths 1 / 7 / 200, the last with every source in random order."""
+    from pyspark.sql import functions as F
     results = []
     old = spark.conf.get("spark.sql.shuffle.partitions")
     try:
-        for n in ("1", "7"):
+        for n, shuffle in (("1", False), ("7", False), ("200", True)):
             spark.conf.set("spark.sql.shuffle.partitions", n)
-            run = LedgerRun(load_testdata(spark, SF_SMALL), td_params(), materialize=None)
-            results.append(run.v4.collect())
+            t = load_testdata(spark, SF_SMALL)
+            if shuffle:
+                t = {k: v.orderBy(F.rand(7)) for k, v in t.items()}
+            run = LedgerRun(t, td_params(), materialize=None)
+            results.append(sorted(map(tuple, run.v4.collect()), key=repr))
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
-    a, b = (sorted(map(tuple, r), key=repr) for r in results)
-    assert a == b
+    assert results[0] == results[1] == results[2]
 
 
 def test_parallel_materialisation_same_outputs(spark):
