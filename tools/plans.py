@@ -70,7 +70,7 @@ def main() -> None:
         "vs safety stock": lambda: safety.safety_stock_calc(
             t["ss_items"], t["receipts"], t["receipt_lines"], t["consumption"], p),
         "v6 run risk": lambda: risk.run_risk(run.v5, run.vs, p),
-        "v7 buyer control": lambda: buyer.buyer_control(
+        "v7 buyer control (shown without the run's checkpoint of the item/vendor rows, which a run reads once)": lambda: buyer.buyer_control(
             run.v5, run.vs, run.v4, t["receipt_lines"], p, sort=False),
     }
     for name, make in outs.items():
