@@ -13,8 +13,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stockpulse.functions import (
-    blank_to_null,
     clean_order,
+    first_non_blank,
     norm_key,
     not_like_prefix,
     str_eq,
@@ -96,8 +96,7 @@ def join_demand(pn: DataFrame, fg: DataFrame, il: DataFrame, p: Params) -> DataF
            .join(i, norm_key(pn.ITEMNMBR, ci) == i._i_key, "left"))
     e = F.lit("")
     return j.select(
-        varchar(F.coalesce(blank_to_null(F.col("ORDERNUMBER")), blank_to_null(F.col("_m_order"))),
-                255).alias("ORDERNUMBER"),
+        varchar(first_non_blank(F.col("ORDERNUMBER"), F.col("_m_order")), 255).alias("ORDERNUMBER"),
         varchar(F.coalesce("_m_cust", e), 255).alias("Construct"),
         varchar(F.coalesce("_m_fg", e), 255).alias("FG"),
         varchar(F.coalesce("_m_desc", e), 255).alias("FG_Desc"),
