@@ -198,12 +198,28 @@ def entry(spark: SparkSession) -> DataFrame:
     return _norm(_run(spark, FLAGSHIP_SF).v7(), V7_NUM)
 
 
+# ---- training-data queries: only where their subpackage and the pipeline exist
+try:
+    import corpus_pipeline
+    from stockpulse.llm.queries import QUERIES as LLM_QUERIES
+    from stockpulse.llm.sql import ORACLE as LLM_ORACLE
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "stockpulse.llm", "stockpulse.llm.queries", "stockpulse.llm.sql"):
+        raise
+    LLM_QUERIES, LLM_ORACLE = {}, {}
+else:
+    LLM_QUERIES = LLM_QUERIES | {"pipeline": corpus_pipeline.run}
+    if corpus_pipeline.ORACLE_SQL:
+        LLM_ORACLE = LLM_ORACLE | {"pipeline": corpus_pipeline.ORACLE_SQL}
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def make(name: str) -> Callable[[SparkSession, str], DataFrame]:
         build, _, _, numeric = _Q[name]
         return lambda spark, sf_dir: _norm(build(_run(spark, sf_dir)), numeric)
-    return {name: make(name) for name, spec in _Q.items() if spec[0] is not None}
+    return {name: make(name) for name, spec in _Q.items() if spec[0] is not None} | LLM_QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: O.build(sql, deps, numeric) for name, (_, sql, deps, numeric) in _Q.items()}
+    own = {name: O.build(sql, deps, numeric) for name, (_, sql, deps, numeric) in _Q.items()}
+    return own | LLM_ORACLE
