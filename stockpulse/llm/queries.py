@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockpulse.llm import line_dedup, mixing, sharding, simhash
+from stockpulse.llm import (
+    decontam, line_dedup, mixing, passages, quality, secret_scan, sharding, simhash, toxicity)
 from stockpulse.llm.common import Stage, checkpointed, documents
 
 
@@ -21,6 +22,17 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
                        (F.col("size") * F.col("copies")).cast("long").alias("taken"))
 
 
+def op3_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return quality.quality_report(docs, quality.train(docs, documents(spark, sf_dir, "labels")))
+
+
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan_secrets(documents(spark, sf_dir))
+    return found.select("doc_id", "n_assign", "n_access", "n_hex",
+                        F.sha2(F.encode("base_spans", "UTF-8"), 256).alias("base_sha256"), "spans")
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = line_dedup.dedup_lines(documents(spark, sf_dir))
     return kept.select("doc_id", "n_lines", "n_dropped",
@@ -36,6 +48,22 @@ def op7_shuffle_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
         return checkpointed(sharding.shard_digest(written))
 
 
+def op8_fuzzy_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.repeated_passages(documents(spark, sf_dir))
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return toxicity.toxicity_report(docs, toxicity.train(docs, documents(spark, sf_dir, "labels")))
+
+
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per occurrence of a benchmark item in a document."""
+    return decontam.find_leaks(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_simhash_near_dedup, op2_mix_sources, op5_line_dedup, op7_shuffle_shards)
+    f.__name__: f for f in (
+        op1_simhash_near_dedup, op2_mix_sources, op3_quality_crf, op4_secret_scan, op5_line_dedup,
+        op7_shuffle_shards, op8_fuzzy_passages, op9_toxicity, op10_decontaminate)
 }
