@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stockpulse.llm import (
-    decontam, line_dedup, mixing, passages, quality, secret_scan, sharding, simhash, toxicity)
+    decontam, line_dedup, mixing, passages, quality, secret_scan, sharding, simhash, token_shards,
+    toxicity)
 from stockpulse.llm.common import Stage, checkpointed, documents
 
 
@@ -39,6 +40,12 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2(F.encode("kept_text", "UTF-8"), 256).alias("kept_sha256"))
 
 
+def op6_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Writes the shards to the shared folder and reads the digests from them."""
+    with Stage(spark) as stage:
+        return checkpointed(token_shards.shard_report(documents(spark, sf_dir), stage))
+
+
 def op7_shuffle_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Writes the shards to the shared folder and reads the digest from them."""
     with Stage(spark) as stage:
@@ -65,5 +72,5 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_simhash_near_dedup, op2_mix_sources, op3_quality_crf, op4_secret_scan, op5_line_dedup,
-        op7_shuffle_shards, op8_fuzzy_passages, op9_toxicity, op10_decontaminate)
+        op6_token_shards, op7_shuffle_shards, op8_fuzzy_passages, op9_toxicity, op10_decontaminate)
 }
