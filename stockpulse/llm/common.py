@@ -77,8 +77,9 @@ def remove(spark: SparkSession, path: str) -> None:
 
 
 def ascii_lower(col: Column) -> Column:
-    """Lower-case A-Z only."""
-    return F.translate(col, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    """Lower-case A-Z only (for pure ASCII that is what ``lower`` does, and faster)."""
+    mapped = F.translate(col, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    return F.when(F.octet_length(col) == F.char_length(col), F.lower(col)).otherwise(mapped)
 
 
 def running_offsets(counts: DataFrame, key: str, value: str, out: str, fan: int = 1024) -> DataFrame:

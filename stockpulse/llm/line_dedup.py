@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stockpulse.llm.common import ascii_lower
+from stockpulse.llm.common import ascii_lower, checkpointed
 
 # The characters stripped from both ends of a line.
 BLANKS = " \t\n\x0b\x0c\r"
@@ -52,7 +52,7 @@ def keep_bitmaps(docs: DataFrame, min_chars: int = 20, min_docs: int = 3,
     """(id, t, words): for each document that loses lines, the 64-line words with
     a dropped line and their drop masks, as array<struct<word, mask>>."""
     base = _keyed(docs, id_col, text_col)
-    occ = occurrences(base, min_chars)
+    occ = checkpointed(occurrences(base, min_chars))  # narrow; used by the ranges' sample, the ranges and the join
     ranged = occ.repartitionByRange("h1", "h2", F.col("id").desc_nulls_last(), "pos")
     per_doc = ranged.groupBy("h1", "h2", "id").agg(F.count("*").alias("n"))
     verdict = (per_doc.groupBy("h1", "h2")
