@@ -8,9 +8,9 @@ numeric columns are reported as DOUBLE rounded to 6 decimals on both sides.
 
 from __future__ import annotations
 
+import atexit
 import os
 import sys
-import tempfile
 from collections.abc import Callable
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -21,7 +21,7 @@ from pyspark.sql import functions as F  # noqa: E402
 import oracle_sql as O  # noqa: E402
 from stockpulse.operators import (  # noqa: E402
     action, buyer, demand, overlay, risk, safety, suppress)
-from stockpulse.plans import LedgerRun, checkpoint_dir  # noqa: E402
+from stockpulse.plans import LedgerRun  # noqa: E402
 from stockpulse.plans import reports as R  # noqa: E402
 from stockpulse.sources.testdata import load_testdata, testdata_params  # noqa: E402
 
@@ -39,18 +39,17 @@ V7_NUM = ["Recommended_PO_Qty", "Vendor_Total_Exposure", "CalculatedSS_Purchasin
           "Recommended_PO_Qty_Optimized"]
 
 
-_RUNS: dict[tuple[int, str], LedgerRun] = {}
+_RUNS: dict[tuple[str, str], LedgerRun] = {}
 
 
 def _run(spark: SparkSession, sf_dir: str) -> LedgerRun:
     """One run per (session, data dir): the shared intermediates (views 2, 4,
     5 and safety stock) are computed once for all registered queries."""
-    key = (id(spark), sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _RUNS:
-        # the session's checkpoint folder; a private one only when it names none
-        checkpoint_dir(spark, fallback=tempfile.mkdtemp(prefix="stockpulse-ckpt-"))
-        _RUNS[key] = LedgerRun(load_testdata(spark, sf_dir), testdata_params(),
-                               materialize="checkpoint")
+        # tables in the session's shared folder, or a cache when it names none
+        _RUNS[key] = LedgerRun(load_testdata(spark, sf_dir), testdata_params())
+        atexit.register(_RUNS[key].release_quietly)
     return _RUNS[key]
 
 
@@ -83,11 +82,11 @@ _reg("v7_buyer_control", lambda r: r.v7(), "SELECT * FROM v7", ["v7"], V7_NUM)
 # ---- operator-level tables
 _L1 = ["ORDERNUMBER", "ITEMNMBR", "STSDESCR", "CleanOrder", "CleanItem", "CleanDeductions"]
 _reg("l1_demand_filter", lambda r: demand.filter_demand(r.t["planning"], r.p).select(*_L1),
-     f"SELECT {', '.join(_L1)} FROM p_norm", ["p_norm"], ["CleanDeductions"])
+     f"SELECT {', '.join(_L1)} FROM demand", ["demand"], ["CleanDeductions"])
 _reg("l2_fg_map", lambda r: demand.dedupe_fg(r.t["fg_orders"], r.p),
-     "SELECT CleanOrder, ORDERNUMBER, FG, Customer, FG_Desc FROM m_norm", ["m_norm"])
+     "SELECT CleanOrder, ORDERNUMBER, FG, Customer, FG_Desc FROM fg_map", ["fg_map"])
 _reg("l3_item_lookup", lambda r: demand.item_lookup(r.t["vendor_items"], r.p),
-     "SELECT * FROM item_desc", ["item_desc"])
+     "SELECT * FROM active_items", ["active_items"])
 _L5 = ["ORDERNUMBER", "FG", "ITEMNMBR", "Construct", "FG_Desc", "ItemDescription", "UOMSCHDL",
        "STSDESCR", "DUEDATE", "Original_Running_Balance", "CleanOrder", "CleanItem", "CleanDeductions",
        "BEG_BAL_Num"]
@@ -100,17 +99,17 @@ def _core(r: LedgerRun) -> DataFrame:
                                                    demand.item_lookup(t["vendor_items"], p), p), p)
 
 
-_reg("l5_core_ledger", lambda r: _core(r).select(*_L5), f"SELECT {', '.join(_L5)} FROM core", ["core"],
+_reg("l5_core_ledger", lambda r: _core(r).select(*_L5), f"SELECT {', '.join(_L5)} FROM ledger", ["ledger"],
      ["CleanDeductions", "BEG_BAL_Num"])
 _L8 = ["CleanMO", "ITEMNMBR", "MRP_IssueDate", "WCID_I", "Total_Issued", "Remaining_Required",
        "Required_Qty", "rn_qty", "rn_any"]
 _reg("l8_ranked_issues",
      lambda r: demand.rank_issues(demand.issue_metrics(
          demand.open_mo_issues(r.t["mo_issues"], r.t["mo_status"], r.p)), r.p).select(*_L8),
-     f"SELECT {', '.join(_L8)} FROM ledger_ranked", ["ledger_ranked"],
+     f"SELECT {', '.join(_L8)} FROM issue_picks", ["issue_picks"],
      ["Total_Issued", "Remaining_Required", "Required_Qty"])
 _reg("i1_wc_inventory", lambda r: suppress.wc_inventory(r.t["bin_stock"], r.p),
-     "SELECT * FROM inventory_agg", ["inventory_agg"], ["Total_QTY_Available"])
+     "SELECT * FROM stock", ["stock"], ["Total_QTY_Available"])
 _I10 = ["ITEMNMBR", "ORDERNUMBER", "Seq", "RB_Num", "RB_Delta", "RB_Anchor", "Is_Suppressed",
         "Adjusted_Running_Balance"]
 _reg("i10_adjusted_balance", lambda r: r.v2_full.select(*_I10),
@@ -126,14 +125,15 @@ def _alloc(r: LedgerRun) -> DataFrame:
 
 _reg("w3_first_stockout",
      lambda r: _alloc(r).select("ITEMNMBR", "ORDERNUMBER", "DUEDATE", "Demand_Seq", "Stockout_Seq"),
-     "SELECT ITEMNMBR, ORDERNUMBER, DUEDATE, Demand_Seq, Stockout_Seq FROM stockout", ["stockout"])
+     "SELECT ITEMNMBR, ORDERNUMBER, DUEDATE, Demand_Seq, Stockout_Seq FROM covered", ["covered"])
 _reg("w4_supply_schedule", lambda r: overlay.supply_schedule(r.v3, r.p),
-     "SELECT ITEMNMBR, SITE, Estimated_Release_Date, WFQ_Qty FROM wfq_supply", ["wfq_supply"], ["WFQ_Qty"])
+     "SELECT Item_Number AS ITEMNMBR, SITE, Estimated_Release_Date, WFQ_Qty FROM supply", ["supply"], ["WFQ_Qty"])
 _reg("w5_allocate_supply",
      lambda r: _alloc(r).select("ITEMNMBR", "Demand_Seq", "DUEDATE",
                                 F.col("Adjusted_Running_Balance").alias("Ledger_Base_Balance"),
                                 "Stockout_Seq", "Ledger_WFQ_Influx"),
-     "SELECT * FROM wfq_allocated", ["wfq_allocated"], ["Ledger_Base_Balance", "Ledger_WFQ_Influx"])
+     "SELECT ITEMNMBR, Demand_Seq, DUEDATE, Adjusted_Running_Balance AS Ledger_Base_Balance, Stockout_Seq, "
+     "Ledger_WFQ_Influx FROM covered", ["covered"], ["Ledger_Base_Balance", "Ledger_WFQ_Influx"])
 _reg("a4_turnaround", lambda r: action.turnaround(r.v3, r.p), "SELECT * FROM turnaround", ["turnaround"])
 _reg("k1_avg_receipt_cost",
      lambda r: safety.avg_receipt_cost(r.t["receipts"], r.t["receipt_lines"], r.p),
@@ -141,24 +141,24 @@ _reg("k1_avg_receipt_cost",
 _reg("k2_weekly_demand", lambda r: safety.weekly_demand(r.t["consumption"], r.p),
      "SELECT * FROM weekly_demand", ["weekly_demand"], ["WeeklyDemand"])
 _reg("k3_demand_stats",
-     lambda r: safety.demand_stats(safety.weekly_demand(r.t["consumption"], r.p)),
+     lambda r: safety.demand_stats(safety.weekly_demand(r.t["consumption"], r.p), r.p),
      "SELECT * FROM demand_stats", ["demand_stats"],
      ["AvgWeeklyDemand", "StdDevWeekly", "MaxWeeklyDemand", "TotalDemand"])
 _reg("r3_client_summary",
-     lambda r: risk.client_summary(risk.threatened_clients(risk.deficit_rows(r.v5, r.p))),
+     lambda r: risk.client_summary(risk.threatened_clients(r.deficits, r.p), r.p),
      "SELECT * FROM client_summary", ["client_summary"])
 _R4 = ["ITEMNMBR", "PRIME_VNDR", "ItemDescription", "UOM", "First_Stockout_Date", "Total_Deficit_Qty",
        "WFQ_Dependency_Flag"]
-_reg("r4_risk_metrics", lambda r: risk.risk_metrics(risk.deficit_rows(r.v5, r.p)),
-     f"SELECT DISTINCT {', '.join(_R4)} FROM risk_rows", ["risk_rows"], ["Total_Deficit_Qty"])
-_reg("b2_consolidate", lambda r: buyer.consolidate(r.v5, r.vs, r.v4, r.p),
-     "SELECT * FROM vendor_fallback", ["vendor_fallback"],
+_reg("r4_risk_metrics", lambda r: risk.risk_metrics(r.deficits, r.p),
+     f"SELECT {', '.join(_R4)} FROM risk_rows", ["risk_rows"], ["Total_Deficit_Qty"])
+_reg("b2_consolidate", lambda r: buyer.consolidate(r.deficits, r.vs, r.v4, r.p),
+     "SELECT * FROM buys", ["buys"],
      ["Total_Deficit_Qty", "CalculatedSS_PurchasingUOM", "Annual_Demand_Estimate"])
 _reg("b3_po_unit_cost",
      lambda r: buyer.po_unit_cost(r.t["receipt_lines"], r.p).select(
          F.col("_p_item").alias("ITEMNMBR"), F.col("_p_vnd").alias("PRIME_VNDR"),
          F.col("_p_cost").alias("UnitCost")),
-     "SELECT * FROM pop_cost", ["pop_cost"], ["UnitCost"])
+     "SELECT * FROM po_cost", ["po_cost"], ["UnitCost"])
 
 # ---- documented reports and checks
 _reg("p1_critical_items", lambda r: R.critical_items(r.v6),
@@ -172,8 +172,8 @@ _reg("p4_place_now", lambda r: R.place_now(r.v7()),
 _reg("p5_high_consolidation", lambda r: R.high_consolidation(r.v7()),
      "SELECT * FROM v7 WHERE Demand_Lines_In_Bucket >= 10", ["v7"], V7_NUM)
 _reg("p6_vendor_exposure_summary", lambda r: R.vendor_exposure_summary(r.v7(sort=False)),
-     "SELECT PRIME_VNDR, MAX(Vendor_Total_Exposure) AS Total_Exposure, COUNT(*) AS Item_Count "
-     "FROM v7 GROUP BY PRIME_VNDR", ["v7"], ["Total_Exposure"])
+     f"SELECT {O.spelled('PRIME_VNDR')}, MAX(Vendor_Total_Exposure) AS Total_Exposure, COUNT(*) AS Item_Count "
+     f"FROM v7 GROUP BY {O.key('PRIME_VNDR')}", ["v7"], ["Total_Exposure"])
 _reg("p7_action_sample", lambda r: R.action_sample(r.v5),
      "SELECT ITEMNMBR, Supply_Action_Recommendation, Additional_Order_Qty FROM v5 ORDER BY "
      "ITEMNMBR NULLS FIRST, Supply_Action_Recommendation NULLS FIRST, Additional_Order_Qty NULLS FIRST "
@@ -192,6 +192,12 @@ _reg("d3_action_completeness", lambda r: R.action_completeness(r.v5),
      "SELECT COUNT(*) AS Row_Count, " + ", ".join(
          f"COUNT(*) FILTER (WHERE {c} IS NULL) AS Null_{c}" for c in _D3) + " FROM v5", ["v5"])
 
+_reg("d4_rollup_diff",
+     lambda r: R.rollup_diff(r.v4, r.v5, ["ITEMNMBR", "PRIME_VNDR"], ["Net_Demand"]),
+     "SELECT * FROM rollup_diff", ["rollup_diff"], ["Net_Demand_before", "Net_Demand_after"])
+_reg("d4_vendor_gaps", lambda r: R.vendor_gaps(r.v7(sort=False), [r.v4, r.vs]),
+     "SELECT * FROM vendor_gaps", ["vendor_gaps"])
+
 
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: the buyer queue (view 7) over sf0.001."""

@@ -12,6 +12,7 @@ from stockpulse.functions.text import (
     blank_to_null,
     clean_order,
     first_non_blank,
+    group_by_keys,
     norm_key,
     not_like_prefix,
     str_eq,
@@ -19,7 +20,7 @@ from stockpulse.functions.text import (
 )
 
 __all__ = [
-    "blank_to_null", "clean_order", "date_lit", "first_non_blank", "money",
+    "blank_to_null", "clean_order", "date_lit", "first_non_blank", "group_by_keys", "money",
     "norm_key", "not_like_prefix", "ratio_half_up", "str_eq", "to_decimal_or_zero", "try_date",
     "trunc_ratio", "try_decimal", "ts_lit", "us_week", "varchar",
 ]

@@ -21,8 +21,11 @@ def to_decimal_or_zero(c: Column, precision: int, scale: int) -> Column:
 
 
 def try_decimal(c: Column, precision: int, scale: int) -> Column:
-    """TRY_CAST(c AS decimal(p,s)); NULL when not parseable."""
-    return F.trim(c).try_cast(DecimalType(precision, scale))
+    """TRY_CAST(c AS decimal(p,s)); NULL when not parseable.
+
+    The source's decimal parsing takes no exponent, so ``1e3`` is NULL."""
+    t = F.trim(c)
+    return F.when(t.rlike(NUMERIC_RE), t.try_cast(DecimalType(precision, scale)))
 
 
 def money(c: Column, precision: int = 18, scale: int = 2) -> Column:

@@ -7,7 +7,7 @@ usual collation, case.  Keys are therefore compared through ``norm_key``:
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # FIXED VALUES: order-number noise removed by N1, in this order.
@@ -20,6 +20,23 @@ def norm_key(c: Column, case_insensitive: bool = True) -> Column:
     return F.upper(k) if case_insensitive else k
 
 
+def group_by_keys(df: DataFrame, keys: dict[str, Column], plain: list[str], aggs: list[Column],
+                  case_insensitive: bool = True) -> DataFrame:
+    """GROUP BY text keys as the source collation compares them.
+
+    Each of ``keys`` (output name -> text) is grouped by its ``norm_key`` and shown
+    by its least spelling in the group; ``plain`` columns group by value.  Output:
+    keys, plain columns, aggregates."""
+    d = df.withColumns({f"_g{i}": c for i, c in enumerate(keys.values())})
+    by = [norm_key(F.col(f"_g{i}"), case_insensitive).alias(f"_k{i}") for i in range(len(keys))]
+    shown = [F.min(f"_g{i}").alias(f"_s{i}") for i in range(len(keys))]
+    out = d.groupBy(*by, *[F.col(c).alias(f"_p{i}") for i, c in enumerate(plain)]).agg(*shown, *aggs)
+    drop = {f"_{t}{i}" for t in "ksgp" for i in range(len(keys) + len(plain))}
+    return out.select(*[F.col(f"_s{i}").alias(n) for i, n in enumerate(keys)],
+                      *[F.col(f"_p{i}").alias(n) for i, n in enumerate(plain)],
+                      *[c for c in out.columns if c not in drop])
+
+
 def str_eq(c: Column, value: str, case_insensitive: bool = True) -> Column:
     """`c = 'value'` with collation semantics (NULL stays NULL)."""
     v = value.rstrip()

@@ -16,8 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
-from stockpulse.functions import money, norm_key, ratio_half_up
-from stockpulse.operators.risk import deficit_rows
+from stockpulse.functions import group_by_keys, money, norm_key, ratio_half_up
 from stockpulse.params import Params
 
 # FIXED VALUES: provenance and classification labels
@@ -36,6 +35,10 @@ CLEAN, MISSING_VENDOR, MISSING_COST, MISSING_BOTH = (
     "CLEAN", "MISSING_VENDOR", "MISSING_COST", "MISSING_BOTH")
 
 
+# tie-breakers of the presentation order
+ROW_TIEBREAK = ("PRIME_VNDR", "ITEMNMBR", "Recommended_PO_Qty", "Unit_Cost", "Total_Carrying_Cost")
+
+
 def _keys(df: DataFrame, item: str, vendor: str, ci: bool, tag: str) -> DataFrame:
     return df.withColumns({f"_{tag}_item": norm_key(F.col(item), ci),
                            f"_{tag}_vnd": norm_key(F.col(vendor), ci)})
@@ -50,21 +53,21 @@ def ledger_counts(v4: DataFrame, p: Params) -> DataFrame:
               .agg(F.count(F.lit(1)).alias("_n")))
 
 
-def consolidate(sa: DataFrame, ss: DataFrame, v4: DataFrame, p: Params) -> DataFrame:
-    """B1 + B2: vendor fallback with provenance and the PO consolidation per item/vendor."""
+def consolidate(fs: DataFrame, ss: DataFrame, v4: DataFrame, p: Params) -> DataFrame:
+    """B1 + B2 on the deficit rows (R1): vendor fallback with provenance and the PO
+    consolidation per item/vendor."""
     ci = p.case_insensitive
-    fs = deficit_rows(sa, p)
-    g = fs.groupBy("ITEMNMBR", "PRIME_VNDR").agg(
-        F.max("ItemDescription").alias("ItemDescription"), F.max("UOM").alias("UOM"),
-        F.min("Demand_Due_Date").alias("First_Stockout_Date"),
-        F.sum("Deficit_Qty").alias("_sum_deficit"),
-        F.count_distinct("Demand_Due_Date").alias("Demand_Lines_In_Bucket"))
+    g = group_by_keys(
+        fs, {"ITEMNMBR": F.col("ITEMNMBR"), "PRIME_VNDR": F.col("PRIME_VNDR")}, [],
+        [F.max("ItemDescription").alias("ItemDescription"), F.max("UOM").alias("UOM"),
+         F.min("Demand_Due_Date").alias("First_Stockout_Date"),
+         F.sum("Deficit_Qty").alias("_sum_deficit"),
+         F.count_distinct("Demand_Due_Date").alias("Demand_Lines_In_Bucket")], ci)
     g = _keys(g, "ITEMNMBR", "PRIME_VNDR", ci, "g")
     ssg = (_keys(ss, "ITEMNMBR", "PRIME_VNDR", ci, "s")
-           .groupBy("_s_item", "_s_vnd", F.col("PRIME_VNDR").alias("_s_vendor"),
-                    F.col("LeadDays").alias("_s_lead"),
+           .groupBy("_s_item", "_s_vnd", F.col("LeadDays").alias("_s_lead"),
                     F.col("CalculatedSS_PurchasingUOM").alias("_s_sspu"))
-           .agg(F.count(F.lit(1)).alias("_m")))
+           .agg(F.min("PRIME_VNDR").alias("_s_vendor"), F.count(F.lit(1)).alias("_m")))
     n = ledger_counts(v4, p)
     j = (g.join(ssg, (g._g_item == ssg._s_item) & (g._g_vnd == ssg._s_vnd), "left")
           .join(n, (g._g_item == n._n_item) & (g._g_vnd == n._n_vnd), "left"))
@@ -182,25 +185,27 @@ def final_output(h: DataFrame, p: Params) -> DataFrame:
 
 
 def buyer_sort(df: DataFrame, p: Params) -> DataFrame:
-    """Urgency (alphabetical, as the source sorts), exposure DESC, date.
+    """Urgency (alphabetical, as the source sorts), exposure DESC, date; then
+    tie-breakers, so the presentation order is total.
 
     ``sort_by_severity`` orders PLACE_NOW, PLAN, MONITOR instead."""
     key = F.col("Urgency")
     if p.sort_by_severity:
         key = F.when(key == PLACE_NOW, 0).when(key == PLAN, 1).otherwise(2)
     return df.orderBy(key.asc_nulls_first(), F.col("Vendor_Total_Exposure").desc_nulls_last(),
-                      F.col("Earliest_Demand_Date").asc_nulls_first())
+                      F.col("Earliest_Demand_Date").asc_nulls_first(),
+                      *[F.col(c).asc_nulls_first() for c in ROW_TIEBREAK])
 
 
-def buyer_control(sa: DataFrame, ss: DataFrame, v4: DataFrame, receipt_lines: DataFrame,
+def buyer_control(fs: DataFrame, ss: DataFrame, v4: DataFrame, receipt_lines: DataFrame,
                   p: Params, sort: bool = True,
                   cut: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
-    """V7: 22 columns.
+    """V7 from the deficit rows (R1): 22 columns.
 
     The item/vendor rows feed both the vendor-exposure aggregate and the join
     back; ``cut`` (a checkpoint, in a run) materialises them once so the
     consolidation is not computed twice."""
-    vf = consolidate(sa, ss, v4, p)
+    vf = consolidate(fs, ss, v4, p)
     h = holding_rate(resolve_cost(vf, ss, po_unit_cost(receipt_lines, p), p), p)
     if cut is not None:
         h = cut(h)

@@ -65,12 +65,13 @@ def filter_demand(planning: DataFrame, p: Params) -> DataFrame:
 def dedupe_fg(fg_orders: DataFrame, p: Params) -> DataFrame:
     """L2: one row per (clean order, FG): first by customer, FG description, order no.
 
-    Hash-partitioned on the clean order once: that satisfies both this
-    window (clean order, FG) and the demand join on the clean order (L4), so
-    the orders-sized FG table is shuffled once."""
+    A pure top-1 per (clean order, FG): Spark plans a partial WindowGroupLimit
+    before the shuffle, so copies of one key are cut down map-side, and no window
+    stands between the reduced map and the demand join (L4), which adaptive
+    execution can therefore split where many demand rows share a clean order
+    (blank order numbers all do)."""
     ci = p.case_insensitive
-    m = fg_orders.withColumn("CleanOrder", clean_order(F.col("ORDERNUMBER"), ci)) \
-        .repartition("CleanOrder")
+    m = fg_orders.withColumn("CleanOrder", clean_order(F.col("ORDERNUMBER"), ci))
     w = Window.partitionBy("CleanOrder", norm_key(F.col("FG"), ci)) \
         .orderBy(*asc("Customer", "FG_Desc", "ORDERNUMBER"))
     return (m.withColumn("rn_fg", F.row_number().over(w)).where("rn_fg = 1")

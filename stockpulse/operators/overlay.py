@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stockpulse.functions import norm_key, str_eq
+from stockpulse.functions import group_by_keys, norm_key, str_eq
 from stockpulse.operators.demand import BEG_BAL
 from stockpulse.operators.prefix import prefix_sums
 from stockpulse.operators.quarantine import VIEW_LEVEL
@@ -35,9 +35,9 @@ def demand_rows(led: DataFrame, p: Params) -> DataFrame:
 
 def supply_schedule(pipe: DataFrame, p: Params) -> DataFrame:
     """Positive quarantine on-hand per (item, site, release date)."""
-    return (pipe.where((F.col("View_Level") == VIEW_LEVEL) & (F.col("QTY_ON_HAND") > 0))
-            .groupBy(F.col("Item_Number").alias("ITEMNMBR"), "SITE", "Estimated_Release_Date")
-            .agg(F.sum("QTY_ON_HAND").alias("WFQ_Qty")))
+    return group_by_keys(pipe.where((F.col("View_Level") == VIEW_LEVEL) & (F.col("QTY_ON_HAND") > 0)),
+                         {"ITEMNMBR": F.col("Item_Number"), "SITE": F.col("SITE")}, ["Estimated_Release_Date"],
+                         [F.sum("QTY_ON_HAND").alias("WFQ_Qty")], p.case_insensitive)
 
 
 def allocate_supply(dem: DataFrame, supply: DataFrame, p: Params, split: bool = True) -> DataFrame:

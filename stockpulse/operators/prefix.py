@@ -39,11 +39,13 @@ def segments_before(key: str, seg: list[str]) -> Window:
 
 
 def join_segments(d: DataFrame, segs: DataFrame, key: str, seg: list[str]) -> DataFrame:
-    """Attach per-segment offsets (null-safe on the segment key)."""
+    """Attach per-segment offsets.  Segment keys are never NULL (callers fall back to
+    a fixed date), so plain equality does and the join reuses the window's
+    partitioning instead of shuffling the rows again."""
     s = segs.select(*[F.col(c).alias(f"_j_{c}") for c in segs.columns])
     cond = F.col(key) == F.col(f"_j_{key}")
     for c in seg:
-        cond = cond & F.col(c).eqNullSafe(F.col(f"_j_{c}"))
+        cond = cond & (F.col(c) == F.col(f"_j_{c}"))
     j = d.join(s, cond, "left")
     extra = [c for c in segs.columns if c not in (key, *seg)]
     return j.withColumns({c: F.col(f"_j_{c}") for c in extra}) \

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stockpulse.functions import norm_key, ts_lit
+from stockpulse.functions import group_by_keys, norm_key, ts_lit
 from stockpulse.params import Params
 
 # FIXED VALUES
@@ -36,14 +36,16 @@ def lot_on_hand(lots: DataFrame, item_master: DataFrame, p: Params) -> DataFrame
     """Q3: SUM(received - sold) per item / site / lot / expiry / UOM / receipt date.
 
     The item master join is on the untrimmed item number, as the source does.
+    Text keys group as they compare (``group_by_keys``).
     """
     ci = p.case_insensitive
     im = item_master.select(norm_key(F.col("ITEMNMBR"), ci).alias("_im_key"),
                             F.trim(F.col("UOMSCHDL")).alias("UOM"))
     j = lots.join(im, norm_key(lots.ITEMNMBR, ci) == im._im_key, "left")
-    return (j.groupBy(F.trim("ITEMNMBR").alias("Item_Number"), F.trim("LOCNCODE").alias("SITE"),
-                      F.trim("LOTNUMBR").alias("LOT_Number"), "EXPNDATE", "UOM", "DATERECD")
-             .agg(F.sum(F.col("QTYRECVD") - F.col("QTYSOLD")).alias("QTY_ON_HAND")))
+    return group_by_keys(
+        j, {"Item_Number": F.trim("ITEMNMBR"), "SITE": F.trim("LOCNCODE"),
+            "LOT_Number": F.trim("LOTNUMBR"), "UOM": F.col("UOM")}, ["EXPNDATE", "DATERECD"],
+        [F.sum(F.col("QTYRECVD") - F.col("QTYSOLD")).alias("QTY_ON_HAND")], ci)
 
 
 def lot_enrich(df: DataFrame, p: Params) -> DataFrame:

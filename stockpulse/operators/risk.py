@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stockpulse.functions import norm_key, str_eq
+from stockpulse.functions import group_by_keys, norm_key, str_eq
 from stockpulse.operators.overlay import WFQ_ENHANCED, WFQ_RESCUED
 from stockpulse.operators.suppress import ST_BEGBAL
 from stockpulse.params import Params
@@ -21,39 +21,48 @@ from stockpulse.params import Params
 # FIXED VALUES
 CLIENT_SEPARATOR = ", "
 RESCUE_STATUSES = (WFQ_RESCUED, WFQ_ENHANCED)
+RISK_KEYS = ("ITEMNMBR", "PRIME_VNDR", "ItemDescription", "UOM")
+DEFICIT_COLUMNS = [*RISK_KEYS, "Construct", "Demand_Due_Date", "Deficit_Qty", "WFQ_Extended_Status"]
 
 
 def deficit_rows(sa: DataFrame, p: Params) -> DataFrame:
-    """Demand rows with a deficit and a demand date (suppressed rows stay, T13)."""
+    """Demand rows with a deficit and a demand date (suppressed rows stay, T13),
+    narrowed to what views 6 and 7 read."""
     return sa.where(~str_eq(F.col("Suppression_Status"), ST_BEGBAL, p.case_insensitive)
-                    & (F.col("Deficit_Qty") > 0) & F.col("Demand_Due_Date").isNotNull())
+                    & (F.col("Deficit_Qty") > 0) & F.col("Demand_Due_Date").isNotNull()) \
+        .select(*DEFICIT_COLUMNS)
 
 
-def threatened_clients(f: DataFrame) -> DataFrame:
+def threatened_clients(f: DataFrame, p: Params) -> DataFrame:
     """R2: distinct (item, vendor, description, UOM, client).  Blank clients count."""
-    return f.where(F.col("Construct").isNotNull()) \
-        .select("ITEMNMBR", "PRIME_VNDR", "ItemDescription", "UOM", "Construct").distinct()
+    return group_by_keys(f.where(F.col("Construct").isNotNull()),
+                         {c: F.col(c) for c in (*RISK_KEYS, "Construct")}, [], [], p.case_insensitive)
 
 
-def client_summary(tc: DataFrame) -> DataFrame:
-    """Ordered client list, client count, MAX description / UOM per (item, vendor)."""
-    return tc.groupBy("ITEMNMBR", "PRIME_VNDR").agg(
-        F.max("ItemDescription").alias("ItemDescription"), F.max("UOM").alias("UOM"),
-        F.expr(f"listagg(Construct, '{CLIENT_SEPARATOR}') WITHIN GROUP (ORDER BY Construct)")
-         .alias("Threatened_Clients"),
-        F.count(F.lit(1)).alias("Client_Exposure_Count"))
+def client_summary(tc: DataFrame, p: Params) -> DataFrame:
+    """Ordered client list, client count, MAX description / UOM per (item, vendor).
 
+    The list holds one entry per distinct client, as the source's STRING_AGG does,
+    so a row is as long as the item's clients are many; it is not cut."""
+    named = tc.withColumn("_client", norm_key(F.col("Construct"), p.case_insensitive))
+    return group_by_keys(
+        named, {"ITEMNMBR": F.col("ITEMNMBR"), "PRIME_VNDR": F.col("PRIME_VNDR")}, [],
+        [F.max("ItemDescription").alias("ItemDescription"), F.max("UOM").alias("UOM"),
+         F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("_client", "Construct"))),
+                                  lambda c: c["Construct"]), CLIENT_SEPARATOR).alias("Threatened_Clients"),
+         F.count(F.lit(1)).alias("Client_Exposure_Count")], p.case_insensitive)
 
-def risk_metrics(f: DataFrame) -> DataFrame:
+
+def risk_metrics(f: DataFrame, p: Params) -> DataFrame:
     """First stockout date, total deficit and rescue dependency per
     (item, vendor), reported on each (item, vendor, description, UOM)."""
-    g = f.groupBy("ITEMNMBR", "PRIME_VNDR", "ItemDescription", "UOM").agg(
+    g = group_by_keys(f, {c: F.col(c) for c in RISK_KEYS}, [], [
         F.min("Demand_Due_Date").alias("_first"),
         F.sum(F.when(F.col("Deficit_Qty") > 0, F.col("Deficit_Qty")).otherwise(F.lit(0)))
          .alias("_deficit"),
         F.max(F.when(F.col("WFQ_Extended_Status").isin(*RESCUE_STATUSES), 1).otherwise(0))
-         .alias("_dep"))
-    w = Window.partitionBy("ITEMNMBR", "PRIME_VNDR")
+         .alias("_dep")], p.case_insensitive)
+    w = Window.partitionBy(*[norm_key(F.col(c), p.case_insensitive) for c in RISK_KEYS[:2]])
     return g.select("ITEMNMBR", "PRIME_VNDR", "ItemDescription", "UOM",
                     F.min("_first").over(w).alias("First_Stockout_Date"),
                     F.sum("_deficit").over(w).alias("Total_Deficit_Qty"),
@@ -87,14 +96,11 @@ V6_COLUMNS = ["ITEMNMBR", "PRIME_VNDR", "ItemDescription", "UOM", "Threatened_Cl
               "Total_Deficit_Qty", "WFQ_Dependency_Flag", "Schedule_Threat", "LeadDays"]
 
 
-def run_risk(sa: DataFrame, ss: DataFrame, p: Params) -> DataFrame:
-    """V6: 12 columns, distinct rows."""
+def run_risk(f: DataFrame, ss: DataFrame, p: Params) -> DataFrame:
+    """V6 from the deficit rows (R1): 12 columns, distinct rows."""
     ci = p.case_insensitive
-    f = deficit_rows(sa, p).select("ITEMNMBR", "PRIME_VNDR", "ItemDescription", "UOM",
-                                   "Construct", "Demand_Due_Date", "Deficit_Qty",
-                                   "WFQ_Extended_Status")
-    m = risk_metrics(f)
-    cs = client_summary(threatened_clients(f)).select(
+    m = risk_metrics(f, p)
+    cs = client_summary(threatened_clients(f, p), p).select(
         norm_key(F.col("ITEMNMBR"), ci).alias("_c_item"),
         norm_key(F.col("PRIME_VNDR"), ci).alias("_c_vnd"),
         "Threatened_Clients", "Client_Exposure_Count")

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
 from stockpulse.functions import (
+    group_by_keys,
     norm_key,
     not_like_prefix,
     ratio_half_up,
@@ -48,9 +49,9 @@ def avg_receipt_cost(receipts: DataFrame, receipt_lines: DataFrame, p: Params) -
     j = r.join(pl, (r.Receipt_Line_Number == pl._ln)
                & (norm_key(r.Item_Number, ci) == pl._it)
                & (norm_key(r.POP_Receipt_Number, ci) == pl._rn))
-    g = j.groupBy("Item_Number", "Item_Description", "U_Of_M").agg(
-        F.sum("QTY_Shipped").alias("TotalQtyShipped"),
-        F.sum(F.col("UNITCOST") * F.col("QTY_Shipped")).alias("TotalCost"))
+    g = group_by_keys(j, {c: F.col(c) for c in ("Item_Number", "Item_Description", "U_Of_M")}, [],
+                      [F.sum("QTY_Shipped").alias("TotalQtyShipped"),
+                       F.sum(F.col("UNITCOST") * F.col("QTY_Shipped")).alias("TotalCost")], ci)
     avg = F.when(F.col("TotalQtyShipped") > 0,
                  ratio_half_up("TotalCost", "TotalQtyShipped", 6)).otherwise(F.lit(0))
     return g.withColumn("AverageCost", avg.cast(DecimalType(38, 6)))
@@ -63,19 +64,21 @@ def weekly_demand(consumption: DataFrame, p: Params) -> DataFrame:
     if years == list(range(years[0], years[-1] + 1)):  # contiguous: add a pushable range
         cond = cond & (F.col("IssueDate") >= ts_lit(dt.datetime(years[0], 1, 1))) \
             & (F.col("IssueDate") < ts_lit(dt.datetime(years[-1] + 1, 1, 1)))
-    return (consumption.where(cond)
-            .groupBy("Component", us_week(F.col("IssueDate")).alias("WeekNum"),
-                     F.year("IssueDate").alias("YearNum"), "UoM")
-            .agg(F.sum("IssueQty").alias("WeeklyDemand")))
+    used = consumption.where(cond).withColumns({"WeekNum": us_week(F.col("IssueDate")),
+                                                "YearNum": F.year("IssueDate")})
+    return group_by_keys(used, {"Component": F.col("Component"), "UoM": F.col("UoM")},
+                         ["WeekNum", "YearNum"], [F.sum("IssueQty").alias("WeeklyDemand")],
+                         p.case_insensitive)
 
 
-def demand_stats(weekly: DataFrame) -> DataFrame:
+def demand_stats(weekly: DataFrame, p: Params) -> DataFrame:
     """K3: AVG (scale 6), sample STDEV, MAX and SUM of weekly demand per (component, UoM)."""
-    g = weekly.groupBy("Component", "UoM").agg(
-        F.count(F.col("WeeklyDemand")).alias("_n"),
-        F.stddev_samp(F.col("WeeklyDemand").cast("double")).alias("StdDevWeekly"),
-        F.max("WeeklyDemand").alias("MaxWeeklyDemand"),
-        F.sum("WeeklyDemand").alias("TotalDemand"))
+    g = group_by_keys(
+        weekly, {"Component": F.col("Component"), "UoM": F.col("UoM")}, [],
+        [F.count(F.col("WeeklyDemand")).alias("_n"),
+         F.stddev_samp(F.col("WeeklyDemand").cast("double")).alias("StdDevWeekly"),
+         F.max("WeeklyDemand").alias("MaxWeeklyDemand"),
+         F.sum("WeeklyDemand").alias("TotalDemand")], p.case_insensitive)
     avg = ratio_half_up("TotalDemand", "_n", 6).cast(DecimalType(38, 6))
     return g.select("Component", "UoM", avg.alias("AvgWeeklyDemand"), "StdDevWeekly",
                     "MaxWeeklyDemand", "TotalDemand")
@@ -133,7 +136,7 @@ def safety_stock_calc(ss_items: DataFrame, receipts: DataFrame, receipt_lines: D
     """
     ci = p.case_insensitive
     ac = avg_receipt_cost(receipts, receipt_lines, p)
-    ds = demand_stats(weekly_demand(consumption, p))
+    ds = demand_stats(weekly_demand(consumption, p), p)
     ss = ss_master_filter(ss_items, p)
     j = (ss.join(ac, norm_key(ss.ITEMNMBR, ci) == norm_key(ac.Item_Number, ci))
            .join(ds, norm_key(ss.ITEMNMBR, ci) == norm_key(ds.Component, ci), "left")

@@ -142,11 +142,13 @@ def adjusted_balance_split(df: DataFrame, p: Params) -> DataFrame:
     (to finish the first row's delta), the running total before the segment
     and the anchor (first balance of the item).
     """
-    order = ledger_order(p)
     seg = ["_s_flag", "_s_date"]
+    # the rest of the ledger order as plain columns: both windows share one sort
     d = df.withColumns({"_k": norm_key(F.col("ITEMNMBR"), p.case_insensitive),
-                        "_s_flag": _ledger_flag(), "_s_date": _ledger_date(p)})
-    ws = segment_window("_k", seg, order)
+                        "_s_flag": _ledger_flag(), "_s_date": _ledger_date(p),
+                        "_s_uv": F.coalesce(F.col("Unified_Value"), F.lit("")),
+                        "_s_sts": F.coalesce(F.col("STSDESCR"), F.lit(""))})
+    ws = segment_window("_k", seg, asc("ORDERNUMBER", "_s_uv", "_s_sts", *SEQ_TIEBREAK))
     rb = try_decimal(F.col("Running_Balance"), 18, 6)
     zero = F.lit(0).cast(D18_6)
     d = d.withColumns({"RB_Num": rb, "_lseq": F.row_number().over(ws),
@@ -185,7 +187,7 @@ def adjusted_balance_split(df: DataFrame, p: Params) -> DataFrame:
                       .otherwise(F.coalesce(F.col("RB_Delta"), zero)))
     running = F.col("_off_sum") + F.col("_first_adj") + F.col("_lrun")
     j = j.withColumn("Adjusted_Running_Balance", (F.col("RB_Anchor") + running).cast(D18_6))
-    return j.drop("_k", *seg, "_lseq", "_llag", "_ladj", "_lrun", "_prev_last", "_anchor",
+    return j.drop("_k", *seg, "_s_uv", "_s_sts", "_lseq", "_llag", "_ladj", "_lrun", "_prev_last", "_anchor",
                   "_first_adj", "_off_n", "_off_sum")
 
 

@@ -2,15 +2,25 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stockpulse.operators.buyer import PLACE_NOW
+from stockpulse.functions import group_by_keys, norm_key
+from stockpulse.operators.buyer import PLACE_NOW, ROW_TIEBREAK, UNASSIGNED
+
+
+# tie-breakers of the run-risk reports
+RISK_TIEBREAK = ("ITEMNMBR", "PRIME_VNDR", "ItemDescription", "UOM", "LeadDays")
+
+
+def _first(*cols: str) -> list[Column]:
+    return [F.col(c).asc_nulls_first() for c in cols]
 
 
 def critical_items(v6: DataFrame) -> DataFrame:
     """Schedule threats, soonest stockout first."""
-    return v6.where(F.col("Schedule_Threat") == 1).orderBy(F.col("Days_To_Stockout").asc_nulls_first())
+    return v6.where(F.col("Schedule_Threat") == 1).orderBy(
+        F.col("Days_To_Stockout").asc_nulls_first(), *_first(*RISK_TIEBREAK))
 
 
 def rescue_dependent(v6: DataFrame) -> DataFrame:
@@ -21,27 +31,27 @@ def rescue_dependent(v6: DataFrame) -> DataFrame:
 def high_impact(v6: DataFrame, min_clients: int = 5) -> DataFrame:
     """Stockouts threatening at least ``min_clients`` clients, largest deficit first."""
     return v6.where(F.col("Client_Exposure_Count") >= min_clients) \
-        .orderBy(F.col("Total_Deficit_Qty").desc_nulls_last())
+        .orderBy(F.col("Total_Deficit_Qty").desc_nulls_last(), *_first(*RISK_TIEBREAK))
 
 
 def place_now(v7: DataFrame) -> DataFrame:
     """PO actions due now, earliest demand first."""
     return v7.where(F.col("Urgency") == PLACE_NOW) \
-        .orderBy(F.col("Earliest_Demand_Date").asc_nulls_first())
+        .orderBy(F.col("Earliest_Demand_Date").asc_nulls_first(), *_first(*ROW_TIEBREAK))
 
 
 def high_consolidation(v7: DataFrame, min_lines: int = 10) -> DataFrame:
     """P5: lines consolidating at least ``min_lines`` demand dates, largest qty first."""
     return v7.where(F.col("Demand_Lines_In_Bucket") >= min_lines) \
-        .orderBy(F.col("Recommended_PO_Qty").desc_nulls_last())
+        .orderBy(F.col("Recommended_PO_Qty").desc_nulls_last(), *_first(*ROW_TIEBREAK))
 
 
-def vendor_exposure_summary(v7: DataFrame) -> DataFrame:
+def vendor_exposure_summary(v7: DataFrame, case_insensitive: bool = True) -> DataFrame:
     """Exposure and item count per vendor."""
-    return (v7.groupBy("PRIME_VNDR")
-              .agg(F.max("Vendor_Total_Exposure").alias("Total_Exposure"),
-                   F.count(F.lit(1)).alias("Item_Count"))
-              .orderBy(F.col("Total_Exposure").desc_nulls_last()))
+    return (group_by_keys(v7, {"PRIME_VNDR": F.col("PRIME_VNDR")}, [],
+                          [F.max("Vendor_Total_Exposure").alias("Total_Exposure"),
+                           F.count(F.lit(1)).alias("Item_Count")], case_insensitive)
+              .orderBy(F.col("Total_Exposure").desc_nulls_last(), F.col("PRIME_VNDR").asc_nulls_first()))
 
 
 def action_sample(v5: DataFrame, n: int = 10) -> DataFrame:
@@ -77,6 +87,20 @@ def action_completeness(v5: DataFrame) -> DataFrame:
                   *[F.count_if(F.col(c).isNull()).alias(f"Null_{c}") for c in cols])
 
 
+def vendor_gaps(v7: DataFrame, sources: list[DataFrame], case_insensitive: bool = True) -> DataFrame:
+    """D4, third rule: buyer rows without a vendor although one of ``sources``
+    (ITEMNMBR, PRIME_VNDR) names a vendor for the item; with the least such name."""
+    named = None
+    for s in sources:
+        own = s.where(F.col("PRIME_VNDR").isNotNull()).select(
+            norm_key(F.col("ITEMNMBR"), case_insensitive).alias("_item"), "PRIME_VNDR")
+        named = own if named is None else named.unionByName(own)
+    known = named.groupBy("_item").agg(F.min("PRIME_VNDR").alias("Known_Vendor"))
+    open_ = v7.where(F.col("PRIME_VNDR").isNull() | (F.col("PRIME_VNDR") == UNASSIGNED))
+    return (open_.join(known, norm_key(F.col("ITEMNMBR"), case_insensitive) == F.col("_item"))
+            .select("ITEMNMBR", "PRIME_VNDR", "Known_Vendor"))
+
+
 def regression_diff(before: DataFrame, after: DataFrame) -> DataFrame:
     """Rows present on one side only (multiset difference both ways).
     Empty means the two results are equal as multisets."""
@@ -88,11 +112,16 @@ def regression_diff(before: DataFrame, after: DataFrame) -> DataFrame:
 
 def rollup_diff(before: DataFrame, after: DataFrame, keys: list[str],
                 measures: list[str]) -> DataFrame:
-    """Per-key totals and row counts that differ between two runs."""
-    def roll(df: DataFrame, tag: str) -> DataFrame:
-        return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(f"rows_{tag}"),
-                                     *[F.sum(m).alias(f"{m}_{tag}") for m in measures])
-    j = roll(before, "before").join(roll(after, "after"), keys, "full")
+    """Per-key totals and row counts that differ between two runs.
+
+    Both sides are united and grouped once, so NULL keys meet like any others."""
+    both = before.select(*keys, *measures, F.lit(True).alias("_b")).unionByName(
+        after.select(*keys, *measures, F.lit(False).alias("_b")))
+    j = both.groupBy(*keys).agg(
+        F.sum(F.when(F.col("_b"), 1)).alias("rows_before"),
+        F.sum(F.when(~F.col("_b"), 1)).alias("rows_after"),
+        *[F.sum(F.when(F.col("_b") == (t == "before"), F.col(m))).alias(f"{m}_{t}")
+          for m in measures for t in ("before", "after")])
     diff = ~F.col("rows_before").eqNullSafe(F.col("rows_after"))
     for m in measures:
         diff = diff | ~F.col(f"{m}_before").eqNullSafe(F.col(f"{m}_after"))

@@ -8,22 +8,27 @@ skew-safe balance), view 2 (both sides of the view-4 re-attach join), view 3
 and 7), safety stock (views 6 and 7), and views 6 and 7 (the report
 queries) -- are materialised once per run:
 
+  materialize="table"       written once as Parquet, to ``output_path`` for the
+                            published outputs if one is given, else to a folder
+                            of this run under the cluster's shared
+                            ``spark.checkpoint.dir``; later stages scan it with
+                            column pruning, pushed filters and statistics, and a
+                            lost executor re-reads instead of recomputing.
   materialize="persist"     MEMORY_AND_DISK cache; a lost executor's blocks
                             are recomputed from lineage.
-  materialize="checkpoint"  written to the cluster's shared
-                            ``spark.checkpoint.dir``; lineage is cut, so a
-                            lost executor re-reads instead of recomputing.
   materialize=None          fully lazy (each consumer recomputes).
-  materialize="auto"        (default) checkpoint when the session names a
-                            checkpoint folder, else persist.
+  materialize="auto"        (default) table when the session names a
+                            checkpoint folder or an output path is given, else
+                            persist.
 
-Checkpointing also truncates the logical plan: later stages plan against a
-scan of the checkpoint instead of re-analysing the whole upstream tree.
+``release()`` drops the caches and the run's folder (not ``output_path``).
 """
 
 from __future__ import annotations
 
+import contextlib
 import functools
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import StorageLevel
@@ -33,64 +38,73 @@ from stockpulse.operators import action, buyer, demand, overlay, quarantine, ris
 from stockpulse.params import Params
 
 
-def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str | None:
-    """Use the session's ``spark.checkpoint.dir``; set ``fallback`` only when
-    it is unset (tests, local benches)."""
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if d is None and fallback is not None:
-        spark.conf.set("spark.checkpoint.dir", fallback)
-        d = fallback
-    if d is not None:
-        try:
-            spark.sparkContext.setCheckpointDir(d)
-        except Exception:  # noqa: BLE001 - no SparkContext (e.g. Spark Connect): persist instead
-            return None
-    return d
+def checkpoint_dir(spark: SparkSession) -> str | None:
+    """The shared folder that the session names in ``spark.checkpoint.dir``, if any."""
+    return spark.conf.get("spark.checkpoint.dir", None)
+
+
+#: Outputs that ``output_path`` receives as they are built; ``write_outputs`` adds
+#: the suppressed ledger, which is a projection of a stored table.
+OUTPUTS = ("demand_ledger", "quarantine_pipe", "extended_ledger", "supply_action", "safety_stock",
+           "run_risk", "buyer_control")
 
 
 class LedgerRun:
     """All outputs of one run over one snapshot of the sources."""
 
-    def __init__(self, tables: dict[str, DataFrame], params: Params,
-                 materialize: str | None = "auto", split: bool = True):
-        if materialize not in (None, "auto", "persist", "checkpoint"):
+    def __init__(self, tables: dict[str, DataFrame], params: Params, materialize: str | None = "auto",
+                 split: bool = True, output_path: str | None = None):
+        if materialize not in (None, "auto", "persist", "table"):
             raise ValueError(f"materialize={materialize!r}")
+        self.spark = next(iter(tables.values())).sparkSession
+        shared = checkpoint_dir(self.spark) or output_path
         if materialize == "auto":
-            spark = next(iter(tables.values())).sparkSession
-            materialize = "checkpoint" if checkpoint_dir(spark) else "persist"
+            materialize = "table" if shared else "persist"
+        if materialize == "table" and not shared:
+            raise ValueError("materialize='table' needs spark.checkpoint.dir or output_path")
         self.t = tables
         self.p = params
         self.materialize = materialize
         self.split = split  # skew-safe two-phase prefixes for per-item orders
+        self.output_path = output_path
+        self._scratch = f"{shared}/ledger-run-{uuid.uuid4().hex}" if materialize == "table" else None
         self._held: list[DataFrame] = []
 
-    def _cut(self, df: DataFrame) -> DataFrame:
+    def _cut(self, df: DataFrame, name: str) -> DataFrame:
         if self.materialize is None:
             return df
         if self.materialize == "persist":
             df = df.persist(StorageLevel.MEMORY_AND_DISK)
             self._held.append(df)
             return df
-        if checkpoint_dir(df.sparkSession) is None:
-            raise RuntimeError("materialize='checkpoint' needs spark.checkpoint.dir")
-        return df.checkpoint(eager=True)
+        base = self.output_path if self.output_path and name in OUTPUTS else self._scratch
+        df.write.mode("overwrite").parquet(f"{base}/{name}")
+        return self.spark.read.schema(df.schema).parquet(f"{base}/{name}")
 
     def release(self) -> None:
-        """Drop persisted intermediates."""
+        """Drop persisted intermediates and the run's own folder."""
         for df in self._held:
             df.unpersist()
         self._held.clear()
+        if self._scratch:
+            folder = self.spark._jvm.org.apache.hadoop.fs.Path(self._scratch)
+            folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+    def release_quietly(self) -> None:
+        """``release`` for the end of a program, when the session may be gone."""
+        with contextlib.suppress(Exception):
+            self.release()
 
     @functools.cached_property
     def v1(self) -> DataFrame:
         """Demand ledger (31 columns); read twice by the skew-safe balance."""
-        return self._cut(demand.demand_ledger(self.t, self.p))
+        return self._cut(demand.demand_ledger(self.t, self.p), "demand_ledger")
 
     @functools.cached_property
     def v2_full(self) -> DataFrame:
         """View 2 plus internal columns (Seq, flags)."""
         return self._cut(suppress.suppressed_ledger_full(self.v1, self.t["bin_stock"], self.p,
-                                                                  split=self.split))
+                                                         split=self.split), "suppressed_ledger_full")
 
     @functools.cached_property
     def v2(self) -> DataFrame:
@@ -100,34 +114,43 @@ class LedgerRun:
     @functools.cached_property
     def v3(self) -> DataFrame:
         """Quarantine pipe (12 columns); feeds the supply timeline and PO timing."""
-        return self._cut(quarantine.quarantine_pipe(self.t["lots"], self.t["item_master"], self.p))
+        return self._cut(quarantine.quarantine_pipe(self.t["lots"], self.t["item_master"], self.p),
+                         "quarantine_pipe")
 
     @functools.cached_property
     def v4(self) -> DataFrame:
         """Extended ledger (35 columns)."""
-        return self._cut(overlay.extended_ledger(self.v2_full, self.v3, self.p, split=self.split))
+        return self._cut(overlay.extended_ledger(self.v2_full, self.v3, self.p, split=self.split),
+                         "extended_ledger")
 
     @functools.cached_property
     def v5(self) -> DataFrame:
         """Supply action (45 columns)."""
-        return self._cut(action.supply_action(self.v4, self.v3, self.p))
+        return self._cut(action.supply_action(self.v4, self.v3, self.p), "supply_action")
+
+    @functools.cached_property
+    def deficits(self) -> DataFrame:
+        """The deficit rows that views 6 and 7 share, nine columns of view 5."""
+        return self._cut(risk.deficit_rows(self.v5, self.p), "deficit_rows")
 
     @functools.cached_property
     def vs(self) -> DataFrame:
         """Safety stock (16 columns)."""
         t = self.t
         return self._cut(safety.safety_stock_calc(t["ss_items"], t["receipts"],
-                                                  t["receipt_lines"], t["consumption"], self.p))
+                                                  t["receipt_lines"], t["consumption"], self.p),
+                         "safety_stock")
 
     @functools.cached_property
     def v6(self) -> DataFrame:
         """Run risk (12 columns); feeds reports P1-P3 and check D2."""
-        return self._cut(risk.run_risk(self.v5, self.vs, self.p))
+        return self._cut(risk.run_risk(self.deficits, self.vs, self.p), "run_risk")
 
     @functools.cached_property
     def _v7_rows(self) -> DataFrame:
-        return self._cut(buyer.buyer_control(self.v5, self.vs, self.v4, self.t["receipt_lines"],
-                                             self.p, sort=False, cut=self._cut))
+        rows = buyer.buyer_control(self.deficits, self.vs, self.v4, self.t["receipt_lines"], self.p,
+                                   sort=False, cut=lambda df: self._cut(df, "buyer_rows"))
+        return self._cut(rows, "buyer_control")
 
     def v7(self, sort: bool = True) -> DataFrame:
         """Buyer control (22 columns), in presentation order unless ``sort=False``;
@@ -135,9 +158,10 @@ class LedgerRun:
         return buyer.buyer_sort(self._v7_rows, self.p) if sort else self._v7_rows
 
     # dependency waves: everything in a wave only needs earlier waves
-    WAVES = (("v1", "v3", "vs"), ("v2_full",), ("v4",), ("v5",), ("v6", "_v7_rows"))
+    WAVES = (("v1", "v3", "vs"), ("v2_full",), ("v4",), ("v5",), ("deficits",), ("v6", "_v7_rows"))
     NEEDS = {"v1": (), "v3": (), "vs": (), "v2_full": ("v1",), "v4": ("v2_full", "v3"),
-             "v5": ("v4", "v3"), "v6": ("v5", "vs"), "_v7_rows": ("v5", "vs", "v4")}
+             "v5": ("v4", "v3"), "deficits": ("v5",), "v6": ("deficits", "vs"),
+             "_v7_rows": ("deficits", "vs", "v4")}
 
     def materialize_all(self, workers: int = 3, only: str | None = None) -> "LedgerRun":
         """Build every output (or ``only`` one and what it needs), submitting

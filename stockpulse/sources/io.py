@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,9 +19,15 @@ def normalize_name(name: str) -> str:
     return n
 
 
-def conform(df: DataFrame, schema: StructType) -> DataFrame:
-    """Rename to normalised names, cast to the declared types, add absent
-    nullable columns as NULL and drop the rest (column pruning starts here)."""
+def conform(df: DataFrame, schema: StructType, optional: Iterable[str] = ()) -> DataFrame:
+    """Rename to normalised names, cast to the declared types and drop the rest
+    (column pruning starts here).  Absent columns are an error, but for those in
+    ``optional``, which become NULL."""
+    may_lack = {c.lower() for c in optional}
+    have = {normalize_name(c).lower() for c in df.columns}
+    lacking = [f.name for f in schema.fields if f.name.lower() not in have | may_lack]
+    if lacking:
+        raise ValueError(f"required columns are absent: {', '.join(lacking)}; found {', '.join(df.columns)}")
     by_norm = {normalize_name(c).lower(): c for c in df.columns}
     cols = []
     for f in schema.fields:
@@ -31,22 +38,29 @@ def conform(df: DataFrame, schema: StructType) -> DataFrame:
 
 
 def load_tables(spark: SparkSession, base: str, fmt: str = "parquet",
-                names: dict[str, str] | None = None,
-                options: dict[str, str] | None = None) -> dict[str, DataFrame]:
+                names: dict[str, str] | None = None, options: dict[str, str] | None = None,
+                table_options: dict[str, dict[str, str]] | None = None,
+                optional: dict[str, Iterable[str]] | None = None) -> dict[str, DataFrame]:
     """Read the twelve sources, ``{base}/{file}`` per logical table.
 
-    ``names`` maps a logical name to a file/table name when they differ.
-    For ``fmt='table'`` the value is a catalog table name.
+    ``names`` maps a logical name to a file/table name when they differ.  For
+    ``fmt='table'`` it is a catalog table; for ``fmt='jdbc'`` the ``dbtable`` at
+    the URL ``base``, with ``options`` for all tables and ``table_options`` for one
+    (for instance ``partitionColumn`` and its bounds, to read in parallel).
+    ``optional`` lists, per logical table, the columns that may be absent.
     """
-    names = names or {}
+    names, table_options, optional = names or {}, table_options or {}, optional or {}
     out = {}
     for logical, schema in SOURCE_SCHEMAS.items():
         target = names.get(logical, logical)
         if fmt == "table":
             df = spark.table(target)
         else:
-            df = spark.read.format(fmt).options(**(options or {})).load(f"{base}/{target}")
-        out[logical] = conform(df, schema)
+            own = {**(options or {}), **table_options.get(logical, {})}
+            reader = spark.read.format(fmt).options(**own)
+            df = (reader.option("url", base).option("dbtable", own.get("dbtable", target)).load()
+                  if fmt == "jdbc" else reader.load(f"{base}/{target}"))
+        out[logical] = conform(df, schema, optional.get(logical, ()))
     return out
 
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
@@ -19,8 +19,7 @@ from stockpulse.sources.io import conform
 from stockpulse.sources.schemas import SOURCE_SCHEMAS
 
 AS_OF = dt.datetime(1998, 6, 15, 10, 0, 0)
-TODAY = AS_OF.date()
-WINDOW_BEFORE, WINDOW_AFTER = 60, 120  # demand window around TODAY, days
+FIRST_DAY = dt.date(1992, 1, 1)
 RECEIPTS_SINCE = dt.datetime(1996, 1, 1)
 DEMAND_YEARS = (1996, 1997)
 Q = DecimalType(19, 5)
@@ -51,7 +50,7 @@ def _days(ts: Column, n: Column) -> Column:
 
 
 def items(part: DataFrame) -> DataFrame:
-    """Per part: item number ``SS.NNNNNN``, vendor, UOM."""
+    """Per part: item number ``SS.NNNNNN`` (with a letter for every fourth), vendor, UOM."""
     k = F.col("p_partkey")
     series = (F.when(F.col("p_size") == 50, "70")
               .when(F.col("p_type").startswith("ECONOMY"), "10")
@@ -62,40 +61,39 @@ def items(part: DataFrame) -> DataFrame:
               .otherwise("60"))
     return part.select(
         k, "p_name", "p_brand", "p_size", "p_retailprice",
-        F.concat(series, F.lit("."), _pad(k, 6)).alias("itm"),
+        F.concat(series, F.lit("."), _pad(k, 6), F.when(k % 4 == 0, "R").otherwise("")).alias("itm"),
         F.when(k % 29 == 0, F.lit(None).cast("string"))
          .otherwise(F.concat(F.lit("V"), _pad(k % 100, 3))).alias("vnd"),
         F.when(k % 3 == 0, "EACH").when(k % 3 == 1, "CASE").otherwise("KG").alias("uom"),
     )
 
 
-def _line_groups(lineitem: DataFrame, cond: Column) -> DataFrame:
-    """Lineitem rows grouped on (order, line, part); (order, line) is not unique."""
-    return (lineitem.where(cond)
-            .groupBy("l_orderkey", "l_linenumber", "l_partkey")
-            .agg(F.min("l_suppkey").alias("supp"), F.min("l_quantity").alias("q"),
-                 F.min("l_returnflag").alias("rf"),
-                 F.min(F.to_date("l_shipdate")).alias("sd")))
+def _respell(cond: Column, text: Column) -> Column:
+    """Another spelling of the same key where ``cond`` holds: lower case, trailing blank."""
+    return F.when(cond, F.concat(F.lower(text), F.lit(" "))).otherwise(text)
 
 
 def adapt(tpch: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The twelve sources.  Every row of the four tables is kept; rules on keys only
+    set attributes (spellings, statuses, sites, blanks, unparsable text)."""
     part, orders, lineitem, customer = (tpch[t] for t in TPCH_TABLES)
     it = items(part)
-    lo = ts_lit(dt.datetime.combine(TODAY - dt.timedelta(days=WINDOW_BEFORE), dt.time()))
-    hi = ts_lit(dt.datetime.combine(TODAY + dt.timedelta(days=WINDOW_AFTER + 1), dt.time()))
-    # range predicate on the raw column so it reaches the parquet scan
-    lw = _line_groups(lineitem, (F.col("l_shipdate") >= lo) & (F.col("l_shipdate") < hi))
-    lwi = lw.join(it, lw.l_partkey == it.p_partkey)
     ok, ln, pk = F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_partkey")
+    lines = lineitem.select(ok, ln, pk, F.col("l_suppkey").alias("supp"), F.col("l_quantity").alias("q"),
+                            F.col("l_returnflag").alias("rf"), F.to_date("l_shipdate").alias("sd"))
+    lwi = lines.join(it, pk == F.col("p_partkey")).withColumns({
+        "itv": _respell(ok % 37 == 0, F.col("itm")),
+        "vnv": F.when(ok % 47 == 0, F.lit(None).cast("string")).otherwise(_respell(ok % 31 == 0, F.col("vnd"))),
+        "uov": _respell(ok % 43 == 0, F.col("uom"))})
     nul = F.lit(None).cast("string")
 
-    run = Window.partitionBy("l_partkey").orderBy("sd", "l_orderkey", "l_linenumber") \
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # a balance that falls by one a week and by the line's quantity: a row's own values only
+    weeks = F.floor(F.datediff(F.col("sd"), F.lit(FIRST_DAY)) / 7)
     demand = lwi.select(
         F.when(ok % 41 == 0, "")
          .when(ok % 5 == 0, F.concat(F.lit("mo #"), _pad(ok)))
          .otherwise(F.concat(F.lit("MO-"), _pad(ok))).alias("ORDERNUMBER"),
-        F.col("itm").alias("ITEMNMBR"),
+        F.col("itv").alias("ITEMNMBR"),
         F.when((ok + ln) % 17 == 0, "Partially Received")
          .when((ok + ln) % 19 == 0, "SCRAP")
          .otherwise("Released").alias("STSDESCR"),
@@ -106,28 +104,26 @@ def adapt(tpch: dict[str, DataFrame]) -> dict[str, DataFrame]:
         nul.alias("BEG_BAL"), nul.alias("Expiry"),
         F.when(pk % 3 == 0, _txt(4 * F.col("q"))).when(pk % 3 == 1, "")
          .when(pk % 15 == 2, "-5").when(pk % 15 == 5, "N/A").otherwise("3").alias("POs"),
-        _txt(2 * F.col("p_size") - F.sum("q").over(run)).alias("Running_Balance"),
+        F.when(ok % 97 == 0, "N/A").when(ok % 101 == 0, "1e3")
+         .otherwise(_txt(2 * F.col("p_size") + 200 - weeks - F.col("q"))).alias("Running_Balance"),
         F.lit("MRP").alias("MRPTYPE"), F.col("p_brand").alias("VendorItem"),
-        F.col("vnd").alias("PRIME_VNDR"),
+        F.col("vnv").alias("PRIME_VNDR"),
     )
-    begbal = (lw.select("l_partkey").distinct()
-              .join(it, F.col("l_partkey") == it.p_partkey)
-              .select(F.lit("Beg Bal").alias("ORDERNUMBER"), F.col("itm").alias("ITEMNMBR"),
-                      F.lit("Beg Bal").alias("STSDESCR"),
-                      F.lit("0").alias("Deductions"),
-                      _txt(2 * F.col("p_size")).alias("BEG_BAL"),
-                      _txt(2 * F.col("p_size")).alias("Running_Balance"),
-                      F.lit("MRP").alias("MRPTYPE"), F.col("p_brand").alias("VendorItem"),
-                      F.col("vnd").alias("PRIME_VNDR")))
-    planning = conform(demand, SOURCE_SCHEMAS["planning"]).unionByName(
-        conform(begbal, SOURCE_SCHEMAS["planning"]))
-
-    oc = orders.where(F.col("o_orderkey") % 17 != 0) \
-        .join(customer, F.col("o_custkey") == F.col("c_custkey"))
+    begbal = it.select(F.lit("Beg Bal").alias("ORDERNUMBER"), F.col("itm").alias("ITEMNMBR"),
+                       F.lit("Beg Bal").alias("STSDESCR"), F.lit("0").alias("Deductions"),
+                       _txt(2 * F.col("p_size")).alias("BEG_BAL"),
+                       _txt(2 * F.col("p_size")).alias("Running_Balance"),
+                       F.lit("MRP").alias("MRPTYPE"), F.col("p_brand").alias("VendorItem"),
+                       F.col("vnd").alias("PRIME_VNDR"))
+    unused = SOURCE_SCHEMAS["planning"].names
+    planning = conform(demand, SOURCE_SCHEMAS["planning"], unused).unionByName(
+        conform(begbal, SOURCE_SCHEMAS["planning"], unused))
+
     okey = F.col("o_orderkey")
-    fg_base = oc.select(F.concat(F.lit("MO"), _pad(okey)).alias("ORDERNUMBER"),
-                        F.col("c_name").alias("Customer"),
-                        F.col("c_mktsegment").alias("FG_Desc"), okey)
+    fg_base = orders.join(customer, F.col("o_custkey") == F.col("c_custkey")).select(
+        F.concat(F.when(okey % 17 == 0, "XX").otherwise("MO"), _pad(okey)).alias("ORDERNUMBER"),
+        F.when(okey % 29 == 0, F.concat(F.upper("c_name"), F.lit(" "))).otherwise(F.col("c_name")).alias("Customer"),
+        F.col("c_mktsegment").alias("FG_Desc"), okey)
     fg_orders = fg_base.select("ORDERNUMBER", F.concat(F.lit("FG"), (okey % 20).cast("string")).alias("FG"),
                                "Customer", "FG_Desc").unionByName(
         fg_base.where(okey % 13 == 0).select("ORDERNUMBER", F.lit("FGX").alias("FG"),
@@ -143,12 +139,13 @@ def adapt(tpch: dict[str, DataFrame]) -> dict[str, DataFrame]:
             F.col("uom").alias("UOMSCHDL"), F.lit("Yes").alias("Active")))
 
     iss = lwi.select(
-        _pad(ok).alias("MANUFACTUREORDER_I"), F.col("itm").alias("ITEMNMBR"),
+        _pad(ok).alias("MANUFACTUREORDER_I"), F.col("itv").alias("ITEMNMBR"),
         F.concat(F.lit("WC-W"), (F.col("supp") % 3).cast("string")).alias("WCID_I"),
         F.col("sd").cast("timestamp_ntz").alias("MRPISSUEDATE_I"),
         F.when(F.col("rf") == "R", F.floor(F.col("q") / 2)).otherwise(0).cast(Q).alias("QTY_ISSUED_I"),
-        F.lit(0).cast(Q).alias("QTY_BACKFLUSHED_I"),
-        F.col("q").cast(Q).alias("MRPAMOUNT_I"), F.lit(0).cast(Q).alias("ATYALLOC"), ok)
+        F.when(ok % 4 == 0, 2).otherwise(0).cast(Q).alias("QTY_BACKFLUSHED_I"),
+        F.col("q").cast(Q).alias("MRPAMOUNT_I"),
+        F.when(ok % 3 == 0, 1).otherwise(0).cast(Q).alias("ATYALLOC"), ok)
     mo_issues = iss.drop("l_orderkey").unionByName(
         iss.where(ok % 7 == 0).withColumn("MRPAMOUNT_I", (F.col("MRPAMOUNT_I") + 1).cast(Q))
            .withColumn("QTY_ISSUED_I", F.lit(1).cast(Q)).drop("l_orderkey"))
@@ -170,10 +167,11 @@ def adapt(tpch: dict[str, DataFrame]) -> dict[str, DataFrame]:
 
     def lot(k: int) -> DataFrame:
         recvd = 2 * F.col("p_size") + 3 * k
-        return it.where(pkey % 2 == 0).select(
-            F.col("itm").alias("ITEMNMBR"),
-            (F.lit("WF-Q") if k == 1 else
-             F.when(pkey % 5 == 0, "MAIN").otherwise("UNDERINV")).alias("LOCNCODE"),
+        held = (F.when(pkey % 8 == 0, "wf-q ").otherwise("WF-Q") if k == 1
+                else F.when(pkey % 5 == 0, "MAIN").otherwise("UNDERINV"))
+        return it.select(
+            _respell((pkey % 9 == 0) & F.lit(k == 2), F.col("itm")).alias("ITEMNMBR"),
+            F.when(pkey % 2 == 1, "MAIN").otherwise(held).alias("LOCNCODE"),
             F.concat(F.lit("L"), pkey.cast("string"), F.lit(f"-{k}")).alias("LOTNUMBR"),
             _days(asof, (pkey * 11) % 200).alias("EXPNDATE"),
             _days(asof, -(pkey % 90)).alias("DATERECD"),
@@ -181,28 +179,31 @@ def adapt(tpch: dict[str, DataFrame]) -> dict[str, DataFrame]:
             F.when(pkey % 10 == 0, recvd).otherwise(F.col("p_size")).cast(Q).alias("QTYSOLD"))
     lots = lot(1).unionByName(lot(2))
 
-    ss_items = it.select(F.col("itm").alias("ITEMNMBR"),
-                         F.when(pkey % 43 == 0, "").when(pkey % 47 == 0, "A**B")
-                          .otherwise(F.col("p_brand")).alias("VendorItem"),
-                         F.col("vnd").alias("PRIME_VNDR"),
-                         F.when(pkey % 53 == 0, "NO").otherwise("YES").alias("INCLUDE_MRP"))
-
-    rg = _line_groups(lineitem, F.col("l_shipdate") < ts_lit(dt.datetime.combine(TODAY, dt.time())))
-    rgi = rg.join(it, rg.l_partkey == it.p_partkey)
-    receipts = rgi.select(
-        F.col("itm").alias("Item_Number"), F.col("p_name").alias("Item_Description"),
-        F.col("uom").alias("U_Of_M"),
+    ss_one = it.select(F.col("itm").alias("ITEMNMBR"),
+                       F.when(pkey % 43 == 0, "").when(pkey % 47 == 0, "A**B")
+                        .otherwise(F.col("p_brand")).alias("VendorItem"),
+                       F.col("vnd").alias("PRIME_VNDR"),
+                       F.when(pkey % 53 == 0, "NO").otherwise("YES").alias("INCLUDE_MRP"))
+    # a second row for the same (item, vendor), spelled differently
+    ss_two = it.where(pkey % 61 == 0).select(
+        F.col("itm").alias("ITEMNMBR"), F.concat(F.col("p_brand"), F.lit("-2")).alias("VendorItem"),
+        _respell(F.lit(True), F.col("vnd")).alias("PRIME_VNDR"), F.lit("YES").alias("INCLUDE_MRP"))
+    ss_items = ss_one.unionByName(ss_two)
+
+    receipts = lwi.select(
+        F.col("itv").alias("Item_Number"), F.col("p_name").alias("Item_Description"),
+        F.col("uov").alias("U_Of_M"),
         F.when(pk % 59 == 0, "None").otherwise("Lot").alias("Item_Tracking_Option"),
         F.concat(F.lit("R"), ok.cast("string")).alias("POP_Receipt_Number"),
         F.col("q").cast(Q).alias("QTY_Shipped"), ln.alias("Receipt_Line_Number"),
         F.col("sd").cast("timestamp_ntz").alias("Created_Date"))
-    receipt_lines = rgi.select(
+    receipt_lines = lwi.select(
         F.concat(F.lit("R"), ok.cast("string")).alias("POPRCTNM"), ln.alias("RCPTLNNM"),
         F.col("itm").alias("ITEMNMBR"),
         F.when(ok % 10 == 0, F.lit(None).cast("string"))
          .otherwise(F.concat(F.lit("S"), ok.cast("string"))).alias("SERLTNUM"),
-        (F.col("p_retailprice") / 20).cast(Q).alias("UNITCOST"), F.col("vnd").alias("PRIME_VNDR"))
-    consumption = rgi.select(F.col("itm").alias("Component"), F.col("uom").alias("UoM"),
+        (F.col("p_retailprice") / 20).cast(Q).alias("UNITCOST"), F.col("vnv").alias("PRIME_VNDR"))
+    consumption = lwi.select(F.col("itv").alias("Component"), F.col("uov").alias("UoM"),
                              F.col("sd").cast("timestamp_ntz").alias("IssueDate"),
                              F.col("q").cast(Q).alias("IssueQty"))
 

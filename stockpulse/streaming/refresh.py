@@ -37,7 +37,7 @@ def start_refresh(spark: SparkSession, source_base: str, output_base: str,
         if batch.isEmpty():
             return
         run = LedgerRun(load_tables(spark, source_base, fmt), params(),
-                        materialize="checkpoint").materialize_all()
+                        materialize="auto").materialize_all()
         write_outputs(run.outputs(), output_base, workers=4)
 
     w = watch.writeStream.foreachBatch(refresh).option("checkpointLocation", location)
