@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from stockpulse.functions import group_by_keys, norm_key, str_eq
 from stockpulse.operators.demand import BEG_BAL
-from stockpulse.operators.prefix import prefix_sums
+from stockpulse.operators.prefix import order_prefix, prefix_sums
 from stockpulse.operators.quarantine import VIEW_LEVEL
 from stockpulse.operators.suppress import ST_BEGBAL
 from stockpulse.params import Params
@@ -72,7 +72,7 @@ def allocate_supply(dem: DataFrame, supply: DataFrame, p: Params, split: bool =
     out_of_stock = (F.col("_kind") == 1) & (F.col("Adjusted_Running_Balance") <= 0)
     stock = F.when(out_of_stock, F.col("Demand_Seq"))
     if split:
-        u = prefix_sums(u, "_k", {"_s_day": F.to_date("_t")}, order,
+        u = prefix_sums(u, "_k", {"_s_t": F.col("_t"), "_s_kind": F.col("_kind"), "_s_ord": order_prefix()}, order,
                         {"Demand_Seq": F.col("_kind"), "_cum": F.col("_qty")},
                         key_mins={"Stockout_Seq": ("Demand_Seq", out_of_stock)})
         u = u.withColumn("_cum", F.coalesce(F.col("_cum"), F.lit(0)))

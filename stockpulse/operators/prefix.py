@@ -5,9 +5,11 @@ task.  When one key holds a large share of all rows (a hot item), that task
 becomes the job.  The two-phase form here does not:
 
   1. split each key into segments by a deterministic segment key that is
-     monotone in the order (for the ledger: the Beg Bal flag and the
-     effective date; for the supply timeline: the event date), so a segment
-     is a contiguous run of the key's order and a hot key spans many tasks;
+     monotone in the order (for the ledger: the Beg Bal flag, the effective
+     date and the order number's first characters; for the supply timeline:
+     the event time and kind, then the order number's first characters), so a
+     segment is a contiguous run of the key's order and a hot key spans many
+     tasks, also if all its rows share one date or have none;
   2. per (key, segment), compute the local prefix with a window;
   3. aggregate one row per segment, and run a window over the segments of
      each key (one row per key and date) to get the offsets;
@@ -24,6 +26,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+#: Characters of the order number in a segment key.
+ORDER_PREFIX = 8
+
+
+def order_prefix() -> Column:
+    """The order number's first characters: monotone in the order number, never NULL."""
+    return F.coalesce(F.substring("ORDERNUMBER", 1, ORDER_PREFIX), F.lit(""))
+
+
 def with_segments(df: DataFrame, seg: dict[str, Column]) -> DataFrame:
     return df.withColumns(seg)
 

@@ -10,7 +10,7 @@ from pyspark.sql.types import DecimalType
 
 from stockpulse.functions import norm_key, str_eq, try_date, try_decimal, ts_lit
 from stockpulse.operators.demand import BEG_BAL, V1_COLUMNS, asc
-from stockpulse.operators.prefix import join_segments, segment_window, segments_before
+from stockpulse.operators.prefix import join_segments, order_prefix, segment_window, segments_before
 from stockpulse.params import Params
 
 # FIXED VALUES: demand status labels
@@ -135,17 +135,17 @@ def adjusted_balance_split(df: DataFrame, p: Params) -> DataFrame:
     """I8-I10, skew-safe: same result as ``adjusted_balance`` without putting
     a hot item into one task (see ``operators.prefix``).
 
-    Segments are (item, Beg Bal flag, effective date): contiguous runs of the
-    ledger order.  Per segment: local sequence, local lag, local running sum
+    Segments are (item, Beg Bal flag, effective date, order number prefix):
+    contiguous runs of the ledger order.  Per segment: local sequence, local lag, local running sum
     of adjusted deltas with the segment's first row counted 0.  Per item,
     over its segments: the sequence offset, the balance before the segment
     (to finish the first row's delta), the running total before the segment
     and the anchor (first balance of the item).
     """
-    seg = ["_s_flag", "_s_date"]
+    seg = ["_s_flag", "_s_date", "_s_ord"]
     # the rest of the ledger order as plain columns: both windows share one sort
     d = df.withColumns({"_k": norm_key(F.col("ITEMNMBR"), p.case_insensitive),
-                        "_s_flag": _ledger_flag(), "_s_date": _ledger_date(p),
+                        "_s_flag": _ledger_flag(), "_s_date": _ledger_date(p), "_s_ord": order_prefix(),
                         "_s_uv": F.coalesce(F.col("Unified_Value"), F.lit("")),
                         "_s_sts": F.coalesce(F.col("STSDESCR"), F.lit(""))})
     ws = segment_window("_k", seg, asc("ORDERNUMBER", "_s_uv", "_s_sts", *SEQ_TIEBREAK))

@@ -1,11 +1,16 @@
 """D4 regression diffs, and T1 key collation (trailing blanks, case)."""
 
 import datetime as dt
+import os
 from decimal import Decimal
 
 from conftest import make_tables
-from stockpulse.functions import str_eq
+import pytest
+
+from stockpulse.functions import str_eq, try_decimal
+from stockpulse.operators import buyer, demand, risk, safety
 from stockpulse.plans import LedgerRun
+from stockpulse.sources.io import conform
 from stockpulse.plans import reports as R
 from test_ledger_goldens import ITEM, _rows
 
@@ -46,3 +51,104 @@ def test_identical_issue_rows_count_once(spark, params):
     rows["mo_issues"].append(dict(a4))  # exact duplicate issue row
     v1 = LedgerRun(make_tables(spark, **rows), params, materialize=None).v1
     assert v1.where("ORDERNUMBER = 'MO-A4'").count() == 1
+
+
+def test_rollup_diff_with_null_keys(spark):
+    a = spark.createDataFrame([(None, "I1", Decimal(5)), (None, None, Decimal(1)), ("V1", "I1", None)],
+                              "PRIME_VNDR string, ITEMNMBR string, q decimal(18,2)")
+    assert R.rollup_diff(a, a, ["PRIME_VNDR", "ITEMNMBR"], ["q"]).count() == 0
+    b = a.where("ITEMNMBR IS NOT NULL")
+    assert [r["rows_after"] for r in R.rollup_diff(a, b, ["PRIME_VNDR", "ITEMNMBR"], ["q"]).collect()] == [None]
+
+
+def test_vendor_gaps(spark):
+    v7 = spark.createDataFrame([("I1", "UNASSIGNED"), ("I2", "V2"), ("I3", None), ("I4", "UNASSIGNED")],
+                               "ITEMNMBR string, PRIME_VNDR string")
+    src = spark.createDataFrame([("i1 ", "V9"), ("I1", "V1"), ("I3", None), ("I3", "V3"), ("I4", None)], v7.schema)
+    got = {r["ITEMNMBR"]: r["Known_Vendor"] for r in R.vendor_gaps(v7, [src]).collect()}
+    assert got == {"I1": "V1", "I3": "V3"}
+
+
+def _deficits(spark):
+    """Two deficit rows of one item, with two spellings of its vendor."""
+    cols = ("ITEMNMBR PRIME_VNDR ItemDescription UOM Construct Demand_Due_Date Deficit_Qty WFQ_Extended_Status").split()
+    rows = [("10.A", "V1", "Widget", "EACH", "Acme", dt.date(2026, 3, 1), Decimal(5), "LEDGER_ONLY"),
+            ("10.a ", "v1  ", "WIDGET", "each", "Beta", dt.date(2026, 3, 2), Decimal(7), "LEDGER_ONLY"),
+            ("10.A", "V1", "widget ", "EACH ", "ACME", dt.date(2026, 3, 1), Decimal(0), "LEDGER_ONLY")]
+    return spark.createDataFrame(rows, ", ".join(f"{c} {t}" for c, t in zip(cols, (
+        "string", "string", "string", "string", "string", "date", "decimal(18,2)", "string"))))
+
+
+def test_grouping_compares_keys_like_the_joins(spark, params):
+    ss = spark.createDataFrame([], "ITEMNMBR string, PRIME_VNDR string, LeadDays int, CalculatedSS_PurchasingUOM double")
+    f = _deficits(spark)
+    rows = risk.run_risk(f, ss, params).collect()
+    assert len(rows) == 1
+    assert (rows[0]["Threatened_Clients"], rows[0]["Client_Exposure_Count"], rows[0]["Total_Deficit_Qty"]) == (
+        "ACME, Beta", 2, Decimal(12))
+    v4 = spark.createDataFrame([("10.A", "V1"), ("10.A", "v1 ")], "ITEMNMBR string, PRIME_VNDR string")
+    b2 = buyer.consolidate(f, ss, v4, params).collect()
+    assert [r["Total_Deficit_Qty"] for r in b2] == [Decimal(24)]
+
+
+def test_demand_stats_group_spellings_together(spark, params):
+    used = spark.createDataFrame(
+        [("10.A", "EACH", dt.datetime(2024, 1, 3), Decimal(1)), ("10.a ", "each", dt.datetime(2024, 1, 4), Decimal(2))],
+        "Component string, UoM string, IssueDate timestamp_ntz, IssueQty decimal(19,5)")
+    weekly = safety.weekly_demand(used, params)
+    assert [(r["Component"], r["WeeklyDemand"]) for r in weekly.collect()] == [("10.A", Decimal(3))]
+    assert safety.demand_stats(weekly, params).count() == 1
+
+
+def test_second_safety_stock_row_repeats_the_buyer_row(spark, params):
+    """Two safety-stock rows per (item, vendor) with different quantities."""
+    ss = spark.createDataFrame(
+        [("10.A", "V1", 60, 4.0, Decimal(2), Decimal(8), Decimal(4)), ("10.A", "v1 ", 60, 6.0, Decimal(3), Decimal(8), Decimal(4))],
+        "ITEMNMBR string, PRIME_VNDR string, LeadDays int, CalculatedSS_PurchasingUOM double, "
+        "AverageCost decimal(38,6), SSValue decimal(18,2), CalculatedSS_MfgUOM decimal(18,6)")
+    v4 = spark.createDataFrame([("10.A", "V1")], "ITEMNMBR string, PRIME_VNDR string")
+    lines = spark.createDataFrame([], "ITEMNMBR string, PRIME_VNDR string, UNITCOST decimal(19,5)")
+    rows = buyer.buyer_control(_deficits(spark), ss, v4, lines, params).collect()
+    # two consolidated rows (their quantities differ), each meeting both cost rows again
+    assert sorted((r["Recommended_PO_Qty"], r["Unit_Cost"]) for r in rows) == [
+        (16.0, Decimal(2)), (16.0, Decimal(3)), (18.0, Decimal(2)), (18.0, Decimal(3))]
+
+
+def test_issue_metrics_take_allocations_off(spark):
+    row = [("M1", "I1", dt.datetime(2026, 1, 1), "WC-W1", Decimal(10), Decimal(1), Decimal(2), Decimal(3))]
+    got = demand.issue_metrics(spark.createDataFrame(
+        row, "MANUFACTUREORDER_I string, ITEMNMBR string, MRPISSUEDATE_I timestamp_ntz, WCID_I string, "
+             "MRPAMOUNT_I decimal(19,5), ATYALLOC decimal(19,5), QTY_ISSUED_I decimal(19,5), "
+             "QTY_BACKFLUSHED_I decimal(19,5)")).first()
+    assert (got["Total_Issued"], got["Remaining_Required"]) == (5, 4)
+
+
+def test_try_decimal_takes_no_exponent(spark):
+    df = spark.createDataFrame([(" 12.5 ",), ("1e3",), ("x",), (None,), ("-.5",)], "x string")
+    got = [r[0] for r in df.select(try_decimal(df.x, 18, 6)).collect()]
+    assert got == [Decimal("12.5"), None, None, None, Decimal("-0.5")]
+
+
+def test_conform_wants_its_columns(spark):
+    schema = "ITEMNMBR string, UOMSCHDL string"
+    frame = spark.createDataFrame([("10.A",)], "ITEM_NUMBER string")
+    target = spark.createDataFrame([], schema).schema
+    with pytest.raises(ValueError, match="ITEMNMBR"):
+        conform(frame, target)
+    assert conform(frame, target, ["itemnmbr", "UOMSCHDL"]).first() == (None, None)
+
+
+def test_run_removes_its_tables(spark, params, tmp_path):
+    run = LedgerRun(make_tables(spark, **_rows()), params, materialize="table", output_path=f"file://{tmp_path}/out")
+    assert run.v3.count() == 2 and run.v2_full.count() == 5
+    assert {p.name for p in (tmp_path / "out").iterdir()} >= {"quarantine_pipe", "demand_ledger"}
+    scratch = run._scratch.removeprefix("file://")
+    assert os.path.isdir(scratch)
+    run.release()
+    assert not os.path.exists(scratch) and (tmp_path / "out" / "quarantine_pipe").exists()
+
+
+def test_fg_map_is_cut_down_before_the_shuffle(spark, params):
+    t = make_tables(spark, fg_orders=[dict(ORDERNUMBER="MO1", FG="F")])
+    plan = demand.dedupe_fg(t["fg_orders"], params)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") == 2 and "Partial" in plan
