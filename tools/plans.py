@@ -1,8 +1,8 @@
 """Summarise the physical plan of each output (after execution, AQE final plan).
 
 usage: python tools/plans.py [sf_dir] > docs/PLANS.md
-With checkpointed intermediates each output's plan starts at the scans of its
-inputs, so the counts are per stage of the pipeline.
+With stored intermediates each output's plan starts at the scans of its inputs,
+so the counts are per stage of the pipeline.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ import tempfile
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from stockpulse.plans import LedgerRun, checkpoint_dir  # noqa: E402
+from stockpulse.plans import LedgerRun  # noqa: E402
 from stockpulse.session import local_session  # noqa: E402
 from stockpulse.sources import load_tables, write_outputs  # noqa: E402
 from stockpulse.sources.testdata import load_testdata, testdata_params  # noqa: E402
@@ -49,16 +49,16 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
     spark.conf.set("spark.sql.codegen.wholeStage", "true")
     work = tempfile.mkdtemp(prefix="stockpulse-plans-")
-    checkpoint_dir(spark, f"{work}/ckpt")
     write_outputs(load_testdata(spark, sf), f"{work}/sources")
-    run = LedgerRun(load_tables(spark, f"{work}/sources"), testdata_params(), materialize="checkpoint")
-    print(f"# Physical plans per output ({os.path.basename(sf)}, checkpointed intermediates)\n")
+    run = LedgerRun(load_tables(spark, f"{work}/sources"), testdata_params(),
+                    materialize="table", output_path=f"{work}/outputs")
+    print(f"# Physical plans per output ({os.path.basename(sf)}, intermediates stored as tables)\n")
     print("Generated by `python tools/plans.py`. Counts are nodes in the executed (AQE final)\n"
-          "plan of each output, starting from its checkpointed inputs; the plan of the\n"
+          "plan of each output, starting from its stored inputs; the plan of the\n"
           "output itself is what the count of `Exchange` nodes (shuffles) describes.\n")
     from stockpulse.operators import action, buyer, demand, overlay, quarantine, risk, safety, suppress
     t, p = run.t, run.p
-    # each output built fresh on top of its (checkpointed) inputs
+    # each output built fresh on top of its stored inputs
     outs = {
         "v1 demand ledger": lambda: demand.demand_ledger(t, p),
         "v2 suppressed ledger (skew-safe balance)": lambda: suppress.suppressed_ledger_full(
@@ -69,9 +69,11 @@ def main() -> None:
         "v5 supply action": lambda: action.supply_action(run.v4, run.v3, p),
         "vs safety stock": lambda: safety.safety_stock_calc(
             t["ss_items"], t["receipts"], t["receipt_lines"], t["consumption"], p),
-        "v6 run risk": lambda: risk.run_risk(run.v5, run.vs, p),
-        "v7 buyer control (shown without the run's checkpoint of the item/vendor rows, which a run reads once)": lambda: buyer.buyer_control(
-            run.v5, run.vs, run.v4, t["receipt_lines"], p, sort=False),
+        "deficit rows (shared by v6 and v7)": lambda: risk.deficit_rows(run.v5, p),
+        "v6 run risk": lambda: risk.run_risk(run.deficits, run.vs, p),
+        "v7 buyer control": lambda: buyer.buyer_control(
+            run.deficits, run.vs, run.v4, t["receipt_lines"], p, sort=False,
+            cut=lambda df: run._cut(df, "buyer_rows")),
     }
     for name, make in outs.items():
         print(summarise(name, make()))
