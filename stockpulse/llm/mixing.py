@@ -19,7 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stockpulse.llm.common import BROADCAST_ROWS, WORD, checkpointed, dense_index
+from stockpulse.llm.common import BROADCAST_ROWS, WORD, checkpointed, dense_index, fresh
 
 #: Draws are multiples of 2**-52, from 13 hex digits of a digest.
 COIN_RANGE = float(1 << 52)
@@ -73,15 +73,16 @@ def mix_plan(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), share: float =
     """``docs`` with size, source_size, target and copies."""
     added = ("size", "source_size", "target", "copies")
     sized = docs.select(*[c for c in docs.columns if c not in added], word_count(F.col(text_col)).alias("size"))
+    src = fresh(sized, "_source")
     sizes = sized.groupBy(F.col(source_col).alias("source")).agg(F.sum("size").alias("source_size"))
     targets = source_targets(sizes, weights, share, limit).select(
-        F.col("source").alias("_src"), "source_size", "target")
+        F.col("source").alias(src), "source_size", "target")
     if targets.count() <= BROADCAST_ROWS:  # one row per source; beyond that, a shuffled join
         targets = F.broadcast(targets)
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     whole = F.floor(rate)
     extra = (coin(seed, F.col(id_col), F.col(text_col)) < rate - whole).cast("int")
-    return (sized.join(targets, F.col(source_col).eqNullSafe(F.col("_src"))).drop("_src")
+    return (sized.join(targets, F.col(source_col).eqNullSafe(F.col(src))).drop(src)
             .withColumn("copies", (whole + extra).cast("int")))
 
 

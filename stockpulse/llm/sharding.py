@@ -34,16 +34,16 @@ def record_size(text_col: str = "text") -> Column:
     return (F.coalesce(F.octet_length(F.col(text_col)), F.lit(0)) + F.lit(8)).cast("long")
 
 
-def _scatter_hash(docs: DataFrame, id_col: str, text_col: str, seed: int, hot_rows: int) -> DataFrame:
-    """Adds ``_h``, the seeded hash of a record; records repeated more than
-    ``hot_rows`` times also get a row number into it."""
-    base = docs.withColumn("_h", F.xxhash64(F.lit(seed), F.col(id_col), F.col(text_col)))
-    hot = base.groupBy("_h").agg(F.count("*").alias("_n")).where(F.col("_n") > hot_rows).select("_h")
+def _scatter_hash(records: DataFrame, seed: int, hot_rows: int) -> DataFrame:
+    """Adds ``h``, the seeded hash of a record's id and text; records repeated more
+    than ``hot_rows`` times also get a row number into it."""
+    base = records.withColumn("h", F.xxhash64(F.lit(seed), "id", "text"))
+    hot = base.groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") > hot_rows).select("h")
     if hot.isEmpty():
         return base
-    salted = F.xxhash64(F.col("_h"), F.monotonically_increasing_id())
-    return base.join(hot.withColumn("_hot", F.lit(True)), "_h", "left").withColumn(
-        "_h", F.when(F.col("_hot"), salted).otherwise(F.col("_h"))).drop("_hot")
+    salted = F.xxhash64("h", F.monotonically_increasing_id())
+    return base.join(hot.withColumn("hot", F.lit(True)), "h", "left").withColumn(
+        "h", F.when(F.col("hot"), salted).otherwise(F.col("h"))).drop("hot")
 
 
 def shuffle_into_shards(docs: DataFrame, n_shards: int = 24, seed: int = 17,
@@ -55,32 +55,29 @@ def shuffle_into_shards(docs: DataFrame, n_shards: int = 24, seed: int = 17,
     ``bucket_bytes`` bounds a bucket; there are at least four buckets per core.
     """
     spark = docs.sparkSession
-    docs = docs.select(*[c for c in docs.columns if c not in ADDED]).withColumn("size", record_size(text_col))
-    total = docs.agg(F.sum("size")).first()[0] or 0
+    kept = [c for c in docs.columns if c not in ADDED]
+    # whole records as one column, so that no column of theirs clashes with ours
+    records = docs.select(F.struct(*kept, record_size(text_col).alias("size")).alias("record"),
+                          F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    total = docs.agg(F.sum(record_size(text_col))).first()[0] or 0
     n_buckets = max(math.ceil(total / bucket_bytes), 4 * spark.sparkContext.defaultParallelism)
-    hashed = _scatter_hash(docs, id_col, text_col, seed, hot_rows).withColumn(
-        "_b", F.pmod("_h", F.lit(n_buckets)).cast("int"))
+    hashed = _scatter_hash(records, seed, hot_rows).withColumn("b", F.pmod("h", F.lit(n_buckets)).cast("int"))
 
-    counts = hashed.groupBy("_b").agg(F.count("*").alias("_n"))
-    n_rows = counts.agg(F.sum("_n")).first()[0] or 0
+    counts = hashed.groupBy("b").agg(F.count("*").alias("n"))
+    n_rows = counts.agg(F.sum("n")).first()[0] or 0
     # one row per bucket, at most total / bucket_bytes of them
-    heads = running_offsets(counts, "_b", "_n", "_head").select("_b", "_head")
-
-    record = F.struct("_h", *docs.columns)
-    buckets = (hashed.repartitionById(n_buckets, F.col("_b")).groupBy("_b")
-               .agg(F.sort_array(F.collect_list(record)).alias("_rows"))
-               .withColumn("_rows", F.shuffle("_rows", F.lit(seed))))
-    placed = (buckets.join(F.broadcast(heads), "_b")
-              .select("_head", F.posexplode("_rows").alias("_at", "_r"))
-              .withColumn("_g", F.col("_head") + F.col("_at")))
-    lit_n, lit_s = F.lit(max(n_rows, 1)).cast("long"), F.lit(n_shards).cast("long")
-    shard = F.expr("_g * _s div _n")
-    first = F.expr("(shard * _s0 + _s - 1) div _s")
-    return (placed.withColumn("_n", lit_n).withColumn("_s", lit_s)
-            .withColumn("shard", shard)
-            .withColumn("_s0", F.col("_n")).withColumn("slot", F.col("_g") - first)
-            .select(*[F.col(f"_r.{c}").alias(c) for c in docs.columns],
-                    F.col("shard").cast("int").alias("shard"), F.col("slot").cast("long").alias("slot")))
+    heads = running_offsets(counts, "b", "n", "head").select("b", "head")
+
+    buckets = (hashed.select("b", F.struct("h", "record").alias("r")).repartitionById(n_buckets, F.col("b"))
+               .groupBy("b").agg(F.sort_array(F.collect_list("r")).alias("rows"))
+               .withColumn("rows", F.shuffle("rows", F.lit(seed))))
+    placed = (buckets.join(F.broadcast(heads), "b")
+              .select("head", F.posexplode("rows").alias("at", "r")).withColumn("g", F.col("head") + F.col("at")))
+    n = max(n_rows, 1)
+    # shard s holds the places g with g * n_shards div n = s: from ceil(s * n / n_shards) on
+    return (placed.withColumn("shard", F.expr(f"g * {n_shards}L div {n}L"))
+            .withColumn("slot", F.expr(f"g - (shard * {n}L + {n_shards - 1}L) div {n_shards}L"))
+            .select("r.record.*", F.col("shard").cast("int").alias("shard"), F.col("slot").cast("long").alias("slot")))
 
 
 def write_shards(shuffled: DataFrame, path: str) -> None:

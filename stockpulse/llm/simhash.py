@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stockpulse.llm.common import checkpointed, connected_components
+from stockpulse.llm.common import checkpointed, connected_components, fresh
 
 MAX_BITS = 2
 MIN_BYTES = 8 - MAX_BITS
@@ -122,6 +122,7 @@ def keep_one_per_component(docs: DataFrame, id_col: str = "doc_id", **params) ->
     rows with a null id, one stays where a component has no other id."""
     found = simhash_components(docs, id_col=id_col, **params)
     key = F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63)))
+    k = fresh(docs, "_key")
     heads = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("_k")).distinct()
-    return docs.withColumn("_k", key).join(heads, "_k", "left_semi").dropDuplicates(["_k"]).drop("_k")
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias(k)).distinct()
+    return docs.withColumn(k, key).join(heads, k, "left_semi").dropDuplicates([k]).drop(k)
