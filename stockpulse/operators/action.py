@@ -45,8 +45,14 @@ def turnaround(pipe: DataFrame, p: Params) -> DataFrame:
 
 def po_timing(df: DataFrame, turn: DataFrame, p: Params) -> DataFrame:
     """A5: left join by item only, so each ledger row repeats once per
-    quarantine row of its item (T15)."""
+    quarantine row of its item (T15), or meets the item's earliest release
+    with ``dedupe_timing``."""
     ci = p.case_insensitive
+    if p.dedupe_timing:
+        turn = turn.groupBy(norm_key(F.col("ITEMNMBR"), ci).alias("ITEMNMBR")).agg(
+            F.min("Estimated_Release_Date").alias("Estimated_Release_Date"),
+            F.min("PO_Turn_Around_Days").alias("PO_Turn_Around_Days"),
+            F.min("PO_Actual_Arrival_Date").alias("PO_Actual_Arrival_Date"))
     t = turn.select(norm_key(F.col("ITEMNMBR"), ci).alias("_t_item"),
                     F.col("Estimated_Release_Date").alias("PO_Release_Date"),
                     "PO_Turn_Around_Days", "PO_Actual_Arrival_Date")

@@ -73,8 +73,8 @@ def consolidate(fs: DataFrame, ss: DataFrame, v4: DataFrame, p: Params) -> DataF
           .join(n, (g._g_item == n._n_item) & (g._g_vnd == n._n_vnd), "left"))
     ss_hit = F.col("_s_item").isNotNull()
     wfq_vendor = F.when(F.col("_n").isNotNull(), F.col("PRIME_VNDR"))
-    total = (F.col("_sum_deficit") * F.coalesce(F.col("_n"), F.lit(1))
-             * F.coalesce(F.col("_m"), F.lit(1)))
+    total = (F.col("_sum_deficit") if p.dedupe_vendor_join else
+             F.col("_sum_deficit") * F.coalesce(F.col("_n"), F.lit(1)) * F.coalesce(F.col("_m"), F.lit(1)))
     return j.select(
         "ITEMNMBR",
         F.coalesce(F.col("_s_vendor"), F.col("PRIME_VNDR"), wfq_vendor, F.lit(UNASSIGNED))

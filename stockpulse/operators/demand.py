@@ -179,9 +179,11 @@ def rank_issues(m: DataFrame, p: Params) -> DataFrame:
 def match_issues(core: DataFrame, ranked: DataFrame, p: Params) -> DataFrame:
     """Core ⟕ issues on (order, item) and (exact qty & rn_qty=1 or rn_any=1).
 
-    A core row can match two issue rows (T7) and then appears twice."""
+    A core row can match two issue rows (T7) and then appears twice.  The issue's
+    order number is only trimmed, as in the source, unless ``normalize_issue_mo``."""
     ci = p.case_insensitive
-    r = ranked.select(norm_key(F.col("CleanMO"), ci).alias("_mo"),
+    mo = clean_order(F.col("CleanMO"), ci) if p.normalize_issue_mo else F.col("CleanMO")
+    r = ranked.select(norm_key(mo, ci).alias("_mo"),
                       norm_key(F.col("ITEMNMBR"), ci).alias("_it"),
                       F.col("MRP_IssueDate").alias("_ml_date"), F.col("WCID_I").alias("_ml_wc"),
                       F.col("Total_Issued").alias("_ml_issued"),

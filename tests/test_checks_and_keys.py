@@ -2,6 +2,7 @@
 
 import datetime as dt
 import os
+from dataclasses import replace
 from decimal import Decimal
 
 from conftest import make_tables
@@ -152,3 +153,18 @@ def test_fg_map_is_cut_down_before_the_shuffle(spark, params):
     t = make_tables(spark, fg_orders=[dict(ORDERNUMBER="MO1", FG="F")])
     plan = demand.dedupe_fg(t["fg_orders"], params)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("WindowGroupLimit") == 2 and "Partial" in plan
+
+
+def test_opt_in_flags(spark, params):
+    rows = _rows()
+    for r in rows["mo_issues"]:
+        r["MANUFACTUREORDER_I"] = f"MO-{r['MANUFACTUREORDER_I']}"
+    for r in rows["mo_status"]:
+        r["MANUFACTUREORDER_I"] = f"MO-{r['MANUFACTUREORDER_I']}"
+    plain = LedgerRun(make_tables(spark, **rows), params, materialize=None)
+    assert plain.v1.where("Remaining <> 0").count() == 0
+    flags = replace(params, normalize_issue_mo=True, dedupe_timing=True, dedupe_vendor_join=True)
+    run = LedgerRun(make_tables(spark, **rows), flags, materialize=None)
+    assert run.v1.where("Remaining <> 0").count() == 4
+    assert run.v5.count() == 5  # two quarantine rows, but no copies
+    assert run.v7().first()["Vendor_Total_Exposure"] == 40  # one copy, not times the ledger rows
