@@ -9,7 +9,8 @@
    sequences, walked along its cycles until it is back below their number, gives
    sequence s its slot in the training order: a bijection, computed per row.
 4. Pieces go straight to the partition of their shard (slot ranges of
-   ``per_shard``), are joined there and written in slot order.
+   ``per_shard``), in one compressed block per batch and shard; there each is put at
+   its place in the shard's buffer, and the records are written in slot order.
 
 A shard is raw little-endian uint16: record i of shard j is slot j * per_shard + i
 and starts at byte i * 2 * length, so a reader seeks to any slot by arithmetic and
@@ -25,11 +26,15 @@ writes nothing and gives no rows; other columns are ignored.
 from __future__ import annotations
 
 import base64
-from collections.abc import Iterator
+import sys
+import zlib
+from array import array
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,9 +50,11 @@ _MASK = (1 << 64) - 1
 
 
 def vocabulary(spark: SparkSession, path: str) -> list[bytes]:
-    """The vocabulary file's lines; read through Spark, so any file system will do."""
-    rows = spark.read.text(path if "://" in path else f"file://{path}").collect()  # one row per id, under 65,536
-    return [r[0].encode() for r in rows]
+    """The vocabulary file's lines (under 65,536): a file of the driver, or any URL that Spark reads."""
+    if "://" in path:
+        return [r[0].encode() for r in spark.read.text(path).collect()]
+    with open(path, "rb") as f:
+        return f.read().splitlines()
 
 
 def encoder(lines: list[bytes]):
@@ -57,6 +64,19 @@ def encoder(lines: list[bytes]):
     return tiktoken.Encoding("documents", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
+def _slices(batches: Iterator[pa.RecordBatch], rows: int = 1024) -> Iterator[pa.RecordBatch]:
+    """Batches in pieces of few documents, which bounds what a task holds besides its input."""
+    for batch in batches:
+        for at in range(0, len(batch), rows):
+            yield batch.slice(at, rows)
+
+
+def _little(ids: array) -> array:
+    if sys.byteorder == "big":
+        ids.byteswap()
+    return ids
+
+
 def token_table(docs: DataFrame, vocabulary_path: str, id_col: str, text_col: str) -> DataFrame:
     """(doc_id, part, start, n, ids): ids as uint16 bytes, start within partition ``part``."""
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary(docs.sparkSession, vocabulary_path))
@@ -65,10 +85,10 @@ def token_table(docs: DataFrame, vocabulary_path: str, id_col: str, text_col: st
     def tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(shared.value).encode_ordinary
         part, at = TaskContext.get().partitionId(), 0
-        for batch in batches:
+        for batch in _slices(batches):
             ids, starts, sizes = [], [], []
             for text in batch.column(1):
-                own = np.array(encode(text.as_py() or ""), dtype="<u2").tobytes() + end
+                own = _little(array("H", encode(text.as_py() or ""))).tobytes() + end
                 ids.append(own)
                 starts.append(at)
                 sizes.append(len(own) // 2)
@@ -133,26 +153,30 @@ class TokenShards:
         """(slot, ids) of the records from ``first_slot`` on; ids as uint16 bytes.
         Only the folders of the shards asked for are listed and read."""
         last = self.n_sequences - 1 if last_slot is None else min(last_slot, self.n_sequences - 1)
-        return self._records(spark, first_slot, last, lambda record: record, "binary").select(
-            "slot", F.col("value").alias("ids"))
+        return self._records(spark, first_slot, last, bytes, "ids binary")
 
     def digests(self, spark: SparkSession) -> DataFrame:
         """(slot, crc32) of every record as written."""
-        return self._records(spark, 0, self.n_sequences - 1, F.crc32, "long").select(
-            "slot", F.col("value").alias("crc32"))
+        return self._records(spark, 0, self.n_sequences - 1, zlib.crc32, "crc32 long")
 
-    def _records(self, spark: SparkSession, first: int, last: int, of, kind: str) -> DataFrame:
+    def _records(self, spark: SparkSession, first: int, last: int, of: Callable, column: str) -> DataFrame:
         if not self.n_sequences:
-            return spark.createDataFrame([], f"slot long, value {kind}")
+            return spark.createDataFrame([], f"slot long, {column}")
         files = (spark.read.schema("path string, modificationTime timestamp, length long, content binary, shard int")
                  .format("binaryFile").load(self.path)
                  .where(F.col("shard").between(first // self.per_shard, last // self.per_shard)))
-        n = (F.col("length") / F.lit(self.stride)).cast("int")
-        records = F.transform(F.sequence(F.lit(0), n - 1),
-                              lambda i: of(F.substring("content", i * self.stride + 1, F.lit(self.stride))))
-        return (files.select("shard", F.posexplode(records).alias("row", "value"))
-                .withColumn("slot", F.col("shard").cast("long") * self.per_shard + F.col("row"))
-                .where(F.col("slot").between(first, last)))
+        stride, per_shard, name = self.stride, self.per_shard, column.split()[0]
+
+        def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                for shard, content in zip(batch["shard"], batch["content"]):
+                    view = memoryview(content)
+                    yield pd.DataFrame({
+                        "slot": np.arange(len(view) // stride, dtype=np.int64) + int(shard) * per_shard,
+                        name: [of(view[i:i + stride]) for i in range(0, len(view), stride)]})
+
+        records = files.select("shard", "content").mapInPandas(cut, f"slot long, {column}")
+        return records.where(F.col("slot").between(first, last))
 
 
 def write_token_shards(tokens: DataFrame, path: str, length: int, per_shard: int,
@@ -169,25 +193,70 @@ def write_token_shards(tokens: DataFrame, path: str, length: int, per_shard: int
     placed = tokens.join(F.broadcast(heads), "part").withColumn("g", F.col("head") + F.col("start"))
     spread = F.sequence(F.expr(f"g div {cut}"), F.expr(f"(g + n - 1) div {cut}"))
 
-    def with_slot(pieces: DataFrame) -> DataFrame:
-        return pieces.withColumn("slot", _slot(F.col("sequence"), max(n_sequences, 1), key)).withColumn(
-            "shard", F.expr(f"cast(slot div {per_shard} as int)"))
-
-    index = with_slot(placed.select("doc_id", "g", F.explode(spread).alias("sequence"))).select(
-        "sequence", "slot", "doc_id", F.greatest("g", F.col("sequence") * cut).alias("start"))
+    index = placed.select("doc_id", "g", F.explode(spread).alias("sequence")).select(
+        "sequence", _slot(F.col("sequence"), max(n_sequences, 1), key).alias("slot"), "doc_id",
+        F.greatest("g", F.col("sequence") * cut).alias("start"))
     if not n_sequences:
         return shards, index
-    piece = F.transform(spread, lambda s: F.struct(
-        s.alias("sequence"), F.greatest(F.col("g"), s * cut).alias("start"),
-        F.substring("ids", ((F.greatest(F.col("g"), s * cut) - F.col("g")) * 2 + 1).cast("int"),
-                    ((F.least(F.col("g") + F.col("n"), (s + 1) * cut) - F.greatest(F.col("g"), s * cut)) * 2)
-                    .cast("int")).alias("bytes")))
-    pieces = with_slot(placed.select(F.inline(piece)))
-    end = END.to_bytes(2, "little")
-    records = (pieces.repartitionById(-(-n_sequences // per_shard), F.col("shard")).groupBy("shard", "slot")
-               .agg(F.expr("listagg(bytes) WITHIN GROUP (ORDER BY start)").alias("bytes"))
+    def cut_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Per batch and shard one compressed block of pieces, each with its byte offset in the shard."""
+        pack = zstandard.ZstdCompressor(level=3).compress
+        for batch in _slices(batches):
+            starts, parts = [], []
+            for g, n, ids in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+                view = memoryview(ids.as_buffer())
+                for low in (g, *range((g // cut + 1) * cut, g + n, cut)):
+                    high = min(g + n, (low // cut + 1) * cut)
+                    starts.append(low)
+                    parts.append(view[2 * (low - g):2 * (high - g)])
+            at = np.array(starts, dtype=np.int64)
+            slots = feistel(at // cut, n_sequences, key)
+            offsets = (slots % per_shard * cut + at % cut) * 2
+            sizes = np.array([len(p) for p in parts], dtype=np.int64)
+            shard = slots // per_shard
+            order = np.argsort(shard, kind="stable")
+            names, cuts = np.unique(shard[order], return_index=True)
+            blocks = []
+            for own in np.split(order, cuts[1:]):
+                head = np.concatenate([[len(own)], offsets[own], sizes[own]]).astype("<i8").tobytes()
+                blocks.append(pack(b"".join([head, *(parts[i] for i in own.tolist())])))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(names, pa.int32()), pa.array(blocks, pa.binary())], ["shard", "block"])
+
+    def join_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The records of a shard, its pieces put where they belong; what none reaches is padding."""
+        unpack = zstandard.ZstdDecompressor().decompress
+        now, room = None, b""
+
+        def records() -> pa.RecordBatch:
+            n = min(per_shard, n_sequences - now * per_shard)
+            return pa.RecordBatch.from_arrays(
+                [pa.array([now] * n, pa.int32()), pa.array(range(now * per_shard, now * per_shard + n), pa.int64()),
+                 pa.array([bytes(room[i * 2 * cut:(i + 1) * 2 * cut]) for i in range(n)], pa.binary())],
+                ["shard", "slot", "bytes"])
+
+        for batch in batches:
+            for shard, block in zip(batch.column(0).to_pylist(), batch.column(1)):
+                if shard != now:
+                    if now is not None:
+                        yield records()
+                    now, room = shard, bytearray(END.to_bytes(2, "little") * (cut * per_shard))
+                data = unpack(block.as_buffer())
+                n = int.from_bytes(data[:8], "little")
+                offsets, sizes = np.frombuffer(data, "<i8", 2 * n, 8).reshape(2, n).tolist()
+                at, view = 8 * (1 + 2 * n), memoryview(data)
+                for offset, size in zip(offsets, sizes):
+                    room[offset:offset + size] = view[at:at + size]
+                    at += size
+        if now is not None:
+            yield records()
+
+    blocks = placed.select("g", "n", "ids").mapInArrow(cut_up, "shard int, block binary")
+    records = (blocks.repartitionById(-(-n_sequences // per_shard), F.col("shard"))
+               .sortWithinPartitions("shard").mapInArrow(join_up, "shard int, slot long, bytes binary")
                .sortWithinPartitions("shard", "slot")
-               .select("shard", F.rpad("bytes", F.lit(2 * cut), F.lit(end)).cast("string").alias("value")))
+               .select("shard", F.col("bytes").cast("string").alias("value")))
+    end = END.to_bytes(2, "little")
     # the separator is the two bytes of the end-of-text id, so a record is 2 * length bytes
     (records.write.partitionBy("shard").option("encoding", "ISO-8859-1")
      .option("lineSep", end.decode("ISO-8859-1")).text(path))
@@ -205,7 +274,7 @@ def sequence_index(shards: TokenShards, index: DataFrame) -> DataFrame:
 
 
 def materialise(docs: DataFrame, stage, vocabulary_path: str = VOCABULARY, length: int = 1024,
-                per_shard: int = 8192, key: int = 17, path: str | None = None, id_col: str = "doc_id",
+                per_shard: int = 2048, key: int = 17, path: str | None = None, id_col: str = "doc_id",
                 text_col: str = "text") -> tuple[TokenShards, DataFrame]:
     """Tokenise, write the shards to ``path`` (in the stage's folder unless given),
     and return them with the index of their pieces."""
