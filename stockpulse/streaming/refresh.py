@@ -36,9 +36,11 @@ def start_refresh(spark: SparkSession, source_base: str, output_base: str,
     def refresh(batch: DataFrame, epoch_id: int) -> None:
         if batch.isEmpty():
             return
-        run = LedgerRun(load_tables(spark, source_base, fmt), params(),
-                        materialize="auto").materialize_all()
-        write_outputs(run.outputs(), output_base, workers=4)
+        run = LedgerRun(load_tables(spark, source_base, fmt), params())
+        try:
+            write_outputs(run.materialize_all().outputs(), output_base, workers=4)
+        finally:
+            run.release()  # each batch removes its own intermediates
 
     w = watch.writeStream.foreachBatch(refresh).option("checkpointLocation", location)
     if available_now:
