@@ -112,7 +112,9 @@ def simhash_components(docs: DataFrame, shingle: int = 3, list_limit: int = 16,
     linked = fps.join(roots, fps.fp == roots.node).select("fp", "root", "low")
     lowest = linked.groupBy("root").agg(F.min("low").alias("component"))
     of = linked.join(lowest, "root").select("fp", "component")
-    named = fps.join(of, "fp", "left").select("fp", F.coalesce("component", "low").alias("component_id"))
+    # one row per fingerprint, stored, so that the join can split a fingerprint of very many copies
+    named = checkpointed(fps.join(of, "fp", "left").select(
+        "fp", F.coalesce("component", "low").alias("component_id")))
     return rows.join(named, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
