@@ -67,6 +67,19 @@ def test_chains_match_quadratic_dynamic_programming():
         assert all(xs[a] < xs[b] and ys[a] < ys[b] for a, b in zip(top, top[1:]))
 
 
+def test_dissimilar_gaps_cut_a_chain(spark):
+    rnd = random.Random(21)
+    own = lambda n: ["".join(rnd.choice("abcdefghij") for _ in range(6)) for _ in range(n)]
+    one, two, long = own(60), own(60), own(120)
+    sides = [own(30) + one + own(70) + two + own(30) for _ in range(2)]  # two passages, unlike words between
+    grown = [own(25) + long + own(25), own(25) + long[:60] + own(70) + long[60:] + own(25)]  # 70 words put in
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(sides + grown)], "doc_id long, text string")
+    got = {r["doc_id"]: r["spans"] for r in passages.repeated_passages(docs).collect()}
+    for me, other in ((0, 1), (1, 0)):
+        assert got[me] == f"30:90:{other},160:220:{other}"
+    assert got[2] == "25:85:3,85:145:3" and got[3] == "25:85:2,155:215:2"
+
+
 def test_word_hashes_tell_words_apart():
     text = "One two\tone\n\x0b two  Three x  é"
     h = passages.word_hashes(text)
