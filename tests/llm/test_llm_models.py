@@ -80,6 +80,19 @@ def test_dissimilar_gaps_cut_a_chain(spark):
     assert got[2] == "25:85:3,85:145:3" and got[3] == "25:85:2,155:215:2"
 
 
+def test_a_passage_of_common_sentences_is_found_whole(spark):
+    rnd = random.Random(22)
+    own = lambda n: ["".join(rnd.choice("abcdefghij") for _ in range(6)) for _ in range(n)]
+    stock = [own(30) for _ in range(8)]  # sentences that other documents hold too, alone
+    texts = [own(40) + stock[0] + stock[1] + own(40), own(20) + stock[0] + stock[1] + own(20),
+             own(35) + sum(stock[2:], []) + own(35), own(15) + sum(stock[2:], []) + own(15)]
+    texts += [own(30) + s + own(30) for s in stock for _ in range(12)]
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(texts)], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in passages.repeated_passages(docs).collect()}
+    assert [got[i]["spans"] for i in range(4)] == ["40:100:1", "20:80:0", "35:215:3", "15:195:2"]
+    assert not any(got[i]["n_passages"] for i in range(4, len(texts)))
+
+
 def test_word_hashes_tell_words_apart():
     text = "One two\tone\n\x0b two  Three x  é"
     h = passages.word_hashes(text)
