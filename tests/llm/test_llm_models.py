@@ -93,6 +93,24 @@ def test_a_passage_of_common_sentences_is_found_whole(spark):
     assert not any(got[i]["n_passages"] for i in range(4, len(texts)))
 
 
+@pytest.mark.parametrize("every", [5, 6, 8, 10, 12])
+def test_edited_passages_are_recalled(spark, every):
+    """One word replaced in ``every``, at a random place of each group: identity 0.8 to 0.92."""
+    rnd = random.Random(every)
+    own = lambda n: ["".join(rnd.choice("abcdefghij") for _ in range(6)) for _ in range(n)]
+    rows, n = [], 60
+    for i in range(n):
+        words = own(60 if i % 2 else 100)
+        edited = list(words)
+        for low in range(0, len(words), every):
+            edited[min(low + (rnd.randrange(every) if every > 5 else 2), len(words) - 1)] = own(1)[0]
+        rows += [(2 * i, " ".join(own(30) + words + own(30))), (2 * i + 1, " ".join(own(45) + edited + own(20)))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["partners"] for r in passages.repeated_passages(docs).collect()}
+    found = sum(i ^ 1 in got[i] for i in got) / len(got)
+    assert found >= 0.95
+
+
 def test_word_hashes_tell_words_apart():
     text = "One two\tone\n\x0b two  Three x  é"
     h = passages.word_hashes(text)
