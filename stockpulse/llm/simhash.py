@@ -103,6 +103,12 @@ def fingerprint_links(fps: DataFrame, list_limit: int = 16) -> DataFrame:
             .where(F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= MAX_BITS).distinct())
 
 
+def component_roots(fps: DataFrame, list_limit: int) -> DataFrame:
+    """(fp, root) of every distinct value ``fp``: equal roots mean one component."""
+    roots = connected_components(fingerprint_links(fps, list_limit))
+    return fps.join(roots, fps.fp == roots.node, "left").select("fp", F.coalesce("root", "fp").alias("root"))
+
+
 def simhash_components(docs: DataFrame, shingle: int = 3, list_limit: int = 16,
                        id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, fingerprint, component_id), one row per row of ``docs``."""
@@ -120,11 +126,36 @@ def simhash_components(docs: DataFrame, shingle: int = 3, list_limit: int = 16,
 
 
 def keep_one_per_component(docs: DataFrame, id_col: str = "doc_id", **params) -> DataFrame:
-    """The rows of ``docs`` whose id names their component, one row per id; of
-    rows with a null id, one stays where a component has no other id."""
+    """The rows of ``docs`` whose id names their component, one row per id: of components
+    that the same id names, or a null id, one row stays (see ``one_row_per_component``)."""
     found = simhash_components(docs, id_col=id_col, **params)
     key = F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63)))
     k = fresh(docs, "_key")
     heads = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias(k)).distinct()
     return docs.withColumn(k, key).join(heads, k, "left_semi").dropDuplicates([k]).drop(k)
+
+
+def one_row_per_component(docs: DataFrame, shingle: int = 3, list_limit: int = 16,
+                          id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of ``docs`` for each component, whatever the ids: the one with the
+    smallest id (null last), then by hash of the text and of the row."""
+    i, h = fresh(docs, "_key"), fresh(docs, "_hash")
+    values = [F.col(c) for c, kind in docs.dtypes if "map<" not in kind and kind != "variant"]
+    named = docs.withColumn(i, F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63)))).withColumn(
+        h, F.xxhash64(*[F.struct(v.isNull(), v) for v in values]))
+
+    @F.pandas_udf("long")
+    def simhash(texts: pd.Series) -> pd.Series:
+        return pd.Series([fingerprint(t, shingle) for t in texts], dtype="int64")
+
+    rows = checkpointed(named.select(
+        simhash(F.col(text_col)).alias("fp"), F.col(id_col).isNull().alias("last"), F.col(i).alias("i"),
+        F.xxhash64(F.col(text_col)).alias("t"), F.col(h).alias("h")))
+    roots = checkpointed(component_roots(checkpointed(rows.select("fp").distinct()), list_limit))
+    first = F.min(F.struct("last", "i", "t", "h"))
+    # one row per fingerprint before the join, so that a fingerprint of very many copies meets in no task
+    heads = (rows.groupBy("fp").agg(first.alias("head")).join(roots, "fp")
+             .groupBy("root").agg(F.min("head").alias("head"))
+             .select(F.col("head")["i"].alias(i), F.col("head")["h"].alias(h)))
+    return named.join(heads, [i, h], "left_semi").dropDuplicates([i, h]).select(*docs.columns)

@@ -119,6 +119,20 @@ def test_one_document_of_each_component_stays(docs, rows, empty):
     assert simhash.simhash_components(empty).count() == 0
 
 
+def test_every_component_keeps_a_row_whatever_its_ids(spark, docs, rows, empty):
+    roots = dict(zip(rows, brute_components([brute_fingerprint(r[1]) for r in rows])))
+    kept = simhash.one_row_per_component(docs)
+    assert kept.columns == docs.columns
+    assert sorted(roots[tuple(r)] for r in kept.collect()) == sorted(set(roots.values()))
+    rnd = random.Random(8)
+    texts = [" ".join(rnd.choice("abcdefghij") * 3 + str(rnd.randrange(99)) for _ in range(40)) for _ in range(30)]
+    many = spark.createDataFrame([(None if i % 3 else 7, t, m) for i, t in enumerate(texts) for m in range(2)],
+                                 "doc_id long, text string, _hash int")  # 20 null ids, 10 texts under one id
+    got = simhash.one_row_per_component(many).collect()
+    assert sorted(r["text"] for r in got) == sorted(texts)
+    assert simhash.one_row_per_component(empty).count() == 0
+
+
 def test_mix_matches_brute_force(docs, rows, empty):
     sizes = [len(WORD.findall(r[1] or "")) for r in rows]
     per = {}
