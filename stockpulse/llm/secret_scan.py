@@ -2,7 +2,8 @@
 
 The lexer reads a whole text once for ``name = value`` and ``name: value`` forms
 of source and configuration syntax (dotted, bracketed and quoted names, quoted
-or bare values, joined string pieces, environment defaults).  Values that are
+or bare values of any length, joined string pieces, defaults of environment
+variables in calls and choices, declarations with a type; any blanks around signs).  Values that are
 names of earlier literals are resolved (constant propagation, in order of
 appearance, through chains), and each literal is scored by the most sensitive
 name it reaches, its length, its mix of characters and its entropy; placeholders
@@ -42,9 +43,21 @@ PLACEHOLDER = re.compile(
     r"(?:x{3,}|\*{3,}|\.{3,}|<.*>|\$\{.*\}|%.*%|your[_-].*|example.*|changeme|placeholder|todo|none|null|true|false"
     r"|undefined|test(?:ing)?|dummy|redacted)", re.IGNORECASE | re.ASCII)
 _STRING = r"""(?:"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*'|`(?:[^`\\\n]|\\.)*`)"""
-_BINDS = re.compile(r"(?<![=!<>:+*/-])(?::=|=>|[:=])(?![=:])[\x20\t]{0,8}")
-_NAME = re.compile(r"""([A-Za-z_][A-Za-z0-9_.-]{0,127})(?:\[["']([A-Za-z0-9_.-]{1,128})["']\])?["']?[\x20\t]{0,8}\Z""")
-_VALUE = re.compile(rf"{_STRING}(?:[\x20\t]*[+.][\x20\t]*{_STRING})*|[A-Za-z0-9+/_.=~@!-]{{1,4096}}")
+_BINDS = re.compile(r"(?<![=!<>:+*/-])(?::=|=>|[:=])(?![=:])[\x20\t]*")
+_NAME = re.compile(r"""([A-Za-z_][A-Za-z0-9_.-]{0,127})(?:\[["']([A-Za-z0-9_.-]{1,128})["']\])?["']?\Z""")
+_STRINGS = rf"{_STRING}(?:[\x20\t]*[+.][\x20\t]*{_STRING})*"
+_QUOTED, _BARE = re.compile(_STRINGS), re.compile(r"[A-Za-z0-9+/_.=~@!-]+")
+# What stands before a literal that is the default of an environment variable: a call or a choice.
+_ENV_CALL = re.compile(
+    rf"(?:[A-Za-z_][A-Za-z0-9_]*(?:\.|::))*(?:getenv|environ\.get|environ\.setdefault|env(?:\.(?:get|str))?|ENV\.fetch)"
+    rf"\([\x20\t\n]*{_STRING}[\x20\t\n]*,[\x20\t\n]*(?:default[\x20\t]*=[\x20\t]*)?")
+_ENV_ELSE = re.compile(
+    rf"(?:process\.env(?:\.[A-Za-z0-9_]+|\[{_STRING}\])|os\.environ\[{_STRING}\]|ENV\[{_STRING}\]"
+    rf"|(?:[A-Za-z_][A-Za-z0-9_]*\.)*(?:getenv|environ\.get)\([\x20\t]*{_STRING}[\x20\t]*\))"
+    r"[\x20\t]*(?:\|\||\?\?|\?:|or\b)[\x20\t]*")
+# The type and sign that stand between a declared name's colon and its value.
+_TYPE = r"""(?:&(?:'[a-z]+[\x20\t]+)?)?[A-Za-z_][A-Za-z0-9_.]*(?:\[[A-Za-z0-9_.,|\x20"']*\]|<[A-Za-z0-9_.,|\x20]*>)?"""
+_TYPED = re.compile(rf"{_TYPE}(?:[\x20\t]*\|[\x20\t]*{_TYPE})*\??[\x20\t]*=(?![=>])[\x20\t]*")
 _NAME_REACH = 280
 _PIECE = re.compile(_STRING)
 _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|[0-9]+")
@@ -77,32 +90,86 @@ def literal_score(literal: str, name_weight: float) -> float:
     return name_weight * spread * (0.4 if words_only else 0.7 + 0.1 * mixed)
 
 
+class _Run:
+    """A run of bare characters and the shares of a full score that its tails
+    behind each ``=`` have, all counted in one pass from its end."""
+
+    def __init__(self, text: str, start: int, stop: int):
+        self.start, self.stop = start, stop
+        self.end = start + len(text[start:stop].rstrip("."))
+        self.text, self.shares = text, None
+
+    def share(self, at: int) -> float:
+        """``literal_score`` of the run from ``at`` on, for a name of weight 1."""
+        if self.shares is None:
+            if at == self.start or self.text.find("=", at, self.end) < 0:
+                return literal_score(self.text[at:self.end], 1.0)
+            self.shares = self._tails()
+        return self.shares[at] if at in self.shares else literal_score(self.text[at:self.end], 1.0)
+
+    def _tails(self) -> dict[int, float]:
+        counts: Counter = Counter()
+        shares, stop = {}, self.end
+        while (sign := self.text.rfind("=", self.start, stop)) >= 0:
+            counts.update(self.text[sign + 1:stop])
+            at, n = sign + 1, self.end - sign - 1
+            if stop == self.end:
+                shares[at] = literal_score(self.text[at:stop], 1.0)
+            elif n < 8 or _PLACE_START.match(self.text, at):
+                shares[at] = 0.0
+            else:  # with a sign in it the tail is neither words alone nor another placeholder
+                seen = "".join(counts)
+                mixed = sum(bool(re.search(k, seen)) for k in ("[a-z]", "[A-Z]", "[0-9]", "[^A-Za-z0-9]"))
+                spread = -sum(k / n * math.log2(k / n) for k in counts.values()) / 3.0
+                shares[at] = min(1.0, spread) * (0.7 + 0.1 * mixed)
+            counts["="] += 1
+            stop = sign
+        return shares
+
+
+_PLACE_START = re.compile(r"your[_-]|example", re.IGNORECASE | re.ASCII)
+
+
 def lexed_spans(text: str, threshold: float) -> list[tuple[int, int]]:
     """Spans of literals that sensitive names are bound to, directly or through constants."""
     found: dict[tuple[int, int], float] = {}
-    constants: dict[str, list[tuple[int, int, str]]] = {}
+    constants: dict[str, tuple[list[tuple[int, int]], float]] = {}
+    run, typed = None, -1
     for bind in _BINDS.finditer(text):
-        named = _NAME.search(text[max(0, bind.start() - _NAME_REACH):bind.start()])
-        valued = _VALUE.match(text, bind.end()) if named else None
-        if not valued:
+        stop, start = bind.start(), bind.end()
+        if stop < typed:  # the sign behind a declared type, whose value is read already
+            continue
+        while stop and text[stop - 1] in " \t":
+            stop -= 1
+        named = _NAME.search(text[max(0, stop - _NAME_REACH):stop])
+        if not named:
             continue
         name = named[2] or named[1]
-        start, value = valued.start(), valued[0]
-        if value[0] in "\"'`":
-            literals = [(start + p.start() + 1, start + p.end() - 1, p[0][1:-1]) for p in _PIECE.finditer(value)]
+        if text[bind.start()] == ":" and (kind := _TYPED.match(text, start)):
+            start = typed = kind.end()
+        quoted = _QUOTED.match(text, start)
+        if not quoted and (before := _ENV_CALL.match(text, start) or _ENV_ELSE.match(text, start)):
+            quoted = _QUOTED.match(text, before.end())
+        if quoted:
+            literals = [(p.start() + 1, p.end() - 1) for p in _PIECE.finditer(text, quoted.start(), quoted.end())]
+            share = literal_score("".join(text[a:b] for a, b in literals), 1.0)
         else:
-            bare = value.rstrip(".")
-            known = constants.get(bare) or constants.get(bare.rpartition(".")[2])
-            literals = known or [(start, start + len(bare), bare)]
-        constants[name] = constants[name.rpartition(".")[2]] = literals
-        weight = sensitivity(name)
-        if weight:
-            whole = "".join(x for *_, x in literals)
-            score = literal_score(whole, weight)
-            if score >= threshold:
-                for a, b, _ in literals:
-                    if b > a:
-                        found[a, b] = max(score, found.get((a, b), 0.0))
+            if run is None or not run.start <= start < run.stop:  # a run is read once, however many signs it has
+                bare = _BARE.match(text, start)
+                if not bare:
+                    continue
+                run = _Run(text, *bare.span())
+            end = max(run.end, start)
+            known = constants.get(text[start:end]) if end - start <= 128 else None
+            if not known and (dot := text.rfind(".", max(start, end - 129), end)) >= 0:
+                known = constants.get(text[dot + 1:end])
+            literals, share = known or ([(start, end)], run.share(start) if end > start else 0.0)
+        constants[name] = constants[name.rpartition(".")[2]] = literals, share
+        score = sensitivity(name) * share
+        if score and score >= threshold:
+            for a, b in literals:
+                if b > a:
+                    found[a, b] = max(score, found.get((a, b), 0.0))
     return sorted(found)
 
 

@@ -319,6 +319,23 @@ def test_secret_lexing_follows_constants():
         assert secret_scan.lexed_spans(plain, 0.45) == []
 
 
+def test_secret_lexing_reads_aligned_long_defaulted_and_typed_values():
+    key = "zX9qwe8812AbLm4R"
+    rnd = random.Random(3)
+    long = "".join(rnd.choice("abcdefghijklmnopqrstuvwxyzABCDEFG0123456789+/") for _ in range(8000))
+    for text, want in (
+            ("aws_secret_access_key" + " " * 30 + "=" + "\t" * 12 + key, key), (f"signing_key = {long}\n", long),
+            (f'client_secret: str = "{key}"', key), (f'db_pwd:   Optional[str]    =   "{key}"', key),
+            (f'const auth_key: string | null = "{key}";', key),
+            (f'PRIVATE_KEY = os.environ.get("PRIVATE_KEY", "{key}")', key),
+            (f'private_key = os.getenv(\n    "K", default="{key}")', key),
+            (f'signing_key = process.env.SIGNING_KEY || "{key}"', key),
+            (f'private_key = os.getenv("K") or "{key}"', key)):
+        assert [text[a:b] for a, b in secret_scan.lexed_spans(text, 0.45)] == [want]
+    tails = "a=" * 20_000 + "password=" + key  # one long run with many signs
+    assert len(secret_scan.lexed_spans(tails, 0.45)) == 1
+
+
 def edit_distance_in(pattern, text):
     row = [0] * (len(text) + 1)
     for i, a in enumerate(pattern, 1):
