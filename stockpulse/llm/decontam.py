@@ -105,13 +105,15 @@ class Matcher:
                 item, k = self.items[key]
                 begin = last + 1 - size - offset
                 cell = (key, begin // (k + 1))
-                if cell in tried or any(a <= begin + k and begin <= b for a, b, _ in found.get(key, ())):
+                if cell in tried or any(abs(b - len(item) - begin) <= k for _, b, _ in found.get(key, ())):
                     continue
                 tried.add(cell)
                 low = max(0, begin - 2 * k - 1)
                 hit = myers(item, text[low:begin + len(item) + 2 * k + 1], k)
                 if hit:
                     stop = low + hit[1]
+                    if any(abs(b - stop) <= k for _, b, _ in found.get(key, ())):
+                        continue  # the same occurrence, by another piece
                     found.setdefault(key, []).append((max(0, stop - len(item) - k), stop, hit[0]))
         return sorted((key, max(a, b - len(self.items[key][0])), b, e)
                       for key, spans in found.items() for a, b, e in spans)

@@ -384,3 +384,14 @@ def test_leaks_match_brute_force(spark, docs, empty):
     assert {r["doc_id"] for r in clean.collect()} == {t[0] for t in texts} - {d for d, _ in want}
     assert decontam.find_leaks(empty, bench).count() == 0
     assert decontam.drop_contaminated(docs, bench.where("false")).count() == docs.count()
+
+
+def test_items_back_to_back_are_all_found():
+    rnd = random.Random(9)
+    item = "".join(rnd.choice("abcdefgh ") for _ in range(80))
+    k = decontam.budget(item, 0.1, 8)
+    near = item[:40] + "#" + item[41:]
+    for text, edits in ((item + item + item, [0, 0, 0]), ("xy" + item + near + item, [0, 1, 0])):
+        got = decontam.Matcher([(1, item)], 0.1, 8).find(text)
+        assert k and [e for *_, e in got] == edits
+        assert [b - a for _, a, b, _ in got] == [80] * 3
