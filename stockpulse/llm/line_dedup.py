@@ -1,12 +1,12 @@
-"""Line dedup by range-partitioned line hashes (DataFrame functions only).
+"""Line dedup by line hashes (DataFrame functions only).
 
 1. Every line of at least ``min_chars`` gives an occurrence (128-bit key hash,
-   document, position).  Occurrences are range-partitioned by hash with the
-   document and position as secondary sort keys, so even a line that a third of
-   the documents hold is spread over several ranges.
-2. Each range streams its sorted occurrences to one row per (hash, document) and
-   then to partial (number of documents, kept document); one row per hash and
-   range is shuffled to the final verdict.
+   document, position).  Occurrences are range-partitioned by hash, document and
+   position, so even a line that a third of the documents hold is spread over
+   several ranges.
+2. Two hash aggregations, each with its own exchange, give one row per (hash,
+   document) and then the number of documents and the kept document (the greatest
+   id) per hash.  Nothing is sorted within ranges or streamed.
 3. Positions to drop go back per document as a compressed keep bitmap: only the
    64-line words that lose a line, each with its bit mask.  No text is moved
    until the bitmaps meet the documents.
