@@ -1,5 +1,6 @@
 """Training-data operators: near-dedup, mixing, quality, secrets, line dedup,
-token shards, sharding, passage dedup, toxicity, decontamination.
+token shards, sharding, passage dedup, toxicity, decontamination, personal data,
+ranked search, spelling variants.
 
 Nothing else in the library imports this subpackage.  Operators are in one
 module each; ``queries.py`` applies them to the driver's tables and ``sql.py``

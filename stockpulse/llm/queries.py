@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stockpulse.llm import (
-    decontam, line_dedup, mixing, passages, quality, secret_scan, sharding, simhash, token_shards,
-    toxicity)
+    decontam, line_dedup, mixing, passages, quality, ranked_search, sanitise, secret_scan, sharding,
+    simhash, spelling, token_shards, toxicity)
 from stockpulse.llm.common import Stage, checkpointed, documents
 
 
@@ -69,8 +69,23 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.find_leaks(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"))
 
 
+def op11_pii_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = sanitise.scan_disclosures(documents(spark, sf_dir))
+    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone",
+                        F.sha2(F.encode("base_spans", "UTF-8"), 256).alias("base_sha256"), "spans")
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.ranked_search(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_simhash_near_dedup, op2_mix_sources, op3_quality_crf, op4_secret_scan, op5_line_dedup,
-        op6_token_shards, op7_shuffle_shards, op8_fuzzy_passages, op9_toxicity, op10_decontaminate)
+        op6_token_shards, op7_shuffle_shards, op8_fuzzy_passages, op9_toxicity, op10_decontaminate,
+        op11_pii_disclosure, op12_ranked_search, op13_spelling_variants)
 }

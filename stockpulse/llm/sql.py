@@ -60,4 +60,39 @@ SELECT doc_id, COUNT(*) AS n_lines, COUNT(*) FILTER (WHERE lost) AS n_dropped,
 FROM marked GROUP BY doc_id
 """
 
-ORACLE: dict[str, str] = {"op2_mix_sources": _MIX, "op5_line_dedup": _LINES}
+_SEARCH = """
+WITH doc AS (
+  SELECT row_number() OVER () AS rw, doc_id,
+         regexp_extract_all(COALESCE(text, ''), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS terms
+  FROM documents
+), item AS (
+  SELECT row_number() OVER () AS ino, item_id,
+         regexp_extract_all(COALESCE(text, ''), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS terms
+  FROM benchmark
+), total AS (
+  SELECT CAST(COUNT(*) AS BIGINT) AS n_all, CAST(SUM(len(terms)) AS BIGINT) AS l_all FROM doc WHERE len(terms) > 0
+), word AS (
+  SELECT rw, translate(unnest(terms), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term FROM doc
+), posting AS (
+  SELECT rw, term, CAST(COUNT(*) AS BIGINT) AS tf FROM word GROUP BY rw, term
+), weight AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * n_all + 2 AS DOUBLE) / CAST(2 * COUNT(*) + 1 AS DOUBLE))) AS BIGINT) AS w
+  FROM posting, total GROUP BY term, n_all
+), ask AS (
+  SELECT DISTINCT ino, term FROM (
+    SELECT ino, translate(unnest(terms), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term FROM item)
+), scored AS (
+  SELECT a.ino, p.rw, CAST(SUM(w.w * ((1000000000 * p.tf)
+           // (1000 * p.tf + 8 * (100 - 90 + ((90 * len(d.terms) * t.n_all) // t.l_all))))) AS BIGINT) AS score
+  FROM ask a JOIN weight w USING (term) JOIN posting p USING (term) JOIN doc d ON d.rw = p.rw, total t
+  GROUP BY a.ino, p.rw
+), ranked AS (
+  SELECT s.ino, d.doc_id, s.score,
+         ROW_NUMBER() OVER (PARTITION BY s.ino ORDER BY s.score DESC, d.doc_id NULLS FIRST) AS rank
+  FROM scored s JOIN doc d ON d.rw = s.rw WHERE s.score > 0
+)
+SELECT i.item_id, CAST(r.rank AS INTEGER) AS rank, r.doc_id, r.score
+FROM ranked r JOIN item i ON i.ino = r.ino WHERE r.rank <= 10
+"""
+
+ORACLE: dict[str, str] = {"op2_mix_sources": _MIX, "op5_line_dedup": _LINES, "op12_ranked_search": _SEARCH}
