@@ -41,17 +41,43 @@ def money(c: Column, precision: int = 18, scale: int = 2) -> Column:
 def ratio_half_up(num: str, den: str, scale: int) -> Column:
     """ROUND(num / den, scale), half away from zero, computed exactly.
 
-    ``num`` and ``den`` are SQL expressions over named columns.  Both are
-    brought to decimal(28,10); the quotient is formed with integral division
-    (``div``), so no intermediate rounding can move a tie.  NULL when den = 0.
-    """
-    n = f"CAST({num} AS DECIMAL(28,10))"
-    d = f"CAST({den} AS DECIMAL(28,10))"
-    mag = f"((abs({n}) * {2 * 10 ** scale} + abs({d})) div (abs({d}) * 2))"
-    signed = f"(CASE WHEN ({n} < 0) <> ({d} < 0) THEN -{mag} ELSE {mag} END)"
-    unit = f"CAST({10.0 ** -scale!r} AS DECIMAL({scale + 1},{scale}))"
-    return F.expr(f"CASE WHEN {d} = 0 THEN NULL "
-                  f"ELSE CAST({signed} AS DECIMAL(28,0)) * {unit} END")
+    ``num`` and ``den`` are SQL expressions over named columns, read at 10 decimal
+    places.  Both become whole numbers of 10^-10 (integer and fractional part apart,
+    so no product is rounded); the quotient's integer part comes from the exact
+    remainder, its decimals by long division of what is left.  Takes numbers below
+    10^27; beyond that, and where den = 0, the result is NULL, not an error."""
+    whole = DecimalType(38, 0)
+
+    def units(text: str) -> Column:
+        """The number in units of 10^-10."""
+        v = F.expr(text).try_cast(DecimalType(38, 10))
+        full = F.try_multiply((v - v % 1).try_cast(DecimalType(28, 0)), F.lit(10 ** 10))
+        return F.try_add(full, (v % 1 * F.lit(10 ** 10)).cast(DecimalType(10, 0))).try_cast(whole)
+
+    def size(v: Column) -> Column:  # abs() and unary minus round to 34 digits
+        return F.when(v < 0, (F.lit(0) - v).cast(whole)).otherwise(v)
+
+    def divide(x: Column) -> Column:
+        n, d = x["n"], F.nullif(x["d"], F.lit(0).cast(whole))
+
+        def digit(acc: Column, _: Column) -> Column:
+            left = F.try_multiply(acc["left"], F.lit(10)).try_cast(whole)
+            return F.struct((acc["digits"] * 10 + F.try_divide(left - left % d, d).cast("long")).alias("digits"),
+                            (left % d).cast(whole).alias("left"))
+
+        start = F.struct(F.lit(0).cast("long").alias("digits"), (n % d).cast(whole).alias("left"))
+        tail = F.aggregate(F.sequence(F.lit(1), F.lit(scale)), start, digit, lambda acc: F.when(
+            acc["left"] >= d - acc["left"], acc["digits"] + 1).otherwise(acc["digits"]))
+        integer = F.try_divide(n - n % d, d).try_cast(DecimalType(37 - scale, 0))
+        integer = F.when(x["below"], F.lit(0) - integer).otherwise(integer).cast(DecimalType(37 - scale, 0))
+        tail = F.when(x["below"], -tail).otherwise(tail).cast(DecimalType(scale + 1, 0))
+        return (integer + tail * F.lit(10.0 ** -scale).cast(DecimalType(scale + 1, scale))).cast(DecimalType(38, scale))
+
+    # one-element arrays hand a value on by name, so that no expression is repeated
+    pair = F.array(F.struct(units(num).alias("n"), units(den).alias("d")))
+    pair = F.transform(pair, lambda x: F.struct(size(x["n"]).alias("n"), size(x["d"]).alias("d"),
+                                                ((x["n"] < 0) != (x["d"] < 0)).alias("below")))
+    return F.get(F.transform(pair, divide), F.lit(0))
 
 
 def trunc_ratio(num: str, den: int, scale: int) -> Column:

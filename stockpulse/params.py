@@ -35,7 +35,7 @@ class Params:
     fallback_multiplier: float = 1.5
     # semantics
     case_insensitive: bool = True  # text keys compare like a CI collation
-    date_formats: tuple[str, ...] = ("yyyy-MM-dd", "M/d/yyyy", "yyyyMMdd")
+    date_formats: tuple[str, ...] = ()  # date patterns to accept besides the known shapes
     normalize_issue_mo: bool = False  # True: clean issue order numbers like demand ones before matching
     dedupe_timing: bool = False  # True: a ledger row meets its item's earliest release only
     dedupe_vendor_join: bool = False  # True: buyer sums are not multiplied by ledger and safety-stock rows

@@ -37,10 +37,17 @@ def test_us_week_g9(spark):
 
 
 def test_try_date(spark):
-    assert _one(spark, try_date(F.col("x")), "2026-01-15") == dt.date(2026, 1, 15)
-    assert _one(spark, try_date(F.col("x")), "1/5/2026") == dt.date(2026, 1, 5)
-    assert _one(spark, try_date(F.col("x")), "20260105") == dt.date(2026, 1, 5)
-    assert _one(spark, try_date(F.col("x")), "N/A") is None
+    day = dt.date(2026, 1, 5)
+    shapes = ["2026-01-05", "2026-1-5", "2026/01/05", "2026.1.5", "1/5/2026", "01-05-2026", "1.5.2026", "1/5/26", "20260105", "260105",
+              "5 Jan 2026", "05-JAN-2026", "5January2026", "Jan 5, 2026", "january 5 2026", "Jan. 5, 26", "2026 Jan 5"]
+    times = ["", " 00:00:00", " 10:30", "T10:00:00", " 23:59:59.997", " 9:05 AM", " 11:59:59pm", "T10:00:00Z", "T10:00:00+05:30"]
+    rows = [(s + t, day) for s in shapes for t in times]
+    rows += [(x, None) for x in ("N/A", "", None, "2026-02-30", "13/1/2026", "2026-13-01", "20260230", "5 Foo 2026", "5 Janu 2026",
+                                 "2026-01-05 25:00", "2026-01-05 10:61", "2026-01/05", "1/5", "2026", "0000-01-05", "123456789", "2026-01-05x")]
+    rows += [("  2026-01-05 ", day), ("2/29/2024", dt.date(2024, 2, 29)), ("1/1/50", dt.date(1950, 1, 1)), ("1/1/49", dt.date(2049, 1, 1)), ("1/2/2026", dt.date(2026, 1, 2))]
+    df = spark.createDataFrame(rows, "x string, day date").withColumn("got", try_date(F.col("x")))
+    assert [tuple(r) for r in df.where("NOT (got <=> day)").collect()] == []
+    assert _one(spark, try_date(F.col("x"), ("yyyy_DDD",)), "2026_005") == day  # a pattern of one's own
 
 
 def test_ratio_half_up_exact(spark):
@@ -50,6 +57,35 @@ def test_ratio_half_up_exact(spark):
     assert got == [Decimal("202.500000"), Decimal("0.000001"), Decimal("-0.333333"), None]
 
 
+def test_ratio_half_up_of_wide_numbers(spark):
+    """Sums of 1e18 and more, where an integer quotient leaves 64 bits."""
+    D = Decimal
+    cases = [("1e18", "1", "1000000000000000000.000000"), ("1e27", "1e5", "1e22"), ("123456789012345678901234567.1234567891", "1", "123456789012345678901234567.123457"),
+             ("999999999999999999999999999", "7", "142857142857142857142857142.714286"), ("-1e24", "3", "-333333333333333333333333.333333"),
+             ("5", "999999999999999999999999999", "0"), ("1e26", "2e26", "0.5"), ("0.0000005", "1", "0.000001"), ("-0.0000005", "1", "-0.000001"),
+             ("1e20", "0.0000000001", "1e30"), ("1", "0", None)]
+    df = spark.createDataFrame([(D(n), D(d)) for n, d, _ in cases], "n decimal(38,10), d decimal(38,10)")
+    got = [r["q"] for r in df.select(ratio_half_up("n", "d", 6).alias("q")).collect()]
+    assert got == [None if q is None else D(q) for _, _, q in cases]
+    # out of range: NULL, and the other rows still come
+    far = spark.createDataFrame([(D("9e30"), D("1")), (D("3"), D("2"))], "n decimal(38,5), d decimal(38,5)")
+    assert [r["q"] for r in far.select(ratio_half_up("n", "d", 6).alias("q")).collect()] == [None, D("1.500000")]
+
+
+def test_ratio_half_up_on_random_numbers(spark):
+    import random
+    from decimal import ROUND_HALF_UP, localcontext
+    rnd = random.Random(1)
+    rows = [(Decimal(rnd.randint(-10 ** rnd.randint(1, 36), 10 ** rnd.randint(1, 36))).scaleb(-10),
+             Decimal(rnd.choice([1, -1]) * rnd.randint(1, 10 ** rnd.randint(1, 30))).scaleb(-5)) for _ in range(300)]
+    df = spark.createDataFrame(rows, "n decimal(38,10), d decimal(38,5)").select("n", "d", ratio_half_up("n", "d", 6).alias("q"))
+    with localcontext() as ctx:
+        ctx.prec = 90
+        for n, d, q in df.collect():
+            want = (n / d).quantize(Decimal("0.000001"), ROUND_HALF_UP)
+            assert q == (want if abs(want) < Decimal("1e31") else None), (n, d)
+
+
 def test_trunc_ratio_truncates(spark):
     df = spark.createDataFrame([(45,), (60,), (100,)], "l int")
     got = [r["q"] for r in df.select(trunc_ratio("l", 7, 6).alias("q")).collect()]
