@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 import oracle_sql as O  # noqa: E402
+from stockpulse.functions import try_date  # noqa: E402
 from stockpulse.operators import (  # noqa: E402
     action, buyer, demand, overlay, risk, safety, suppress)
 from stockpulse.plans import LedgerRun  # noqa: E402
@@ -81,6 +82,9 @@ _reg("v7_buyer_control", lambda r: r.v7(), "SELECT * FROM v7", ["v7"], V7_NUM)
 
 # ---- operator-level tables
 _L1 = ["ORDERNUMBER", "ITEMNMBR", "STSDESCR", "CleanOrder", "CleanItem", "CleanDeductions"]
+_reg("n4_text_dates",
+     lambda r: r.t["planning"].select("ORDERNUMBER", "ITEMNMBR", "Date_Expiry", try_date(F.col("Date_Expiry")).alias("Expiry_Date")),
+     f"SELECT ORDERNUMBER, ITEMNMBR, Date_Expiry, {O.date_of('Date_Expiry')} AS Expiry_Date FROM planning", ["planning"])
 _reg("l1_demand_filter", lambda r: demand.filter_demand(r.t["planning"], r.p).select(*_L1),
      f"SELECT {', '.join(_L1)} FROM demand", ["demand"], ["CleanDeductions"])
 _reg("l2_fg_map", lambda r: demand.dedupe_fg(r.t["fg_orders"], r.p),
@@ -95,8 +99,7 @@ _L5 = ["ORDERNUMBER", "FG", "ITEMNMBR", "Construct", "FG_Desc", "ItemDescription
 def _core(r: LedgerRun) -> DataFrame:
     t, p = r.t, r.p
     pn = demand.filter_demand(t["planning"], p)
-    return demand.dedupe_ledger(demand.join_demand(pn, demand.dedupe_fg(t["fg_orders"], p),
-                                                   demand.item_lookup(t["vendor_items"], p), p), p)
+    return demand.core_ledger(pn, t["fg_orders"], t["vendor_items"], p)
 
 
 _reg("l5_core_ledger", lambda r: _core(r).select(*_L5), f"SELECT {', '.join(_L5)} FROM ledger", ["ledger"],
@@ -119,8 +122,7 @@ _reg("i10_adjusted_balance", lambda r: r.v2_full.select(*_I10),
 
 def _alloc(r: LedgerRun) -> DataFrame:
     led = overlay.demand_ledger_frame(r.v2_full)
-    return overlay.allocate_supply(overlay.demand_rows(led, r.p),
-                                   overlay.supply_schedule(r.v3, r.p), r.p)
+    return overlay.demand_rows(overlay.allocate_supply(led, overlay.supply_schedule(r.v3, r.p), r.p), r.p)
 
 
 _reg("w3_first_stockout",
@@ -195,6 +197,9 @@ _reg("d3_action_completeness", lambda r: R.action_completeness(r.v5),
 _reg("d4_rollup_diff",
      lambda r: R.rollup_diff(r.v4, r.v5, ["ITEMNMBR", "PRIME_VNDR"], ["Net_Demand"]),
      "SELECT * FROM rollup_diff", ["rollup_diff"], ["Net_Demand_before", "Net_Demand_after"])
+_reg("d4_regression_diff",  # run risk as the source counts it against each ledger row counted once
+     lambda r: R.regression_diff(r.v6, r.risk_without_copies, ["ITEMNMBR", "PRIME_VNDR", "ItemDescription", "UOM"]),
+     "SELECT * FROM risk_diff", ["risk_diff"], ["Total_Deficit_Qty"])
 _reg("d4_vendor_gaps", lambda r: R.vendor_gaps(r.v7(sort=False), [r.v4, r.vs]),
      "SELECT * FROM vendor_gaps", ["vendor_gaps"])
 

@@ -65,6 +65,12 @@ def po_timing(df: DataFrame, turn: DataFrame, p: Params) -> DataFrame:
     })
 
 
+def timing_copies(turn: DataFrame, p: Params) -> DataFrame:
+    """How often A5 repeats a ledger row: once per quarantine row of its item."""
+    copies = F.lit(1).cast("bigint") if p.dedupe_timing else F.count(F.lit(1))
+    return turn.groupBy(norm_key(F.col("ITEMNMBR"), p.case_insensitive).alias("_t_item")).agg(copies.alias("Copies"))
+
+
 def recommend(df: DataFrame) -> DataFrame:
     """A6 + A7: first matching rule wins."""
     ext = F.coalesce(F.col("Ledger_Extended_Balance"), F.lit(0))

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
 from stockpulse.functions import group_by_keys, money, norm_key, ratio_half_up
+from stockpulse.operators.risk import copied_sum
 from stockpulse.params import Params
 
 # FIXED VALUES: provenance and classification labels
@@ -61,7 +62,7 @@ def consolidate(fs: DataFrame, ss: DataFrame, v4: DataFrame, p: Params) -> DataF
         fs, {"ITEMNMBR": F.col("ITEMNMBR"), "PRIME_VNDR": F.col("PRIME_VNDR")}, [],
         [F.max("ItemDescription").alias("ItemDescription"), F.max("UOM").alias("UOM"),
          F.min("Demand_Due_Date").alias("First_Stockout_Date"),
-         F.sum("Deficit_Qty").alias("_sum_deficit"),
+         copied_sum(fs, "Deficit_Qty").alias("_sum_deficit"),
          F.count_distinct("Demand_Due_Date").alias("Demand_Lines_In_Bucket")], ci)
     g = _keys(g, "ITEMNMBR", "PRIME_VNDR", ci, "g")
     ssg = (_keys(ss, "ITEMNMBR", "PRIME_VNDR", ci, "s")
@@ -197,6 +198,11 @@ def buyer_sort(df: DataFrame, p: Params) -> DataFrame:
                       *[F.col(c).asc_nulls_first() for c in ROW_TIEBREAK])
 
 
+def priced_rows(fs: DataFrame, ss: DataFrame, v4: DataFrame, receipt_lines: DataFrame, p: Params) -> DataFrame:
+    """The item/vendor rows with cost and holding rate."""
+    return holding_rate(resolve_cost(consolidate(fs, ss, v4, p), ss, po_unit_cost(receipt_lines, p), p), p)
+
+
 def buyer_control(fs: DataFrame, ss: DataFrame, v4: DataFrame, receipt_lines: DataFrame,
                   p: Params, sort: bool = True,
                   cut: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
@@ -205,8 +211,7 @@ def buyer_control(fs: DataFrame, ss: DataFrame, v4: DataFrame, receipt_lines: Da
     The item/vendor rows feed both the vendor-exposure aggregate and the join
     back; ``cut`` (a checkpoint, in a run) materialises them once so the
     consolidation is not computed twice."""
-    vf = consolidate(fs, ss, v4, p)
-    h = holding_rate(resolve_cost(vf, ss, po_unit_cost(receipt_lines, p), p), p)
+    h = priced_rows(fs, ss, v4, receipt_lines, p)
     if cut is not None:
         h = cut(h)
     out = final_output(vendor_exposure(h, p), p)

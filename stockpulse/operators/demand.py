@@ -126,6 +126,61 @@ def dedupe_ledger(joined: DataFrame, p: Params) -> DataFrame:
         .drop("rn_final")
 
 
+def first_demand(pn: DataFrame, p: Params) -> DataFrame:
+    """The demand row that L5 can choose of each (order number, clean order, item).
+
+    All of them meet the same FG rows and the same item descriptions, so L5's choice
+    among them is made on demand columns alone, before the join."""
+    ci = p.case_insensitive
+    w = Window.partitionBy(norm_key(varchar(first_non_blank(F.col("ORDERNUMBER")), 255), ci), F.col("CleanOrder"),
+                           norm_key(F.col("ITEMNMBR"), ci)) \
+        .orderBy(*asc("STSDESCR", "DUEDATE", "Date_Expiry", "Deductions", "POs", "Running_Balance", "PRIME_VNDR",
+                      "VendorItem"))
+    return pn.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
+
+
+def first_description(il: DataFrame, p: Params) -> DataFrame:
+    """The description and UOM that L5 can choose of each item: the least pair."""
+    e = F.lit("")
+    pair = F.struct(varchar(F.coalesce("ItemDescription", e), 500).alias("d"), varchar(F.coalesce("UOMSCHDL", e), 50).alias("u"))
+    return (il.groupBy(norm_key(F.col("ItemNumber"), p.case_insensitive).alias("ItemNumber")).agg(F.min(pair).alias("_p"))
+            .select("ItemNumber", F.col("_p.d").alias("ItemDescription"), F.col("_p.u").alias("UOMSCHDL")))
+
+
+def named_fg(fg_orders: DataFrame, p: Params) -> DataFrame:
+    """L2 for orders with a clean number, one row per (clean order, FG as L4 shows it).
+
+    L2 keeps a NULL and a blank FG apart, L4 shows both as blank and L5 keeps one: both
+    choices are least values of one aggregate."""
+    ci = p.case_insensitive
+    m = fg_orders.withColumn("CleanOrder", clean_order(F.col("ORDERNUMBER"), ci)).where(F.col("CleanOrder") != "")
+    row = F.struct("Customer", "FG_Desc", "ORDERNUMBER", "FG")
+    g = m.groupBy("CleanOrder", norm_key(F.coalesce("FG", F.lit("")), ci).alias("_fg")).agg(
+        F.min(F.when(F.col("FG").isNull(), row)).alias("_null"), F.min(F.when(F.col("FG").isNotNull(), row)).alias("_text"))
+
+    def shown(c: str) -> Column:
+        return F.struct(F.col(c).isNull(), *[F.coalesce(F.col(f"{c}.{f}"), F.lit("")) for f in ("Customer", "FG_Desc")])
+    pick = F.when(shown("_null") < shown("_text"), F.col("_null")).otherwise(F.col("_text"))
+    return g.withColumn("_m", pick).select("CleanOrder", *[F.col(f"_m.{c}").alias(c)
+                                                           for c in ("ORDERNUMBER", "FG", "Customer", "FG_Desc")])
+
+
+def core_ledger(pn: DataFrame, fg_orders: DataFrame, vendor_items: DataFrame, p: Params) -> DataFrame:
+    """L4 + L5 without the fan-out: equals ``dedupe_ledger(join_demand(...))``.
+
+    The demand rows and descriptions among which L5 would choose after the join are
+    chosen before it, so a demand row meets each FG row of its order once and a
+    (order, FG, item) comes out once.  Only demand without a clean order number can
+    still meet in L5, because it takes the FG rows' order numbers: those rows (one per
+    item and spelling) are deduplicated apart.  Order numbers, items and FG codes are
+    taken to be no longer than the 255 characters that the source gives them."""
+    first, il = first_demand(pn, p), first_description(item_lookup(vendor_items, p), p)
+    loose = F.coalesce("CleanOrder", F.lit("")) == ""
+    blank = dedupe_fg(fg_orders, p).where(F.col("CleanOrder") == "")
+    return (join_demand(first.where(~loose), named_fg(fg_orders, p), il, p)
+            .unionByName(dedupe_ledger(join_demand(first.where(loose), blank, il, p), p)))
+
+
 def open_mo_issues(mo_issues: DataFrame, mo_status: DataFrame, p: Params) -> DataFrame:
     """Issue rows whose manufacture order is open (status 2 or 3); semi join."""
     ci = p.case_insensitive
@@ -151,29 +206,36 @@ def rank_issues(m: DataFrame, p: Params) -> DataFrame:
 
     rn_qty = 1: latest row per (MO, item, required qty); rn_any = 1: per
     (MO, item) the issued row first, then largest |qty|, then latest date.
-    Each is a pure top-1 (ROW_NUMBER = 1), which Spark plans as a partial
-    WindowGroupLimit before the shuffle, so a hot (MO, item) is cut down
-    map-side.  The two picks are merged by content with their flags (0/1):
-    rows identical in every column count once, which makes the match
-    deterministic where the source's choice among identical rows is not.
+    Both are least rows under an order written as a struct.  One aggregate per (MO,
+    item, required qty), combined map-side, finds the group's first row by either
+    order; the best of these by the second order is the (MO, item)'s.  Rows carry
+    their flags (0/1): a row that is first by both comes once, and rows identical
+    in every column count once, which makes the match deterministic where the
+    source's choice among identical rows is not.
     """
     ci = p.case_insensitive
-    mo, it = norm_key(F.col("CleanMO"), ci), norm_key(F.col("ITEMNMBR"), ci)
-    tail = [F.col("WCID_I").asc_nulls_first(), F.col("Total_Issued").desc_nulls_last(),
-            F.col("Remaining_Required").asc_nulls_first()]
-    w_qty = Window.partitionBy(mo, it, F.col("Required_Qty")) \
-        .orderBy(F.col("MRP_IssueDate").desc_nulls_last(), *tail)
-    w_any = Window.partitionBy(mo, it).orderBy(
-        F.when(F.col("Total_Issued") > 0, 1).otherwise(2).asc_nulls_first(),
-        F.abs(F.col("Required_Qty")).desc_nulls_last(),
-        F.col("MRP_IssueDate").desc_nulls_last(), *tail)
-    cols = m.columns
-    q = (m.withColumn("_rn", F.row_number().over(w_qty)).where("_rn = 1")
-          .select(*cols, F.lit(1).alias("rn_qty"), F.lit(0).alias("rn_any")))
-    a = (m.withColumn("_rn", F.row_number().over(w_any)).where("_rn = 1")
-          .select(*cols, F.lit(0).alias("rn_qty"), F.lit(1).alias("rn_any")))
-    return q.unionByName(a).groupBy(*cols).agg(F.max("rn_qty").alias("rn_qty"),
-                                               F.max("rn_any").alias("rn_any"))
+    keys = [norm_key(F.col("CleanMO"), ci).alias("_mo"), norm_key(F.col("ITEMNMBR"), ci).alias("_it")]
+
+    def last(c: Column) -> list[Column]:
+        """Descending, NULL last."""
+        return [c.isNull(), -c]
+    by_date = [*last(F.unix_date("MRP_IssueDate")), F.col("WCID_I"), *last(F.col("Total_Issued")), F.col("Remaining_Required")]
+    by_use = [F.when(F.col("Total_Issued") > 0, 1).otherwise(2), *last(F.abs(F.col("Required_Qty"))), *by_date]
+
+    def order(cols: list[Column]) -> Column:
+        return F.struct(*[c.alias(f"o{i}") for i, c in enumerate(cols)])
+    row = F.struct(*m.columns)
+    g = m.groupBy(*keys, "Required_Qty").agg(
+        F.min(F.struct(order(by_date).alias("o"), row.alias("r"))).alias("q"),
+        F.min(F.struct(order(by_use).alias("o"), row.alias("r"))).alias("a"))
+    g = g.withColumn("best", F.min("a").over(Window.partitionBy("_mo", "_it"))["r"])
+    both = F.col("q.r").eqNullSafe(F.col("best"))
+
+    def flagged(r: str, qty: int, any_: Column) -> Column:
+        return F.struct(F.col(r).alias("r"), F.lit(qty).alias("rn_qty"), any_.cast("int").alias("rn_any"))
+    more = F.when(F.col("a.r").eqNullSafe(F.col("best")) & ~both, flagged("best", 0, F.lit(1)))
+    return (g.select(F.explode(F.array_compact(F.array(flagged("q.r", 1, both), more))).alias("x"))
+            .select("x.r.*", "x.rn_qty", "x.rn_any"))
 
 
 def match_issues(core: DataFrame, ranked: DataFrame, p: Params) -> DataFrame:
@@ -231,8 +293,7 @@ V1_COLUMNS = ["ITEMNMBR", "ItemDescription", "UOM", "ORDERNUMBER", "Construct",
 def demand_ledger(t: dict[str, DataFrame], p: Params) -> DataFrame:
     """V1: the demand ledger, 31 columns."""
     pn = filter_demand(t["planning"], p)
-    core = dedupe_ledger(join_demand(pn, dedupe_fg(t["fg_orders"], p),
-                                     item_lookup(t["vendor_items"], p), p), p)
+    core = core_ledger(pn, t["fg_orders"], t["vendor_items"], p)
     # The source also left-joins the item master to the issue rows without
     # using a column of it; with one master row per item that join is a no-op
     # and is left out.

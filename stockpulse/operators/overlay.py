@@ -7,9 +7,8 @@ from pyspark.sql import functions as F
 
 from stockpulse.functions import group_by_keys, norm_key, str_eq
 from stockpulse.operators.demand import BEG_BAL
-from stockpulse.operators.prefix import order_prefix, prefix_sums
 from stockpulse.operators.quarantine import VIEW_LEVEL
-from stockpulse.operators.suppress import ST_BEGBAL
+from stockpulse.operators.suppress import ST_BEGBAL, is_demand
 from stockpulse.params import Params
 
 # FIXED VALUES: overlay status labels
@@ -28,9 +27,7 @@ def demand_ledger_frame(v2full: DataFrame) -> DataFrame:
 
 def demand_rows(led: DataFrame, p: Params) -> DataFrame:
     """Not Beg Bal, due date present, requirement != 0 (NULL order drops)."""
-    return led.where(~str_eq(F.trim(F.col("ORDERNUMBER")), BEG_BAL, p.case_insensitive)
-                     & F.col("DUEDATE").isNotNull()
-                     & (F.coalesce(F.col("Original_Required"), F.lit(0)) != 0))
+    return led.where(is_demand(p, "Original_Required"))
 
 
 def supply_schedule(pipe: DataFrame, p: Params) -> DataFrame:
@@ -40,91 +37,91 @@ def supply_schedule(pipe: DataFrame, p: Params) -> DataFrame:
                          [F.sum("QTY_ON_HAND").alias("WFQ_Qty")], p.case_insensitive)
 
 
-def allocate_supply(dem: DataFrame, supply: DataFrame, p: Params, split: bool = True) -> DataFrame:
-    """W2 + W3 + W5 in one pass over a per-item timeline (rewrite R2).
+def cover_by_date(led: DataFrame, supply: DataFrame, p: Params, influx_only: bool = False) -> DataFrame:
+    """W3 and W5 per (item, due date): the item's first stockout and all supply
+    released at or before the date.
 
-    Demand rows and supply rows are unioned and ordered per item by
-    (time, supply before demand, order, audit key, ledger seq):
-      Demand_Seq   running count of demand rows (= ROW_NUMBER over demand rows
-                   by due date, order no., audit key),
-      cum supply   running SUM of supply, i.e. all supply released at or
-                   before the due date,
-      Stockout_Seq MIN Demand_Seq whose adjusted balance is <= 0.
-    Influx is the cumulative supply on demand rows at/after the stockout.
-    Linear per item, instead of the demand x supply product of the plain form.
-
-    ``split=True`` computes the running sums with the skew-safe two-phase
-    prefix (a hot item spans many tasks) and the stockout as a per-item
-    partial aggregate; False uses single per-item windows.
-    """
+    Demand rows are aggregated to one row per (item, due date) first, supply to one
+    per (item, release), so an item's timeline has as many rows as it has distinct
+    dates, however many ledger rows it holds.  ``influx_only`` keeps the dates on which
+    demand can get any supply, which is all that the overlay needs."""
+    ci = p.case_insensitive
+    out = F.when(F.col("Adjusted_Running_Balance") <= 0, F.col("Demand_Seq"))
+    due = (demand_rows(led, p).groupBy(norm_key(F.col("ITEMNMBR"), ci).alias("_k"), F.col("DUEDATE").alias("_due"))
+           .agg(F.min(out).alias("_out"))
+           .select("_k", F.col("_due").cast("timestamp_ntz").alias("_t"), F.lit(1).alias("_kind"), "_due", "_out",
+                   F.lit(None).cast("decimal(38,5)").alias("_qty")))
+    released = (supply.groupBy(norm_key(F.col("ITEMNMBR"), ci).alias("_k"),
+                               F.col("Estimated_Release_Date").cast("timestamp_ntz").alias("_t"))
+                .agg(F.sum("WFQ_Qty").cast("decimal(38,5)").alias("_qty"))
+                .select("_k", "_t", F.lit(0).alias("_kind"), F.lit(None).cast("date").alias("_due"),
+                        F.lit(None).cast("bigint").alias("_out"), "_qty"))
+    item = Window.partitionBy("_k")
+    upto = item.orderBy("_t", "_kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return (due.unionByName(released.where(F.col("_t").isNotNull()))
+            .withColumns({"_cum": F.coalesce(F.sum("_qty").over(upto), F.lit(0)), "Stockout_Seq": F.min("_out").over(item)})
+            .where("_kind = 1" + " AND _cum > 0 AND Stockout_Seq IS NOT NULL" * influx_only)
+            .select("_k", "_due", "_cum", "Stockout_Seq"))
+
+
+def allocate_supply(led: DataFrame, supply: DataFrame, p: Params, influx_only: bool = False) -> DataFrame:
+    """W3 + W5 on every ledger row (rewrite R2): Stockout_Seq and the influx, which
+    demand rows at or after the stockout get; NULL on rows that are no demand.
+
+    Rows keep their number and meet one row per (item, due date): no demand x supply
+    product and no window over the ledger.  The demand sequence (W2) is the running
+    count that the balance scan has left (``Demand_Seq``): on demand rows the ledger
+    order is the order by due date, order number, audit key and sequence.  With
+    ``influx_only`` Stockout_Seq stays NULL where no supply can come in."""
     ci = p.case_insensitive
-    d = dem.withColumns({"_k": norm_key(F.col("ITEMNMBR"), ci),
-                         "_t": F.col("DUEDATE").cast("timestamp_ntz"),
-                         "_kind": F.lit(1), "_qty": F.lit(None).cast("decimal(38,5)")})
-    s = supply.select(norm_key(F.col("ITEMNMBR"), ci).alias("_k"),
-                      F.col("Estimated_Release_Date").cast("timestamp_ntz").alias("_t"),
-                      F.lit(0).alias("_kind"), F.col("WFQ_Qty").cast("decimal(38,5)").alias("_qty"))
-    u = d.unionByName(s, allowMissingColumns=True)
-    order = [F.col("_t").asc_nulls_first(), F.col("_kind").asc_nulls_first(),
-             F.col("ORDERNUMBER").asc_nulls_first(),
-             F.coalesce(F.col("Unified_Value"), F.lit("")).asc_nulls_first(),
-             F.col("Seq").asc_nulls_first()]
-    out_of_stock = (F.col("_kind") == 1) & (F.col("Adjusted_Running_Balance") <= 0)
-    stock = F.when(out_of_stock, F.col("Demand_Seq"))
-    if split:
-        u = prefix_sums(u, "_k", {"_s_t": F.col("_t"), "_s_kind": F.col("_kind"), "_s_ord": order_prefix()}, order,
-                        {"Demand_Seq": F.col("_kind"), "_cum": F.col("_qty")},
-                        key_mins={"Stockout_Seq": ("Demand_Seq", out_of_stock)})
-        u = u.withColumn("_cum", F.coalesce(F.col("_cum"), F.lit(0)))
-    else:
-        upto = Window.partitionBy("_k").orderBy(*order) \
-            .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        u = u.withColumns({
-            "Demand_Seq": F.sum(F.col("_kind")).over(upto),
-            "_cum": F.coalesce(F.sum(F.col("_qty")).over(upto), F.lit(0)),
-        })
-        u = u.withColumn("Stockout_Seq", F.min(stock).over(Window.partitionBy("_k")))
+    cover = cover_by_date(led, supply, p, influx_only)
+    j = led.withColumn("_w1", is_demand(p, "Original_Required"))
+    j = j.join(cover, F.col("_w1") & (norm_key(F.col("ITEMNMBR"), ci) == F.col("_k"))
+               & (F.col("DUEDATE") == F.col("_due")), "left")
     gate = F.col("Stockout_Seq").isNotNull() & (F.col("Demand_Seq") >= F.col("Stockout_Seq"))
-    return (u.where(F.col("_kind") == 1)
-             .withColumn("Ledger_WFQ_Influx", F.when(gate, F.col("_cum")).otherwise(F.lit(0)))
-             .drop("_k", "_t", "_kind", "_qty", "_cum"))
+    influx = F.when(F.col("_w1"), F.when(gate, F.col("_cum")).otherwise(F.lit(0)))
+    return j.withColumn("Ledger_WFQ_Influx", influx).drop("_w1", "_k", "_due", "_cum")
 
 
 def extended_status(df: DataFrame) -> DataFrame:
-    """W6 + W7: extended balance and overlay status."""
+    """W6 + W7: extended balance and overlay status of demand rows, NULL on others."""
     infl, adj = F.col("Ledger_WFQ_Influx"), F.col("Adjusted_Running_Balance")
     ext = adj + infl
     return df.withColumns({
         "Ledger_Extended_Balance": ext,
-        "WFQ_Extended_Status": F.when(infl <= 0, LEDGER_ONLY)
+        "WFQ_Extended_Status": F.when(infl.isNull(), F.lit(None)).when(infl <= 0, LEDGER_ONLY)
                                 .when((adj <= 0) & (ext > 0), WFQ_RESCUED)
                                 .when(ext > 0, WFQ_ENHANCED).otherwise(WFQ_INSUFFICIENT),
     })
 
 
-def final_ledger(led: DataFrame, ext: DataFrame, p: Params) -> DataFrame:
-    """Re-attach the overlay to every ledger row on (item, due, order,
-    audit key).  k duplicate rows give k^2 rows (T14), as in the source."""
+OVERLAY = ("Ledger_WFQ_Influx", "Ledger_Extended_Balance", "WFQ_Extended_Status")
+
+
+def final_ledger(ext: DataFrame, p: Params) -> DataFrame:
+    """Every ledger row meets the overlay of each demand row of its (item, due date,
+    order, audit key).  k duplicate demand rows give k^2 rows (T14), as in the source.
+
+    The overlay already stands on the ledger's own rows; a window over the key hands
+    each group's list of demand overlays to its rows, and only groups with several
+    replicate.  A row whose key is NULL meets nothing; it gets a group of its own.
+    The key is one struct, so that the exchange is by all of it and a date that very
+    many rows share is spread by order number."""
     ci = p.case_insensitive
-    e = ext.select(norm_key(F.col("ITEMNMBR"), ci).alias("_e_item"),
-                   F.col("DUEDATE").alias("_e_due"),
-                   norm_key(F.col("ORDERNUMBER"), ci).alias("_e_order"),
-                   norm_key(F.coalesce(F.col("Unified_Value"), F.lit("")), ci).alias("_e_uv"),
-                   F.col("Ledger_WFQ_Influx").alias("_e_infl"),
-                   F.col("Ledger_Extended_Balance").alias("_e_ext"),
-                   F.col("WFQ_Extended_Status").alias("_e_status"), F.lit(1).alias("_e_hit"))
-    cond = ((norm_key(led.ITEMNMBR, ci) == e._e_item) & (led.DUEDATE == e._e_due)
-            & (norm_key(led.ORDERNUMBER, ci) == e._e_order)
-            & (norm_key(F.coalesce(led.Unified_Value, F.lit("")), ci) == e._e_uv))
-    j = led.join(e, cond, "left")
+    loose = F.col("DUEDATE").isNull() | F.col("ORDERNUMBER").isNull()
+    group = Window.partitionBy(F.struct(
+        norm_key(F.col("ITEMNMBR"), ci), F.col("DUEDATE"), norm_key(F.col("ORDERNUMBER"), ci),
+        norm_key(F.coalesce(F.col("Unified_Value"), F.lit("")), ci), F.when(loose, F.col("Seq"))))
+    hits = F.collect_list(F.when(F.col("WFQ_Extended_Status").isNotNull(), F.struct(*OVERLAY))).over(group)
+    own = [c for c in ext.columns if c not in OVERLAY]
+    j = ext.select(*own, hits.alias("_hits")).select(*own, F.explode_outer("_hits").alias("_e"))
     begbal = str_eq(F.trim(F.col("ORDERNUMBER")), BEG_BAL, ci)
     return j.withColumns({
-        "Ledger_WFQ_Influx": F.coalesce(F.col("_e_infl"), F.lit(0)),
-        "Ledger_Extended_Balance": F.when(F.col("_e_hit").isNull(), F.lit(None))
-                                    .otherwise(F.col("_e_ext")),
-        "WFQ_Extended_Status": F.when(begbal, ST_BEGBAL).when(F.col("_e_hit").isNull(), NON_DEMAND)
-                                .otherwise(F.col("_e_status")),
-    }).drop("_e_item", "_e_due", "_e_order", "_e_uv", "_e_infl", "_e_ext", "_e_status", "_e_hit")
+        "Ledger_WFQ_Influx": F.coalesce(F.col("_e.Ledger_WFQ_Influx"), F.lit(0)),
+        "Ledger_Extended_Balance": F.col("_e.Ledger_Extended_Balance"),
+        "WFQ_Extended_Status": F.when(begbal, ST_BEGBAL).when(F.col("_e").isNull(), NON_DEMAND)
+                                .otherwise(F.col("_e.WFQ_Extended_Status")),
+    }).drop("_e")
 
 
 V4_COLUMNS = ["ITEMNMBR", "ItemDescription", "UOM", "ORDERNUMBER", "Construct", "DUEDATE",
@@ -137,9 +134,8 @@ V4_COLUMNS = ["ITEMNMBR", "ItemDescription", "UOM", "ORDERNUMBER", "Construct",
               "WFQ_Extended_Status"]
 
 
-def extended_ledger(v2full: DataFrame, pipe: DataFrame, p: Params, split: bool = True) -> DataFrame:
+def extended_ledger(v2full: DataFrame, pipe: DataFrame, p: Params) -> DataFrame:
     """V4: 35 columns."""
     led = demand_ledger_frame(v2full)
-    ext = extended_status(allocate_supply(demand_rows(led, p), supply_schedule(pipe, p), p,
-                                          split=split))
-    return final_ledger(led, ext, p).select(*V4_COLUMNS)
+    covered = allocate_supply(led, supply_schedule(pipe, p), p, influx_only=True)
+    return final_ledger(extended_status(covered), p).select(*V4_COLUMNS)

@@ -1,101 +1,111 @@
-"""Skew-safe ordered prefix computations per key.
-
-A window ``partitionBy(key).orderBy(...)`` puts every row of a key into one
-task.  When one key holds a large share of all rows (a hot item), that task
-becomes the job.  The two-phase form here does not:
-
-  1. split each key into segments by a deterministic segment key that is
-     monotone in the order (for the ledger: the Beg Bal flag, the effective
-     date and the order number's first characters; for the supply timeline:
-     the event time and kind, then the order number's first characters), so a
-     segment is a contiguous run of the key's order and a hot key spans many
-     tasks, also if all its rows share one date or have none;
-  2. per (key, segment), compute the local prefix with a window;
-  3. aggregate one row per segment, and run a window over the segments of
-     each key (one row per key and date) to get the offsets;
-  4. join the offsets back on (key, segment) and add them.
-
-The segment key is a pure function of the row, so every branch that
-recomputes it agrees (a sampled range partitioning would not).  Exact: same
-results as the single window.
+"""Ordered running computations per key, in bounded pieces.
+
+A window ``partitionBy(key).orderBy(...)`` puts every row of a key into one task.
+When one key holds a large share of all rows (a hot item), that task becomes the
+job.  Here the order is laid out once and scanned as a tree:
+
+  1. ``lay_out`` range-partitions the rows by (key, order), sorts within the
+     partitions and numbers them.  Split points fall anywhere in a key's order, so
+     a key spans as many partitions as its rows need, whatever its values share.
+     A content hash ends the order, so only identical rows are interchangeable.
+     The rows are materialised once; every later read sees the same numbers.
+  2. Chunks are cut by position: ``CHUNK_ROWS`` rows of a partition, exactly
+     counted.  Windows run per (key, chunk).
+  3. Per (key, chunk) one partial aggregate; chunks form blocks of
+     ``BLOCK_CHUNKS``, blocks one aggregate each, and a key's blocks (at most one
+     per partition and 64 million rows) are scanned last.
+  4. Offsets come back down from blocks to chunks to rows.  Rows and their chunk
+     share one partitioning, so attaching the offsets does not shuffle rows again.
+
+So no task orders more than ``CHUNK_ROWS`` rows, ``BLOCK_CHUNKS`` chunks, or the
+blocks of one key.  Exact: equal to the single window.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-
-#: Characters of the order number in a segment key.
-ORDER_PREFIX = 8
-
-
-def order_prefix() -> Column:
-    """The order number's first characters: monotone in the order number, never NULL."""
-    return F.coalesce(F.substring("ORDERNUMBER", 1, ORDER_PREFIX), F.lit(""))
-
-
-def with_segments(df: DataFrame, seg: dict[str, Column]) -> DataFrame:
-    return df.withColumns(seg)
-
-
-def segment_window(key: str, seg: list[str], order: list[Column]) -> Window:
-    return Window.partitionBy(key, *seg).orderBy(*order)
-
-
-def segments_before(key: str, seg: list[str]) -> Window:
-    """Window over the segment rows of a key, strictly before the current one."""
-    return Window.partitionBy(key).orderBy(*[F.col(s).asc_nulls_first() for s in seg]) \
-        .rowsBetween(Window.unboundedPreceding, -1)
-
-
-def join_segments(d: DataFrame, segs: DataFrame, key: str, seg: list[str]) -> DataFrame:
-    """Attach per-segment offsets.  Segment keys are never NULL (callers fall back to
-    a fixed date), so plain equality does and the join reuses the window's
-    partitioning instead of shuffling the rows again."""
-    s = segs.select(*[F.col(c).alias(f"_j_{c}") for c in segs.columns])
-    cond = F.col(key) == F.col(f"_j_{key}")
-    for c in seg:
-        cond = cond & (F.col(c) == F.col(f"_j_{c}"))
-    j = d.join(s, cond, "left")
-    extra = [c for c in segs.columns if c not in (key, *seg)]
-    return j.withColumns({c: F.col(f"_j_{c}") for c in extra}) \
-        .drop(*[f"_j_{c}" for c in segs.columns])
-
-
-def prefix_sums(df: DataFrame, key: str, seg: dict[str, Column], order: list[Column],
-                sums: dict[str, Column],
-                key_mins: dict[str, tuple[str, Column]] | None = None) -> DataFrame:
-    """Running (inclusive) SUM of each expression per ``key`` in ``order``.
-
-    ``key_mins`` adds per-key columns ``name = MIN(<running sum s> WHERE cond)``
-    for ``name: (s, cond)``, computed from the segment table (the offset is
-    constant within a segment, so MIN(local + offset) = MIN(local) + offset)
-    instead of another pass over the rows.
-
-    ``seg`` must be monotone in ``order`` (equal order prefixes -> equal
-    segment), and ``order`` total within a key."""
-    names = list(seg)
-    key_mins = key_mins or {}
-    d = with_segments(df, seg)
-    w = segment_window(key, names, order).rowsBetween(Window.unboundedPreceding,
-                                                      Window.currentRow)
-    d = d.withColumns({f"_l_{k}": F.sum(v).over(w) for k, v in sums.items()})
-    segs = d.groupBy(key, *names).agg(
-        *[F.sum(v).alias(f"_t_{k}") for k, v in sums.items()],
-        *[F.min(F.when(cond, F.col(f"_l_{s}"))).alias(f"_m_{m}") for m, (s, cond) in key_mins.items()])
-    before = segments_before(key, names)
-    segs = segs.select(key, *names, *[f"_m_{m}" for m in key_mins],
-                       *[F.sum(f"_t_{k}").over(before).alias(f"_o_{k}") for k in sums])
-    whole = Window.partitionBy(key)
-    segs = segs.select(key, *names, *[f"_o_{k}" for k in sums],
-                       *[F.min(F.col(f"_m_{m}") + F.coalesce(F.col(f"_o_{s}"), F.lit(0)))
-                          .over(whole).alias(m) for m, (s, _) in key_mins.items()])
-    d = join_segments(d, segs, key, names)
-    out = {}
-    for k in sums:
-        local, off = F.col(f"_l_{k}"), F.col(f"_o_{k}")
-        # SUM over an all-NULL prefix stays NULL, as the single window gives
-        out[k] = F.when(off.isNull(), local).when(local.isNull(), off).otherwise(off + local)
-    return d.withColumns(out).drop(*names, *[f"_l_{k}" for k in sums],
-                                   *[f"_o_{k}" for k in sums])
+CHUNK_ROWS = 1 << 16
+BLOCK_CHUNKS = 1 << 10
+#: Rows a partition's numbering has room for (``monotonically_increasing_id``).
+_PARTITION_ROWS = 1 << 33
+
+
+def lay_out(df: DataFrame, order: list[Column], at: str, cut: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """``df`` in the given total order over range partitions, numbered by ``at``.
+
+    The number's order is the rows' order.  ``cut`` materialises the result (a run
+    writes it as a table); without one the rows are checkpointed, or cached where
+    the session names no checkpoint folder."""
+    order = [*order, F.xxhash64(*df.columns).asc()]
+    laid = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn(at, F.monotonically_increasing_id())
+    if cut is not None:
+        return cut(laid)
+    return laid.checkpoint() if df.sparkSession.sparkContext.getCheckpointDir() else laid.persist()
+
+
+def chunk_of(at: str, rows: int = CHUNK_ROWS) -> Column:
+    """The chunk of a row: its partition and its position there, by ``rows``."""
+    return F.expr(f"{at} div {_PARTITION_ROWS} * {_PARTITION_ROWS // rows} + {at} % {_PARTITION_ROWS} div {rows}")
+
+
+def chunk_window(key: str, chunk: str, at: str) -> Window:
+    return Window.partitionBy(key, chunk).orderBy(at)
+
+
+def balance_offsets(chunks: DataFrame, key: str, chunk: str, step: Callable[[Column, Column, Column], Column],
+                    counts: list[str], block_chunks: int = BLOCK_CHUNKS) -> DataFrame:
+    """What every chunk of a key starts from.
+
+    ``chunks`` has one row per (key, chunk): ``first`` and ``last`` value, ``held`` of
+    its first row, the ``total`` of its inner steps, and the ``counts``.  The step
+    between two neighbouring chunks is ``step(held of the later, its first value, last
+    value of the earlier)``.  Result: key, chunk, and
+
+      before     the value that precedes the chunk,
+      lead       the step onto its first row (0 for a key's first chunk),
+      off_total  the sum of all steps before the chunk,
+      off_<c>    the sums of the counts before it,
+      anchor     the first value of the key.
+
+    Two levels: chunks within blocks, then the blocks of a key."""
+    zero = step(F.lit(1), F.lit(None), F.lit(None))
+
+    def level(d: DataFrame, by: list[str], order: str) -> DataFrame:
+        w = Window.partitionBy(*by).orderBy(order)
+        before = w.rowsBetween(Window.unboundedPreceding, -1)
+        d = d.withColumns({"_no": F.row_number().over(w), "_prev": F.lag("last").over(w)})
+        d = d.withColumn("_lead", F.when(F.col("_no") == 1, zero).otherwise(
+            step(F.col("held"), F.col("first"), F.col("_prev"))))
+        return d.withColumns({"_sum": F.coalesce(F.sum(F.col("_lead") + F.col("total")).over(before), zero),
+                              **{f"_n_{c}": F.coalesce(F.sum(c).over(before), F.lit(0)) for c in counts}})
+
+    inner = level(chunks.withColumn("_block", F.expr(f"{chunk} div {block_chunks}")), [key, "_block"], chunk)
+    blocks = inner.groupBy(key, "_block").agg(
+        F.min_by("first", chunk).alias("first"), F.max_by("last", chunk).alias("last"),
+        F.min_by("held", chunk).alias("held"), F.sum(F.col("_lead") + F.col("total")).alias("total"),
+        *[F.sum(c).alias(c) for c in counts])
+    outer = level(blocks, [key], "_block").withColumn(
+        "_anchor", F.first("first").over(Window.partitionBy(key).orderBy("_block")))
+    outer = outer.select(F.col(key).alias("_b_key"), F.col("_block").alias("_b_block"), "_anchor",
+                         F.col("_prev").alias("_b_prev"), F.col("_lead").alias("_b_lead"), F.col("_sum").alias("_b_sum"),
+                         *[F.col(f"_n_{c}").alias(f"_b_{c}") for c in counts])
+    j = inner.join(outer, (F.col(key) == F.col("_b_key")) & (F.col("_block") == F.col("_b_block")))
+    opens = F.col("_no") == 1  # the block's own step onto its first row comes from the level above
+    return j.select(
+        key, chunk, F.when(opens, F.col("_b_prev")).otherwise(F.col("_prev")).alias("before"),
+        F.when(opens, F.col("_b_lead")).otherwise(F.col("_lead")).alias("lead"),
+        (F.col("_b_sum") + F.when(opens, zero).otherwise(F.col("_b_lead")) + F.col("_sum")).alias("off_total"),
+        *[(F.col(f"_b_{c}") + F.col(f"_n_{c}")).alias(f"off_{c}") for c in counts],
+        F.col("_anchor").alias("anchor"))
+
+
+def attach(rows: DataFrame, offsets: DataFrame, key: str, chunk: str) -> DataFrame:
+    """Each row with its chunk's offsets.  Key (never NULL) and chunk are the window's
+    partitioning, so the rows stay where they are."""
+    o = offsets.withColumnRenamed(key, "_o_key").withColumnRenamed(chunk, "_o_chunk")
+    return rows.join(o, (F.col(key) == F.col("_o_key")) & (F.col(chunk) == F.col("_o_chunk"))) \
+        .drop("_o_key", "_o_chunk")

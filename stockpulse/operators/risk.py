@@ -10,10 +10,11 @@ their own group, as window partitions do.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stockpulse.functions import group_by_keys, norm_key, str_eq
+from stockpulse.operators.action import balance_analysis, timing_copies, turnaround
 from stockpulse.operators.overlay import WFQ_ENHANCED, WFQ_RESCUED
 from stockpulse.operators.suppress import ST_BEGBAL
 from stockpulse.params import Params
@@ -25,12 +26,26 @@ RISK_KEYS = ("ITEMNMBR", "PRIME_VNDR", "ItemDescription", "UOM")
 DEFICIT_COLUMNS = [*RISK_KEYS, "Construct", "Demand_Due_Date", "Deficit_Qty", "WFQ_Extended_Status"]
 
 
-def deficit_rows(sa: DataFrame, p: Params) -> DataFrame:
+def deficit_rows(v4: DataFrame, pipe: DataFrame, p: Params) -> DataFrame:
     """Demand rows with a deficit and a demand date (suppressed rows stay, T13),
-    narrowed to what views 6 and 7 read."""
-    return sa.where(~str_eq(F.col("Suppression_Status"), ST_BEGBAL, p.case_insensitive)
-                    & (F.col("Deficit_Qty") > 0) & F.col("Demand_Due_Date").isNotNull()) \
-        .select(*DEFICIT_COLUMNS)
+    narrowed to what views 6 and 7 read.
+
+    The source reads them from view 5, where a row repeats once per quarantine row of
+    its item (T15).  Here they come from view 4 and carry that number as ``Copies``,
+    which is the same on all rows of an item: sums are weighted by it, least and
+    greatest values and distinct counts do not feel it."""
+    d = balance_analysis(v4, p).where(
+        ~str_eq(F.col("Suppression_Status"), ST_BEGBAL, p.case_insensitive)
+        & (F.col("Deficit_Qty") > 0) & F.col("Demand_Due_Date").isNotNull()).select(*DEFICIT_COLUMNS)
+    copies = timing_copies(turnaround(pipe, p), p)
+    return (d.join(copies, norm_key(F.col("ITEMNMBR"), p.case_insensitive) == F.col("_t_item"), "left")
+            .select(*DEFICIT_COLUMNS, F.coalesce("Copies", F.lit(1).cast("bigint")).alias("Copies")))
+
+
+def copied_sum(df: DataFrame, qty: str) -> Column:
+    """SUM of ``qty`` over the rows that ``Copies`` stands for, in a group of one item."""
+    kind = df.select(F.sum(qty)).schema[0].dataType
+    return (F.sum(qty) * F.max("Copies")).cast(kind)
 
 
 def threatened_clients(f: DataFrame, p: Params) -> DataFrame:
@@ -58,8 +73,7 @@ def risk_metrics(f: DataFrame, p: Params) -> DataFrame:
     (item, vendor), reported on each (item, vendor, description, UOM)."""
     g = group_by_keys(f, {c: F.col(c) for c in RISK_KEYS}, [], [
         F.min("Demand_Due_Date").alias("_first"),
-        F.sum(F.when(F.col("Deficit_Qty") > 0, F.col("Deficit_Qty")).otherwise(F.lit(0)))
-         .alias("_deficit"),
+        copied_sum(f, "Deficit_Qty").alias("_deficit"),
         F.max(F.when(F.col("WFQ_Extended_Status").isin(*RESCUE_STATUSES), 1).otherwise(0))
          .alias("_dep")], p.case_insensitive)
     w = Window.partitionBy(*[norm_key(F.col(c), p.case_insensitive) for c in RISK_KEYS[:2]])

@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
 from stockpulse.functions import norm_key, str_eq, try_date, try_decimal, ts_lit
 from stockpulse.operators.demand import BEG_BAL, V1_COLUMNS, asc
-from stockpulse.operators.prefix import join_segments, order_prefix, segment_window, segments_before
+from stockpulse.operators.prefix import (
+    BLOCK_CHUNKS, CHUNK_ROWS, attach, balance_offsets, chunk_of, chunk_window, lay_out)
 from stockpulse.params import Params
 
 # FIXED VALUES: demand status labels
@@ -83,112 +85,95 @@ def classify_demand(df: DataFrame, p: Params) -> DataFrame:
     })
 
 
-def _ledger_flag():
-    return F.when(F.col("Is_BegBal_Row") == 1, 0).otherwise(1)
+def is_demand(p: Params, required: str = "Remaining") -> Column:
+    """Not Beg Bal, due date present, requirement not 0 (a NULL order is no demand)."""
+    return F.coalesce(~str_eq(F.trim(F.col("ORDERNUMBER")), BEG_BAL, p.case_insensitive)
+                      & F.col("DUEDATE").isNotNull() & (F.coalesce(F.col(required), F.lit(0)) != 0), F.lit(False))
 
 
-def _ledger_date(p: Params):
-    return F.coalesce(F.col("DUEDATE"), try_date(F.col("Date_Expiry"), p.date_formats),
+def ledger_order(p: Params) -> list[Column]:
+    """I8 order within an item, on view 1's columns: Beg Bal first, then effective date,
+    order, audit key, status (then tie-breakers, so the order is total)."""
+    begbal = str_eq(F.trim(F.col("ORDERNUMBER")), BEG_BAL, p.case_insensitive)
+    date = F.coalesce(F.col("DUEDATE"), try_date(F.col("Date_Expiry"), p.date_formats),
                       F.col("MRP_IssueDate").cast("date"), F.lit(NO_DATE))
-
-
-def ledger_order(p: Params) -> list:
-    """I8 order: Beg Bal first, then effective date, order, audit key, status
-    (then tie-breakers, so the order is total)."""
-    return [_ledger_flag().asc_nulls_first(),
-            _ledger_date(p).asc_nulls_first(), F.col("ORDERNUMBER").asc_nulls_first(),
+    return [F.when(begbal, 0).otherwise(1).asc_nulls_first(),
+            date.asc_nulls_first(), F.col("ORDERNUMBER").asc_nulls_first(),
             F.coalesce(F.col("Unified_Value"), F.lit("")).asc_nulls_first(),
             F.coalesce(F.col("STSDESCR"), F.lit("")).asc_nulls_first(), *asc(*SEQ_TIEBREAK)]
 
 
-def ledger_window(p: Params) -> Window:
-    return Window.partitionBy(norm_key(F.col("ITEMNMBR"), p.case_insensitive)) \
-        .orderBy(*ledger_order(p))
+def ledger_layout(v1: DataFrame, p: Params, cut: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """View 1 in ledger order (item, then I8's order) with the position ``Ledger_At``."""
+    key = norm_key(F.col("ITEMNMBR"), p.case_insensitive)
+    return lay_out(v1, [key.asc_nulls_first(), *ledger_order(p)], "Ledger_At", cut)
+
+
+def _step(held: Column, now: Column, before: Column) -> Column:
+    """The balance change onto a row: none for suppressed rows or unknown balances."""
+    zero = F.lit(0).cast(D18_6)
+    return F.when(held == 1, zero).otherwise(F.coalesce((now - before).cast(DecimalType(19, 6)), zero))
 
 
 def adjusted_balance(df: DataFrame, p: Params) -> DataFrame:
-    """Sequence, balance delta and the suppression-aware running balance.
+    """I8-I10 and W2 in single windows per item: sequence, balance delta, the
+    suppression-aware running balance, and the sequence of demand rows.
 
     anchor = first parsed balance of the item (NULL stays NULL); each row adds
     its delta to the previous row unless it is the first row or suppressed.
-    All windows share one partitioning and ordering: one shuffle, one sort.
     """
-    w = ledger_window(p)
+    w = Window.partitionBy(norm_key(F.col("ITEMNMBR"), p.case_insensitive)).orderBy(*ledger_order(p))
+    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     rb = try_decimal(F.col("Running_Balance"), 18, 6)
     seq = df.withColumns({
         "Seq": F.row_number().over(w),
         "RB_Num": rb,
         "RB_Delta": rb - F.lag(rb).over(w),
         "RB_Anchor": F.first(rb).over(w),
+        "Demand_Seq": F.when(is_demand(p), F.sum(is_demand(p).cast("int")).over(upto)),
     })
-    adj = seq.withColumn("RB_Delta_Adjusted",
-                         F.when(F.col("Seq") == 1, F.lit(0).cast(D18_6))
-                          .when(F.col("Is_Suppressed") == 1, F.lit(0).cast(D18_6))
-                          .otherwise(F.coalesce(F.col("RB_Delta"), F.lit(0).cast(D18_6))))
-    running = F.sum("RB_Delta_Adjusted").over(w.rowsBetween(Window.unboundedPreceding,
-                                                            Window.currentRow))
+    zero = F.lit(0).cast(D18_6)
+    adj = seq.withColumn("RB_Delta_Adjusted", F.when((F.col("Seq") == 1) | (F.col("Is_Suppressed") == 1), zero)
+                         .otherwise(F.coalesce(F.col("RB_Delta"), zero)))
     return adj.withColumn("Adjusted_Running_Balance",
-                          (F.col("RB_Anchor") + running).cast(D18_6))
+                          (F.col("RB_Anchor") + F.sum("RB_Delta_Adjusted").over(upto)).cast(D18_6))
 
 
-def adjusted_balance_split(df: DataFrame, p: Params) -> DataFrame:
-    """I8-I10, skew-safe: same result as ``adjusted_balance`` without putting
-    a hot item into one task (see ``operators.prefix``).
+def adjusted_balance_split(df: DataFrame, p: Params, chunk_rows: int = CHUNK_ROWS,
+                           block_chunks: int = BLOCK_CHUNKS) -> DataFrame:
+    """I8-I10 and W2 on rows laid out in ledger order (``Ledger_At``): same result as
+    ``adjusted_balance`` without putting a hot item into one task (see ``operators.prefix``).
 
-    Segments are (item, Beg Bal flag, effective date, order number prefix):
-    contiguous runs of the ledger order.  Per segment: local sequence, local lag, local running sum
-    of adjusted deltas with the segment's first row counted 0.  Per item,
-    over its segments: the sequence offset, the balance before the segment
-    (to finish the first row's delta), the running total before the segment
-    and the anchor (first balance of the item).
-    """
-    seg = ["_s_flag", "_s_date", "_s_ord"]
-    # the rest of the ledger order as plain columns: both windows share one sort
-    d = df.withColumns({"_k": norm_key(F.col("ITEMNMBR"), p.case_insensitive),
-                        "_s_flag": _ledger_flag(), "_s_date": _ledger_date(p), "_s_ord": order_prefix(),
-                        "_s_uv": F.coalesce(F.col("Unified_Value"), F.lit("")),
-                        "_s_sts": F.coalesce(F.col("STSDESCR"), F.lit(""))})
-    ws = segment_window("_k", seg, asc("ORDERNUMBER", "_s_uv", "_s_sts", *SEQ_TIEBREAK))
-    rb = try_decimal(F.col("Running_Balance"), 18, 6)
+    Per (item, chunk): local sequence, local lag, local running sum of steps with the
+    first row's counted 0.  The step onto a chunk's first row and all that precedes
+    the chunk come from the tree of chunk aggregates."""
     zero = F.lit(0).cast(D18_6)
-    d = d.withColumns({"RB_Num": rb, "_lseq": F.row_number().over(ws),
-                       "_llag": F.lag(rb).over(ws)})
-    d = d.withColumn("_ladj", F.when(F.col("_lseq") == 1, zero)
-                     .when(F.col("Is_Suppressed") == 1, zero)
-                     .otherwise(F.coalesce(F.col("RB_Num") - F.col("_llag"), zero)))
-    d = d.withColumn("_lrun", F.sum("_ladj").over(
-        ws.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    segs = d.groupBy("_k", *seg).agg(
-        F.count(F.lit(1)).alias("_n"), F.sum("_ladj").alias("_ltot"),
-        F.min_by("RB_Num", "_lseq").alias("_first_rb"), F.max_by("RB_Num", "_lseq").alias("_last_rb"),
-        F.min_by("Is_Suppressed", "_lseq").alias("_first_sup"))
-    wk = Window.partitionBy("_k").orderBy(*[F.col(c).asc_nulls_first() for c in seg])
-    before = segments_before("_k", seg)
-    segs = segs.withColumns({"_prev_last": F.lag("_last_rb").over(wk),
-                             "_segno": F.row_number().over(wk),
-                             "_anchor": F.first("_first_rb").over(wk)})
-    segs = segs.withColumn("_first_adj", F.when(F.col("_segno") == 1, zero)
-                           .when(F.col("_first_sup") == 1, zero)
-                           .otherwise(F.coalesce(F.col("_first_rb") - F.col("_prev_last"), zero)))
-    segs = segs.withColumn("_tot", F.col("_first_adj") + F.col("_ltot"))
-    segs = segs.select("_k", *seg, "_prev_last", "_anchor", "_first_adj",
-                       F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off_n"),
-                       F.coalesce(F.sum("_tot").over(before), zero).alias("_off_sum"))
-    j = join_segments(d, segs, "_k", seg)
-    first_row = F.col("_lseq") == 1
-    j = j.withColumns({
-        "Seq": F.col("_lseq") + F.col("_off_n"),
-        "RB_Delta": F.when(first_row, F.col("RB_Num") - F.col("_prev_last"))
-                     .otherwise(F.col("RB_Num") - F.col("_llag")),
-        "RB_Anchor": F.col("_anchor"),
-    })
-    j = j.withColumn("RB_Delta_Adjusted",
-                     F.when(F.col("Seq") == 1, zero).when(F.col("Is_Suppressed") == 1, zero)
-                      .otherwise(F.coalesce(F.col("RB_Delta"), zero)))
-    running = F.col("_off_sum") + F.col("_first_adj") + F.col("_lrun")
-    j = j.withColumn("Adjusted_Running_Balance", (F.col("RB_Anchor") + running).cast(D18_6))
-    return j.drop("_k", *seg, "_s_uv", "_s_sts", "_lseq", "_llag", "_ladj", "_lrun", "_prev_last", "_anchor",
-                  "_first_adj", "_off_n", "_off_sum")
+    demand = is_demand(p).cast("int")
+    d = df.withColumns({"_k": norm_key(F.col("ITEMNMBR"), p.case_insensitive), "_c": chunk_of("Ledger_At", chunk_rows),
+                        "RB_Num": try_decimal(F.col("Running_Balance"), 18, 6), "_dem": demand})
+    w = chunk_window("_k", "_c", "Ledger_At")
+    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    d = d.withColumns({"_lseq": F.row_number().over(w), "_llag": F.lag("RB_Num").over(w),
+                       "_ldem": F.sum("_dem").over(upto)})
+    d = d.withColumn("_step", F.when(F.col("_lseq") == 1, zero)
+                     .otherwise(_step(F.col("Is_Suppressed"), F.col("RB_Num"), F.col("_llag"))))
+    d = d.withColumn("_lrun", F.sum("_step").over(upto))
+    chunks = d.groupBy("_k", "_c").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("_dem").alias("dem"), F.sum("_step").alias("total"),
+        F.min_by("RB_Num", "_lseq").alias("first"), F.max_by("RB_Num", "_lseq").alias("last"),
+        F.min_by("Is_Suppressed", "_lseq").alias("held"))
+    offsets = balance_offsets(chunks, "_k", "_c", _step, ["n", "dem"], block_chunks)
+    j = attach(d, offsets, "_k", "_c")
+    first = F.col("_lseq") == 1
+    delta = F.when(first, F.col("RB_Num") - F.col("before")).otherwise(F.col("RB_Num") - F.col("_llag"))
+    running = F.col("off_total") + F.col("lead") + F.col("_lrun")
+    j = j.withColumns({"Seq": (F.col("_lseq") + F.col("off_n")).cast("int"), "RB_Delta": delta,
+                       "RB_Anchor": F.col("anchor"),
+                       "Demand_Seq": F.when(F.col("_dem") == 1, F.col("_ldem") + F.col("off_dem")),
+                       "Adjusted_Running_Balance": (F.col("anchor") + running).cast(D18_6)})
+    j = j.withColumn("RB_Delta_Adjusted", F.when((F.col("Seq") == 1) | (F.col("Is_Suppressed") == 1), zero)
+                     .otherwise(F.coalesce(F.col("RB_Delta"), zero)))
+    return j.drop("_k", "_c", "_dem", "_lseq", "_llag", "_ldem", "_step", "_lrun", *offsets.columns[2:])
 
 
 V2_COLUMNS = ["ITEMNMBR", "ItemDescription", "UOM", "ORDERNUMBER", "Construct", "DUEDATE",
@@ -203,10 +188,11 @@ V2_COLUMNS = ["ITEMNMBR", "ItemDescription", "UOM", "ORDERNUMBER", "Construct",
 
 def suppressed_ledger_full(v1: DataFrame, bin_stock: DataFrame, p: Params,
                            split: bool = True) -> DataFrame:
-    """V2 with internal columns (Seq, Is_BegBal_Row) kept for later stages.
+    """V2 with internal columns (Seq, Demand_Seq, Is_BegBal_Row) kept for later stages.
 
-    ``split=True`` uses the skew-safe two-phase balance; False the single
-    per-item window (cheaper when no item is hot)."""
-    assert v1.columns == V1_COLUMNS, v1.columns
+    ``split=True`` scans view 1 as laid out by ``ledger_layout`` in bounded pieces;
+    False uses the single per-item window (cheaper when no item is hot)."""
+    at = ["Ledger_At"] if split else []
+    assert v1.columns == V1_COLUMNS + at, v1.columns
     led = classify_demand(with_inventory(v1, wc_inventory(bin_stock, p), p), p)
-    return adjusted_balance_split(led, p) if split else adjusted_balance(led, p)
+    return adjusted_balance_split(led, p).drop(*at) if split else adjusted_balance(led, p)

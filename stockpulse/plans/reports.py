@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stockpulse.functions import group_by_keys, norm_key
@@ -101,13 +101,22 @@ def vendor_gaps(v7: DataFrame, sources: list[DataFrame], case_insensitive: bool
             .select("ITEMNMBR", "PRIME_VNDR", "Known_Vendor"))
 
 
-def regression_diff(before: DataFrame, after: DataFrame) -> DataFrame:
-    """Rows present on one side only (multiset difference both ways).
-    Empty means the two results are equal as multisets."""
+def regression_diff(before: DataFrame, after: DataFrame, keys: list[str]) -> DataFrame:
+    """The rows that differ between two runs, as multisets, classed by their key.
+
+    Both sides are united with a sign, -1 and +1, and rows that cancel go; what is left
+    of a key on one side only was ``removed`` or ``added``, on both sides it ``changed``
+    (Side says which run a row is from).  Copies is how many more there are on that side.
+    Rows are exchanged once, by the key: equal rows and rows of one key meet there."""
     cols = before.columns
-    a = after.select(*cols)
-    return (before.exceptAll(a).withColumn("Side", F.lit("before_only"))
-            .unionByName(a.exceptAll(before).withColumn("Side", F.lit("after_only"))))
+    both = before.withColumn("_sign", F.lit(-1)).unionByName(after.select(*cols).withColumn("_sign", F.lit(1)))
+    net = (both.repartition(*[F.col(k) for k in keys]).groupBy(*cols).agg(F.sum("_sign").alias("_net"))
+           .where(F.col("_net") != 0))
+    sides = Window.partitionBy(*keys)
+    return (net.withColumns({"_lost": F.max(F.col("_net") < 0).over(sides), "_new": F.max(F.col("_net") > 0).over(sides)})
+            .select(*cols, F.when(F.col("_net") < 0, "before").otherwise("after").alias("Side"),
+                    F.when(F.col("_lost") & F.col("_new"), "changed").when(F.col("_new"), "added").otherwise("removed").alias("Change"),
+                    F.abs("_net").alias("Copies")))
 
 
 def rollup_diff(before: DataFrame, after: DataFrame, keys: list[str],

@@ -2,11 +2,11 @@
 
 The source re-inlines every upstream view (view 7 expands views 5 and 4
 again, view 4 reads view 2 twice).  Here each output is one DataFrame built
-once, and the outputs with several consumers -- view 1 (both branches of the
-skew-safe balance), view 2 (both sides of the view-4 re-attach join), view 3
-(supply timeline and PO timing), view 4 (views 5 and 7), view 5 (views 6
-and 7), safety stock (views 6 and 7), and views 6 and 7 (the report
-queries) -- are materialised once per run:
+once, and the outputs with several consumers -- view 1 in ledger order (rows and
+chunk totals of the balance), view 2 (the ledger and its dates), view 3
+(supply timeline and PO timing), view 4 (views 5 and 7, deficits), safety stock
+(views 6 and 7), and views 6 and 7 (the report queries) -- are materialised
+once per run:
 
   materialize="table"       written once as Parquet, to ``output_path`` for the
                             published outputs if one is given, else to a folder
@@ -27,6 +27,7 @@ queries) -- are materialised once per run:
 from __future__ import annotations
 
 import contextlib
+import dataclasses
 import functools
 import uuid
 from concurrent.futures import ThreadPoolExecutor
@@ -36,6 +37,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from stockpulse.operators import action, buyer, demand, overlay, quarantine, risk, safety, suppress
 from stockpulse.params import Params
+from stockpulse.sources.publish import LAYOUT, laid_out
 
 
 def checkpoint_dir(spark: SparkSession) -> str | None:
@@ -43,9 +45,9 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
     return spark.conf.get("spark.checkpoint.dir", None)
 
 
-#: Outputs that ``output_path`` receives as they are built; ``write_outputs`` adds
-#: the suppressed ledger, which is a projection of a stored table.
-OUTPUTS = ("demand_ledger", "quarantine_pipe", "extended_ledger", "supply_action", "safety_stock",
+#: Outputs that ``output_path`` receives as they are built; ``write_outputs`` adds the
+#: demand ledger and the suppressed ledger, which are projections of stored tables.
+OUTPUTS = ("quarantine_pipe", "extended_ledger", "supply_action", "safety_stock",
            "run_risk", "buyer_control")
 
 
@@ -53,7 +55,7 @@ class LedgerRun:
     """All outputs of one run over one snapshot of the sources."""
 
     def __init__(self, tables: dict[str, DataFrame], params: Params, materialize: str | None = "auto",
-                 split: bool = True, output_path: str | None = None):
+                 split: bool = True, output_path: str | None = None, layout: bool = False):
         if materialize not in (None, "auto", "persist", "table"):
             raise ValueError(f"materialize={materialize!r}")
         self.spark = next(iter(tables.values())).sparkSession
@@ -65,8 +67,9 @@ class LedgerRun:
         self.t = tables
         self.p = params
         self.materialize = materialize
-        self.split = split  # skew-safe two-phase prefixes for per-item orders
+        self.split = split  # scan per-item orders in bounded pieces
         self.output_path = output_path
+        self.layout = layout  # lay published outputs out by their lookup keys
         self._scratch = f"{shared}/ledger-run-{uuid.uuid4().hex}" if materialize == "table" else None
         self._held: list[DataFrame] = []
 
@@ -78,6 +81,8 @@ class LedgerRun:
             self._held.append(df)
             return df
         base = self.output_path if self.output_path and name in OUTPUTS else self._scratch
+        if self.layout and base == self.output_path:
+            df = laid_out(df, LAYOUT.get(name, ()))
         df.write.mode("overwrite").parquet(f"{base}/{name}")
         return self.spark.read.schema(df.schema).parquet(f"{base}/{name}")
 
@@ -95,15 +100,25 @@ class LedgerRun:
         with contextlib.suppress(Exception):
             self.release()
 
+    @functools.cached_property
+    def v1_full(self) -> DataFrame:
+        """Demand ledger, in ledger order with the row's position where the balance is
+        split; read twice by the skew-safe balance."""
+        v1 = demand.demand_ledger(self.t, self.p)
+        if not self.split:
+            return self._cut(v1, "demand_ledger_full")
+        cut = None if self.materialize is None else lambda df: self._cut(df, "demand_ledger_full")
+        return suppress.ledger_layout(v1, self.p, cut)
+
     @functools.cached_property
     def v1(self) -> DataFrame:
-        """Demand ledger (31 columns); read twice by the skew-safe balance."""
-        return self._cut(demand.demand_ledger(self.t, self.p), "demand_ledger")
+        """Demand ledger (31 columns)."""
+        return self.v1_full.select(*demand.V1_COLUMNS)
 
     @functools.cached_property
     def v2_full(self) -> DataFrame:
-        """View 2 plus internal columns (Seq, flags)."""
-        return self._cut(suppress.suppressed_ledger_full(self.v1, self.t["bin_stock"], self.p,
+        """View 2 plus internal columns (sequences, flags)."""
+        return self._cut(suppress.suppressed_ledger_full(self.v1_full, self.t["bin_stock"], self.p,
                                                          split=self.split), "suppressed_ledger_full")
 
     @functools.cached_property
@@ -120,8 +135,7 @@ class LedgerRun:
     @functools.cached_property
     def v4(self) -> DataFrame:
         """Extended ledger (35 columns)."""
-        return self._cut(overlay.extended_ledger(self.v2_full, self.v3, self.p, split=self.split),
-                         "extended_ledger")
+        return self._cut(overlay.extended_ledger(self.v2_full, self.v3, self.p), "extended_ledger")
 
     @functools.cached_property
     def v5(self) -> DataFrame:
@@ -130,8 +144,15 @@ class LedgerRun:
 
     @functools.cached_property
     def deficits(self) -> DataFrame:
-        """The deficit rows that views 6 and 7 share, nine columns of view 5."""
-        return self._cut(risk.deficit_rows(self.v5, self.p), "deficit_rows")
+        """The deficit rows that views 6 and 7 share, from view 4."""
+        return self._cut(risk.deficit_rows(self.v4, self.v3, self.p), "deficit_rows")
+
+    @functools.cached_property
+    def risk_without_copies(self) -> DataFrame:
+        """View 6 of the run with ``dedupe_timing``: every ledger row counts once.  Only
+        the deficit rows and what follows differ, so the stored view 4 serves both."""
+        once = dataclasses.replace(self.p, dedupe_timing=True)
+        return risk.run_risk(risk.deficit_rows(self.v4, self.v3, once), self.vs, once)
 
     @functools.cached_property
     def vs(self) -> DataFrame:
@@ -158,9 +179,9 @@ class LedgerRun:
         return buyer.buyer_sort(self._v7_rows, self.p) if sort else self._v7_rows
 
     # dependency waves: everything in a wave only needs earlier waves
-    WAVES = (("v1", "v3", "vs"), ("v2_full",), ("v4",), ("v5",), ("deficits",), ("v6", "_v7_rows"))
-    NEEDS = {"v1": (), "v3": (), "vs": (), "v2_full": ("v1",), "v4": ("v2_full", "v3"),
-             "v5": ("v4", "v3"), "deficits": ("v5",), "v6": ("deficits", "vs"),
+    WAVES = (("v1_full", "v3", "vs"), ("v2_full",), ("v4",), ("deficits", "v5"), ("v6", "_v7_rows"))
+    NEEDS = {"v1_full": (), "v3": (), "vs": (), "v2_full": ("v1_full",), "v4": ("v2_full", "v3"),
+             "v5": ("v4", "v3"), "deficits": ("v4", "v3"), "v6": ("deficits", "vs"),
              "_v7_rows": ("deficits", "vs", "v4")}
 
     def materialize_all(self, workers: int = 3, only: str | None = None) -> "LedgerRun":

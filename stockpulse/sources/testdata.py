@@ -68,6 +68,15 @@ def items(part: DataFrame) -> DataFrame:
     )
 
 
+def _date_text(day: Column, style: Column) -> Column:
+    """A day as text, written in one of ten ways, or no date."""
+    out = F.when(style == 0, "N/A")
+    for i, pattern in enumerate(("yyyy-MM-dd 00:00:00", "yyyy-MM-dd'T'10:30:00", "d MMM yyyy", "yyyy/MM/dd", "yyyy-M-d",
+                                 "M/d/yyyy", "yyyyMMdd", "MMMM d, yyyy h:mm a", "MM-dd-yyyy"), 1):
+        out = out.when(style == i, F.date_format(day, pattern))
+    return out.otherwise(day.cast("string"))
+
+
 def _respell(cond: Column, text: Column) -> Column:
     """Another spelling of the same key where ``cond`` holds: lower case, trailing blank."""
     return F.when(cond, F.concat(F.lower(text), F.lit(" "))).otherwise(text)
@@ -99,7 +108,7 @@ def adapt(tpch: dict[str, DataFrame]) -> dict[str, DataFrame]:
          .otherwise("Released").alias("STSDESCR"),
         F.when(ln == 7, F.lit(None).cast("date")).otherwise(F.col("sd")).alias("DUEDATE"),
         nul.alias("Expiry_Dates"),
-        F.when(ok % 11 == 0, "N/A").otherwise(F.col("sd").cast("string")).alias("Date_Expiry"),
+        _date_text(F.col("sd"), ok % 11).alias("Date_Expiry"),
         F.when(ok % 23 == 0, "N/A").otherwise(_txt(F.col("q"))).alias("Deductions"),
         nul.alias("BEG_BAL"), nul.alias("Expiry"),
         F.when(pk % 3 == 0, _txt(4 * F.col("q"))).when(pk % 3 == 1, "")
@@ -127,7 +136,11 @@ def adapt(tpch: dict[str, DataFrame]) -> dict[str, DataFrame]:
     fg_orders = fg_base.select("ORDERNUMBER", F.concat(F.lit("FG"), (okey % 20).cast("string")).alias("FG"),
                                "Customer", "FG_Desc").unionByName(
         fg_base.where(okey % 13 == 0).select("ORDERNUMBER", F.lit("FGX").alias("FG"),
-                                             "Customer", "FG_Desc"))
+                                             "Customer", "FG_Desc")).unionByName(
+        # orders without a number, which all demand without one meets
+        fg_base.where(okey % 211 == 0).select(
+            F.when(okey % 2 == 0, " ").otherwise("MO-#").alias("ORDERNUMBER"),
+            F.when(okey % 2 == 0, "FGY").otherwise("FGZ").alias("FG"), "Customer", "FG_Desc"))
 
     pkey = F.col("p_partkey")
     vendor_items = it.select(F.col("itm").alias("Item_Number"), F.col("p_name").alias("ITEMDESC"),

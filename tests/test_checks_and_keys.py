@@ -5,25 +5,28 @@ import os
 from dataclasses import replace
 from decimal import Decimal
 
-from conftest import make_tables
 import pytest
+from pyspark.sql import functions as F
 
+from conftest import SF_SMALL, make_tables
 from stockpulse.functions import str_eq, try_decimal
 from stockpulse.operators import buyer, demand, risk, safety
 from stockpulse.plans import LedgerRun
-from stockpulse.sources.io import conform
 from stockpulse.plans import reports as R
+from stockpulse.sources.io import conform
+from stockpulse.sources.testdata import load_testdata
+from stockpulse.sources.testdata import testdata_params as td_params
 from test_ledger_goldens import ITEM, _rows
 
 
 def test_regression_diff_and_rollup(spark):
     a = spark.createDataFrame([("V1", "I1", Decimal(5)), ("V1", "I2", Decimal(7)), ("V2", "I3", Decimal(1))],
                               "PRIME_VNDR string, ITEMNMBR string, Total_Deficit_Qty decimal(18,2)")
-    assert R.regression_diff(a, a).count() == 0
+    assert R.regression_diff(a, a, ["ITEMNMBR"]).count() == 0
     b = a.where("ITEMNMBR <> 'I3'").unionByName(
         spark.createDataFrame([("V2", "I3", Decimal(2))], a.schema))
-    d = {r["Side"]: r["ITEMNMBR"] for r in R.regression_diff(a, b).collect()}
-    assert d == {"before_only": "I3", "after_only": "I3"}
+    d = {r["Side"]: r["ITEMNMBR"] for r in R.regression_diff(a, b, ["ITEMNMBR"]).collect()}
+    assert d == {"before": "I3", "after": "I3"}
     roll = R.rollup_diff(a, b, ["PRIME_VNDR"], ["Total_Deficit_Qty"]).collect()
     assert [r["PRIME_VNDR"] for r in roll] == ["V2"]
 
@@ -70,14 +73,14 @@ def test_vendor_gaps(spark):
     assert got == {"I1": "V1", "I3": "V3"}
 
 
-def _deficits(spark):
+def _deficits(spark, copies=1):
     """Two deficit rows of one item, with two spellings of its vendor."""
-    cols = ("ITEMNMBR PRIME_VNDR ItemDescription UOM Construct Demand_Due_Date Deficit_Qty WFQ_Extended_Status").split()
+    cols = ("ITEMNMBR PRIME_VNDR ItemDescription UOM Construct Demand_Due_Date Deficit_Qty WFQ_Extended_Status Copies").split()
     rows = [("10.A", "V1", "Widget", "EACH", "Acme", dt.date(2026, 3, 1), Decimal(5), "LEDGER_ONLY"),
             ("10.a ", "v1  ", "WIDGET", "each", "Beta", dt.date(2026, 3, 2), Decimal(7), "LEDGER_ONLY"),
             ("10.A", "V1", "widget ", "EACH ", "ACME", dt.date(2026, 3, 1), Decimal(0), "LEDGER_ONLY")]
-    return spark.createDataFrame(rows, ", ".join(f"{c} {t}" for c, t in zip(cols, (
-        "string", "string", "string", "string", "string", "date", "decimal(18,2)", "string"))))
+    return spark.createDataFrame([(*r, copies) for r in rows], ", ".join(f"{c} {t}" for c, t in zip(cols, (
+        "string", "string", "string", "string", "string", "date", "decimal(18,2)", "string", "long"))))
 
 
 def test_grouping_compares_keys_like_the_joins(spark, params):
@@ -92,6 +95,40 @@ def test_grouping_compares_keys_like_the_joins(spark, params):
     assert [r["Total_Deficit_Qty"] for r in b2] == [Decimal(24)]
 
 
+def test_copies_weigh_the_sums_only(spark, params):
+    """A deficit row that view 5 repeats three times counts three times in sums, once elsewhere."""
+    ss = spark.createDataFrame([], "ITEMNMBR string, PRIME_VNDR string, LeadDays int, CalculatedSS_PurchasingUOM double")
+    row = risk.run_risk(_deficits(spark, 3), ss, params).first()
+    assert (row["Total_Deficit_Qty"], row["Client_Exposure_Count"]) == (Decimal(36), 2)
+    v4 = spark.createDataFrame([("10.A", "V1"), ("10.A", "v1 ")], "ITEMNMBR string, PRIME_VNDR string")
+    b2 = buyer.consolidate(_deficits(spark, 3), ss, v4, params).first()
+    assert (b2["Total_Deficit_Qty"], b2["Demand_Lines_In_Bucket"]) == (Decimal(72), 2)
+
+
+def test_deficits_of_view_4_equal_those_of_view_5(spark):
+    t = load_testdata(spark, SF_SMALL)
+    for p in (td_params(), td_params(dedupe_timing=True)):
+        run = LedgerRun(t, p, materialize=None)
+        rows = run.v5.where("Suppression_Status <> 'BEGINNING BALANCE' AND Deficit_Qty > 0 AND Demand_Due_Date IS NOT NULL")
+        once = run.deficits
+        many = once.select("*", F.explode(F.sequence(F.lit(1), F.col("Copies").cast("int")))).select(*risk.DEFICIT_COLUMNS)
+        plain = rows.select(*risk.DEFICIT_COLUMNS)
+        assert many.exceptAll(plain).count() == 0 and plain.exceptAll(many).count() == 0
+        assert once.count() > 100 and (p.dedupe_timing or many.count() > once.count())
+
+
+def test_list_of_a_hundred_thousand_clients(spark, params):
+    """One (item, vendor) with 100,000 clients, each named three times in other spellings."""
+    n = 100_000
+    name = F.concat(F.lit("Client "), F.lpad(((F.col("id") * 7919) % n).cast("string"), 6, "0"))
+    rows = spark.range(0, 3 * n, 1, 16).select(
+        F.lit("10.A").alias("ITEMNMBR"), F.lit("V1").alias("PRIME_VNDR"), F.lit("w").alias("ItemDescription"), F.lit("EA").alias("UOM"),
+        F.when(F.col("id") < n, name).when(F.col("id") < 2 * n, F.upper(name)).otherwise(F.concat(name, F.lit(" "))).alias("Construct"))
+    row = risk.client_summary(risk.threatened_clients(rows, params), params).first()
+    assert row["Client_Exposure_Count"] == n
+    assert row["Threatened_Clients"] == ", ".join(f"CLIENT {i:06d}" for i in range(n))
+
+
 def test_demand_stats_group_spellings_together(spark, params):
     used = spark.createDataFrame(
         [("10.A", "EACH", dt.datetime(2024, 1, 3), Decimal(1)), ("10.a ", "each", dt.datetime(2024, 1, 4), Decimal(2))],
@@ -142,7 +179,7 @@ def test_conform_wants_its_columns(spark):
 def test_run_removes_its_tables(spark, params, tmp_path):
     run = LedgerRun(make_tables(spark, **_rows()), params, materialize="table", output_path=f"file://{tmp_path}/out")
     assert run.v3.count() == 2 and run.v2_full.count() == 5
-    assert {p.name for p in (tmp_path / "out").iterdir()} >= {"quarantine_pipe", "demand_ledger"}
+    assert {p.name for p in (tmp_path / "out").iterdir()} == {"quarantine_pipe"}  # the ledger tables are the run's own
     scratch = run._scratch.removeprefix("file://")
     assert os.path.isdir(scratch)
     run.release()

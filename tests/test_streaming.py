@@ -3,7 +3,7 @@
 import tempfile
 
 from conftest import SF_SMALL
-from stockpulse.sources import write_outputs
+from stockpulse.sources import read_published, write_outputs
 from stockpulse.sources.testdata import load_testdata
 from stockpulse.sources.testdata import testdata_params as td_params
 from stockpulse.streaming import start_refresh
@@ -16,5 +16,6 @@ def test_refresh_available_now(spark):
                       checkpoint_location=f"{work}/stream-ckpt", available_now=True)
     q.awaitTermination(600)
     assert q.exception() is None
-    v7 = spark.read.parquet(f"{work}/outputs/buyer_control")
+    v7 = read_published(spark, f"{work}/outputs", "buyer_control")
     assert len(v7.columns) == 22 and v7.count() > 0
+    assert len(read_published(spark, f"{work}/outputs", "demand_ledger").columns) == 31

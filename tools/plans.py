@@ -62,16 +62,17 @@ def main() -> None:
     outs = {
         "v1 demand ledger": lambda: demand.demand_ledger(t, p),
         "v2 suppressed ledger (skew-safe balance)": lambda: suppress.suppressed_ledger_full(
-            run.v1, t["bin_stock"], p),
+            run.v1_full, t["bin_stock"], p),
         "v3 quarantine pipe": lambda: quarantine.quarantine_pipe(t["lots"], t["item_master"], p),
-        "v4 extended ledger (skew-safe timeline)": lambda: overlay.extended_ledger(
+        "v4 extended ledger": lambda: overlay.extended_ledger(
             run.v2_full, run.v3, p),
         "v5 supply action": lambda: action.supply_action(run.v4, run.v3, p),
         "vs safety stock": lambda: safety.safety_stock_calc(
             t["ss_items"], t["receipts"], t["receipt_lines"], t["consumption"], p),
-        "deficit rows (shared by v6 and v7)": lambda: risk.deficit_rows(run.v5, p),
+        "deficit rows (shared by v6 and v7)": lambda: risk.deficit_rows(run.v4, run.v3, p),
         "v6 run risk": lambda: risk.run_risk(run.deficits, run.vs, p),
-        "v7 buyer control": lambda: buyer.buyer_control(
+        "v7 buyer rows (B1-B5)": lambda: buyer.priced_rows(run.deficits, run.vs, run.v4, t["receipt_lines"], p),
+        "v7 buyer control (from the buyer rows)": lambda: buyer.buyer_control(
             run.deficits, run.vs, run.v4, t["receipt_lines"], p, sort=False,
             cut=lambda df: run._cut(df, "buyer_rows")),
     }
