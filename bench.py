@@ -56,7 +56,6 @@ def main() -> None:
     def end_to_end() -> tuple[float, LedgerRun]:
         t, r = time.time(), run()
         r.materialize_all()
-        write_outputs({"demand_ledger": r.v1, "suppressed_ledger": r.v2}, outputs, workers=2)
         return time.time() - t, r
 
     def one_by_one() -> dict[str, float]:

@@ -20,6 +20,20 @@ def norm_key(c: Column, case_insensitive: bool = True) -> Column:
     return F.upper(k) if case_insensitive else k
 
 
+def collated(c: Column, collation: str | None) -> Column:
+    """Text that compares and sorts by a collation of Spark (``UNICODE_CI``, ``de_CI_AI``, ...);
+    without one as it is, by code points."""
+    return F.collate(c, collation) if collation else c
+
+
+def text_max(c: str, collation: str | None) -> Column:
+    """MAX of a text column under the collation, as plain text.  Of spellings that the
+    collation takes as equal, the greatest by code points."""
+    if not collation:
+        return F.max(c)
+    return F.max(F.struct(collated(F.col(c), collation).alias("o"), F.col(c).alias("t")))["t"]
+
+
 def group_by_keys(df: DataFrame, keys: dict[str, Column], plain: list[str], aggs: list[Column],
                   case_insensitive: bool = True) -> DataFrame:
     """GROUP BY text keys as the source collation compares them.

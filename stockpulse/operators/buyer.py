@@ -16,7 +16,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
-from stockpulse.functions import group_by_keys, money, norm_key, ratio_half_up
+from stockpulse.functions import group_by_keys, money, norm_key, ratio_half_up, text_max
+from stockpulse.operators.demand import asc
 from stockpulse.operators.risk import copied_sum
 from stockpulse.params import Params
 
@@ -60,7 +61,7 @@ def consolidate(fs: DataFrame, ss: DataFrame, v4: DataFrame, p: Params) -> DataF
     ci = p.case_insensitive
     g = group_by_keys(
         fs, {"ITEMNMBR": F.col("ITEMNMBR"), "PRIME_VNDR": F.col("PRIME_VNDR")}, [],
-        [F.max("ItemDescription").alias("ItemDescription"), F.max("UOM").alias("UOM"),
+        [text_max("ItemDescription", p.collation).alias("ItemDescription"), text_max("UOM", p.collation).alias("UOM"),
          F.min("Demand_Due_Date").alias("First_Stockout_Date"),
          copied_sum(fs, "Deficit_Qty").alias("_sum_deficit"),
          F.count_distinct("Demand_Due_Date").alias("Demand_Lines_In_Bucket")], ci)
@@ -195,7 +196,7 @@ def buyer_sort(df: DataFrame, p: Params) -> DataFrame:
         key = F.when(key == PLACE_NOW, 0).when(key == PLAN, 1).otherwise(2)
     return df.orderBy(key.asc_nulls_first(), F.col("Vendor_Total_Exposure").desc_nulls_last(),
                       F.col("Earliest_Demand_Date").asc_nulls_first(),
-                      *[F.col(c).asc_nulls_first() for c in ROW_TIEBREAK])
+                      *asc(*ROW_TIEBREAK, collation=p.collation))
 
 
 def priced_rows(fs: DataFrame, ss: DataFrame, v4: DataFrame, receipt_lines: DataFrame, p: Params) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from stockpulse.functions import (
     clean_order,
+    collated,
     first_non_blank,
     norm_key,
     not_like_prefix,
@@ -40,8 +41,27 @@ CORE_TIEBREAK = ("DUEDATE", "Date_Expiry", "Original_Deductions", "Original_POs"
                  "VendorItem", "CleanOrder")
 
 
-def asc(*cols: str) -> list[Column]:
-    return [F.col(c).asc_nulls_first() for c in cols]
+#: Columns of the orders below that are no text.
+NO_TEXT = frozenset(("DUEDATE", "MRP_IssueDate", "Issued", "Remaining", "Recommended_PO_Qty", "Unit_Cost",
+                     "Total_Carrying_Cost"))
+
+
+def ordered(cols: tuple[str, ...], collation: str | None) -> list[Column]:
+    """Columns to compare in turn: text by the collation, then, where that takes
+    spellings as equal, by code points, so that an order stays as total as it was."""
+    if not collation:
+        return [F.col(c) for c in cols]
+    text = [c for c in cols if c not in NO_TEXT]
+    return [F.col(c) if c in NO_TEXT else collated(F.col(c), collation) for c in cols] + [F.col(c) for c in text]
+
+
+def asc(*cols: str, collation: str | None = None) -> list[Column]:
+    return [c.asc_nulls_first() for c in ordered(cols, collation)]
+
+
+def named_struct(cols: list[Column]) -> Column:
+    """A struct that compares as the columns do in turn."""
+    return F.struct(*[c.alias(f"o{i}") for i, c in enumerate(cols)])
 
 
 def filter_demand(planning: DataFrame, p: Params) -> DataFrame:
@@ -73,7 +93,7 @@ def dedupe_fg(fg_orders: DataFrame, p: Params) -> DataFrame:
     ci = p.case_insensitive
     m = fg_orders.withColumn("CleanOrder", clean_order(F.col("ORDERNUMBER"), ci))
     w = Window.partitionBy("CleanOrder", norm_key(F.col("FG"), ci)) \
-        .orderBy(*asc("Customer", "FG_Desc", "ORDERNUMBER"))
+        .orderBy(*asc("Customer", "FG_Desc", "ORDERNUMBER", collation=p.collation))
     return (m.withColumn("rn_fg", F.row_number().over(w)).where("rn_fg = 1")
              .select("CleanOrder", "ORDERNUMBER", "FG", "Customer", "FG_Desc"))
 
@@ -121,7 +141,7 @@ def dedupe_ledger(joined: DataFrame, p: Params) -> DataFrame:
     ci = p.case_insensitive
     w = Window.partitionBy(norm_key(F.col("ORDERNUMBER"), ci), norm_key(F.col("FG"), ci),
                            norm_key(F.col("ITEMNMBR"), ci)) \
-        .orderBy(*asc("Construct", "FG_Desc", "STSDESCR", *CORE_TIEBREAK))
+        .orderBy(*asc("Construct", "FG_Desc", "STSDESCR", *CORE_TIEBREAK, collation=p.collation))
     return joined.withColumn("rn_final", F.row_number().over(w)).where("rn_final = 1") \
         .drop("rn_final")
 
@@ -135,15 +155,17 @@ def first_demand(pn: DataFrame, p: Params) -> DataFrame:
     w = Window.partitionBy(norm_key(varchar(first_non_blank(F.col("ORDERNUMBER")), 255), ci), F.col("CleanOrder"),
                            norm_key(F.col("ITEMNMBR"), ci)) \
         .orderBy(*asc("STSDESCR", "DUEDATE", "Date_Expiry", "Deductions", "POs", "Running_Balance", "PRIME_VNDR",
-                      "VendorItem"))
+                      "VendorItem", collation=p.collation))
     return pn.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
 
 
 def first_description(il: DataFrame, p: Params) -> DataFrame:
     """The description and UOM that L5 can choose of each item: the least pair."""
     e = F.lit("")
-    pair = F.struct(varchar(F.coalesce("ItemDescription", e), 500).alias("d"), varchar(F.coalesce("UOMSCHDL", e), 50).alias("u"))
-    return (il.groupBy(norm_key(F.col("ItemNumber"), p.case_insensitive).alias("ItemNumber")).agg(F.min(pair).alias("_p"))
+    pair = il.select("ItemNumber", varchar(F.coalesce("ItemDescription", e), 500).alias("d"),
+                     varchar(F.coalesce("UOMSCHDL", e), 50).alias("u"))
+    least = F.min(F.struct(named_struct(ordered(("d", "u"), p.collation)).alias("o"), F.struct("d", "u").alias("r")))
+    return (pair.groupBy(norm_key(F.col("ItemNumber"), p.case_insensitive).alias("ItemNumber")).agg(least["r"].alias("_p"))
             .select("ItemNumber", F.col("_p.d").alias("ItemDescription"), F.col("_p.u").alias("UOMSCHDL")))
 
 
@@ -154,12 +176,16 @@ def named_fg(fg_orders: DataFrame, p: Params) -> DataFrame:
     choices are least values of one aggregate."""
     ci = p.case_insensitive
     m = fg_orders.withColumn("CleanOrder", clean_order(F.col("ORDERNUMBER"), ci)).where(F.col("CleanOrder") != "")
-    row = F.struct("Customer", "FG_Desc", "ORDERNUMBER", "FG")
+    row = F.struct(named_struct(ordered(("Customer", "FG_Desc", "ORDERNUMBER"), p.collation)).alias("o"),
+                   F.struct("Customer", "FG_Desc", "ORDERNUMBER", "FG").alias("r"))
     g = m.groupBy("CleanOrder", norm_key(F.coalesce("FG", F.lit("")), ci).alias("_fg")).agg(
-        F.min(F.when(F.col("FG").isNull(), row)).alias("_null"), F.min(F.when(F.col("FG").isNotNull(), row)).alias("_text"))
+        F.min(F.when(F.col("FG").isNull(), row))["r"].alias("_null"),
+        F.min(F.when(F.col("FG").isNotNull(), row))["r"].alias("_text"))
 
     def shown(c: str) -> Column:
-        return F.struct(F.col(c).isNull(), *[F.coalesce(F.col(f"{c}.{f}"), F.lit("")) for f in ("Customer", "FG_Desc")])
+        text = [F.coalesce(F.col(f"{c}.{f}"), F.lit("")) for f in ("Customer", "FG_Desc")]
+        # the order of L5: both by the collation; beyond that, which of the two is shown is the same
+        return named_struct([F.col(c).isNull(), *[collated(t, p.collation) for t in text], *text])
     pick = F.when(shown("_null") < shown("_text"), F.col("_null")).otherwise(F.col("_text"))
     return g.withColumn("_m", pick).select("CleanOrder", *[F.col(f"_m.{c}").alias(c)
                                                            for c in ("ORDERNUMBER", "FG", "Customer", "FG_Desc")])
@@ -219,15 +245,12 @@ def rank_issues(m: DataFrame, p: Params) -> DataFrame:
     def last(c: Column) -> list[Column]:
         """Descending, NULL last."""
         return [c.isNull(), -c]
-    by_date = [*last(F.unix_date("MRP_IssueDate")), F.col("WCID_I"), *last(F.col("Total_Issued")), F.col("Remaining_Required")]
+    by_date = [*last(F.unix_date("MRP_IssueDate")), *ordered(("WCID_I",), p.collation), *last(F.col("Total_Issued")), F.col("Remaining_Required")]
     by_use = [F.when(F.col("Total_Issued") > 0, 1).otherwise(2), *last(F.abs(F.col("Required_Qty"))), *by_date]
-
-    def order(cols: list[Column]) -> Column:
-        return F.struct(*[c.alias(f"o{i}") for i, c in enumerate(cols)])
     row = F.struct(*m.columns)
     g = m.groupBy(*keys, "Required_Qty").agg(
-        F.min(F.struct(order(by_date).alias("o"), row.alias("r"))).alias("q"),
-        F.min(F.struct(order(by_use).alias("o"), row.alias("r"))).alias("a"))
+        F.min(F.struct(named_struct(by_date).alias("o"), row.alias("r"))).alias("q"),
+        F.min(F.struct(named_struct(by_use).alias("o"), row.alias("r"))).alias("a"))
     g = g.withColumn("best", F.min("a").over(Window.partitionBy("_mo", "_it"))["r"])
     both = F.col("q.r").eqNullSafe(F.col("best"))
 

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stockpulse.functions import group_by_keys, norm_key, str_eq
+from stockpulse.functions import collated, group_by_keys, norm_key, str_eq, text_max
 from stockpulse.operators.action import balance_analysis, timing_copies, turnaround
 from stockpulse.operators.overlay import WFQ_ENHANCED, WFQ_RESCUED
 from stockpulse.operators.suppress import ST_BEGBAL
@@ -62,8 +62,9 @@ def client_summary(tc: DataFrame, p: Params) -> DataFrame:
     named = tc.withColumn("_client", norm_key(F.col("Construct"), p.case_insensitive))
     return group_by_keys(
         named, {"ITEMNMBR": F.col("ITEMNMBR"), "PRIME_VNDR": F.col("PRIME_VNDR")}, [],
-        [F.max("ItemDescription").alias("ItemDescription"), F.max("UOM").alias("UOM"),
-         F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("_client", "Construct"))),
+        [text_max("ItemDescription", p.collation).alias("ItemDescription"), text_max("UOM", p.collation).alias("UOM"),
+         F.array_join(F.transform(F.sort_array(F.collect_list(F.struct(
+             collated(F.col("_client"), p.collation).alias("_client"), "Construct"))),
                                   lambda c: c["Construct"]), CLIENT_SEPARATOR).alias("Threatened_Clients"),
          F.count(F.lit(1)).alias("Client_Exposure_Count")], p.case_insensitive)
 

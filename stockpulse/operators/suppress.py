@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
-from stockpulse.functions import norm_key, str_eq, try_date, try_decimal, ts_lit
+from stockpulse.functions import collated, norm_key, str_eq, try_date, try_decimal, ts_lit
 from stockpulse.operators.demand import BEG_BAL, V1_COLUMNS, asc
 from stockpulse.operators.prefix import (
     BLOCK_CHUNKS, CHUNK_ROWS, attach, balance_offsets, chunk_of, chunk_window, lay_out)
@@ -98,9 +98,9 @@ def ledger_order(p: Params) -> list[Column]:
     date = F.coalesce(F.col("DUEDATE"), try_date(F.col("Date_Expiry"), p.date_formats),
                       F.col("MRP_IssueDate").cast("date"), F.lit(NO_DATE))
     return [F.when(begbal, 0).otherwise(1).asc_nulls_first(),
-            date.asc_nulls_first(), F.col("ORDERNUMBER").asc_nulls_first(),
-            F.coalesce(F.col("Unified_Value"), F.lit("")).asc_nulls_first(),
-            F.coalesce(F.col("STSDESCR"), F.lit("")).asc_nulls_first(), *asc(*SEQ_TIEBREAK)]
+            date.asc_nulls_first(), *[collated(c, p.collation).asc_nulls_first() for c in (
+                F.col("ORDERNUMBER"), F.coalesce(F.col("Unified_Value"), F.lit("")), F.coalesce(F.col("STSDESCR"), F.lit("")))],
+            *asc(*SEQ_TIEBREAK, collation=p.collation)]
 
 
 def ledger_layout(v1: DataFrame, p: Params, cut: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:

@@ -35,6 +35,8 @@ class Params:
     fallback_multiplier: float = 1.5
     # semantics
     case_insensitive: bool = True  # text keys compare like a CI collation
+    # Spark collation by which text is ordered (ORDER BY, MIN, MAX), e.g. UNICODE_CI; None: code points
+    collation: str | None = None
     date_formats: tuple[str, ...] = ()  # date patterns to accept besides the known shapes
     normalize_issue_mo: bool = False  # True: clean issue order numbers like demand ones before matching
     dedupe_timing: bool = False  # True: a ledger row meets its item's earliest release only

@@ -45,8 +45,8 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
     return spark.conf.get("spark.checkpoint.dir", None)
 
 
-#: Outputs that ``output_path`` receives as they are built; ``write_outputs`` adds the
-#: demand ledger and the suppressed ledger, which are projections of stored tables.
+#: Outputs that ``output_path`` receives as they are built.  ``materialize_all`` adds the
+#: demand ledger and the suppressed ledger, projections of tables that the run stores.
 OUTPUTS = ("quarantine_pipe", "extended_ledger", "supply_action", "safety_stock",
            "run_risk", "buyer_control")
 
@@ -178,16 +178,31 @@ class LedgerRun:
         feeds reports P4-P6 and checks D1-D2."""
         return buyer.buyer_sort(self._v7_rows, self.p) if sort else self._v7_rows
 
+    def _project(self, df: DataFrame, name: str) -> None:
+        """Write a projection of a stored table to ``output_path``, if there is one."""
+        if self.output_path:
+            df.write.mode("overwrite").parquet(f"{self.output_path}/{name}")
+
+    @functools.cached_property
+    def _v1_out(self) -> None:
+        self._project(self.v1, "demand_ledger")
+
+    @functools.cached_property
+    def _v2_out(self) -> None:
+        self._project(self.v2, "suppressed_ledger")
+
     # dependency waves: everything in a wave only needs earlier waves
-    WAVES = (("v1_full", "v3", "vs"), ("v2_full",), ("v4",), ("deficits", "v5"), ("v6", "_v7_rows"))
+    WAVES = (("v1_full", "v3", "vs"), ("v2_full", "_v1_out"), ("v4", "_v2_out"), ("deficits", "v5"), ("v6", "_v7_rows"))
     NEEDS = {"v1_full": (), "v3": (), "vs": (), "v2_full": ("v1_full",), "v4": ("v2_full", "v3"),
+             "_v1_out": ("v1_full",), "_v2_out": ("v2_full",),
              "v5": ("v4", "v3"), "deficits": ("v4", "v3"), "v6": ("deficits", "vs"),
              "_v7_rows": ("deficits", "vs", "v4")}
 
     def materialize_all(self, workers: int = 3, only: str | None = None) -> "LedgerRun":
         """Build every output (or ``only`` one and what it needs), submitting
         independent ones as concurrent Spark jobs (stages of small outputs
-        leave the cluster's cores idle otherwise).  Each wave only needs the
+        leave the cluster's cores idle otherwise).  With an ``output_path`` all eight
+        outputs are there afterwards.  Each wave only needs the
         waves before it, so nothing is built twice."""
         want = set(self.NEEDS)
         if only is not None:

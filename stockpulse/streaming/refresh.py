@@ -19,7 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from stockpulse.params import Params
 from stockpulse.plans.views import LedgerRun
-from stockpulse.sources.io import load_tables, write_outputs
+from stockpulse.sources.io import load_tables
 from stockpulse.sources.publish import new_version, prune, switch
 from stockpulse.sources.schemas import PLANNING
 
@@ -45,7 +45,6 @@ def start_refresh(spark: SparkSession, source_base: str, output_base: str,
         run = LedgerRun(load_tables(spark, source_base, fmt), params(), materialize="table", output_path=version, layout=True)
         try:
             run.materialize_all()  # writes its outputs into the version as they are built
-            write_outputs({"demand_ledger": run.v1, "suppressed_ledger": run.v2}, version, workers=2)
         finally:
             run.release()  # each batch removes its own intermediates
         switch(spark, output_base, version)
