@@ -141,7 +141,9 @@ def ranged_words(words: DataFrame, key: Column) -> tuple[DataFrame, dict[int, tu
     """The words ordered by ``key`` over range partitions (columns key, part), and per
     partition the arguments of its ``NodeScan``: one word of each partition and the
     numbers along it reach the driver."""
-    ranged = checkpointed(words.withColumn("key", key).repartitionByRange("key").sortWithinPartitions("key")
+    # by number: a letter's nodes and pairs are many times its size, so partitions are not coalesced by bytes
+    parts = int(words.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = checkpointed(words.withColumn("key", key).repartitionByRange(parts, "key").sortWithinPartitions("key")
                           .withColumns({"part": F.spark_partition_id(), "at": F.monotonically_increasing_id()}))
     heads = sorted(tuple(r) for r in ranged.groupBy("part").agg(F.min("key")).collect())
     paths = paths_of([w for _, w in heads])
