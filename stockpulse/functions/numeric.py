@@ -45,7 +45,8 @@ def ratio_half_up(num: str, den: str, scale: int) -> Column:
     places.  Both become whole numbers of 10^-10 (integer and fractional part apart,
     so no product is rounded); the quotient's integer part comes from the exact
     remainder, its decimals by long division of what is left.  Takes numbers below
-    10^27; beyond that, and where den = 0, the result is NULL, not an error."""
+    10^27; beyond that, and where den = 0, the result is NULL, not an error.  Where the
+    scaled quotient fits into 64 bits, one integral division gives the same."""
     whole = DecimalType(38, 0)
 
     def units(text: str) -> Column:
@@ -77,7 +78,13 @@ def ratio_half_up(num: str, den: str, scale: int) -> Column:
     pair = F.array(F.struct(units(num).alias("n"), units(den).alias("d")))
     pair = F.transform(pair, lambda x: F.struct(size(x["n"]).alias("n"), size(x["d"]).alias("d"),
                                                 ((x["n"] < 0) != (x["d"] < 0)).alias("below")))
-    return F.get(F.transform(pair, divide), F.lit(0))
+    wide = F.get(F.transform(pair, divide), F.lit(0))
+    a, b = f"try_cast({num} AS DECIMAL(24,10))", f"try_cast({den} AS DECIMAL(24,10))"
+    short = F.expr(f"(abs({a}) * {2 * 10 ** scale} + abs({b})) div (abs({b}) * 2)").cast(DecimalType(20, 0))
+    short = F.when((F.expr(num) < 0) != (F.expr(den) < 0), -short).otherwise(short)
+    unit = F.lit(10.0 ** -scale).cast(DecimalType(scale + 1, scale))
+    small = (F.abs(F.expr(num)) < 10 ** 9) & F.abs(F.expr(den)).between(0.001, 10 ** 9)
+    return F.when(small, (short * unit).cast(DecimalType(38, scale))).otherwise(wide)
 
 
 def trunc_ratio(num: str, den: int, scale: int) -> Column:
