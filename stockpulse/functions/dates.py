@@ -22,6 +22,8 @@ _SHAPES = (
     (r"^(\d{4})([-/.])(\d{1,2})\2(\d{1,2})$", "134"),              # 2026-01-15, 2026/1/5
     (rf"^(\d{{1,2}})([-/.])(\d{{1,2}})\2{_YEAR}$", "413"),          # 1/15/2026, 01-15-26
     (rf"^{_YEAR}(\d{{2}})(\d{{2}})$", "123"),                       # 20260115
+)
+_NAMED = (
     (rf"^(\d{{1,2}})[ -]*{_NAME}\.?[ ,-]*{_YEAR}$", "321"),         # 15 Jan 2026, 15-Jan-2026
     (rf"^{_NAME}\.?[ -]*(\d{{1,2}})[ ,-]+{_YEAR}$", "312"),         # January 15, 2026
     (rf"^(\d{{4}})[ -]*{_NAME}\.?[ -]*(\d{{1,2}})$", "123"),       # 2026 Jan 15
@@ -44,9 +46,14 @@ def try_date(c: Column, formats: tuple[str, ...] = ()) -> Column:
 
     The shape picks the one reading, so ``1/2/2026`` is 2 January; a day that the
     calendar does not have is NULL.  ``formats`` are further date patterns."""
-    t = F.regexp_replace(F.trim(c), _TIME, "")
-    for pattern, (y, m, d) in _SHAPES:
-        t = F.regexp_replace(t, pattern, f"${y}{_MARK}${m}{_MARK}${d}")
+    def parts_of(t: Column) -> Column:
+        """[year, month, day] of a text in one of the shapes; of others the text as it is."""
+        def marked(shapes: tuple[tuple[str, str], ...]) -> Column:
+            out = t
+            for pattern, (y, m, d) in shapes:
+                out = F.regexp_replace(out, pattern, f"${y}{_MARK}${m}{_MARK}${d}")
+            return out
+        return F.split(F.when(t.rlike("[A-Za-z]"), marked(_NAMED)).otherwise(marked(_SHAPES)), _MARK)
 
     def day_of(parts: Column) -> Column:
         year, month, day = (F.get(parts, F.lit(i)) for i in range(3))
@@ -58,8 +65,9 @@ def try_date(c: Column, formats: tuple[str, ...] = ()) -> Column:
         iso = F.concat(century, year, F.lit("-"), F.lpad(month, 2, "0"), F.lit("-"), F.lpad(day, 2, "0"))
         return F.try_to_date(F.when(iso >= "0001", iso), "yyyy-MM-dd")
 
-    # a one-element array hands the parts on by name, so that finding them is stated once
-    read = F.get(F.transform(F.array(F.split(t, _MARK)), day_of), F.lit(0))
+    # a one-element array hands a value on by name, so that finding it is stated once
+    text = F.array(F.regexp_replace(F.trim(c), _TIME, ""))
+    read = F.get(F.transform(F.transform(text, parts_of), day_of), F.lit(0))
     return F.coalesce(read, *[F.try_to_date(F.trim(c), f) for f in formats]) if formats else read
 
 

@@ -286,7 +286,8 @@ def _text(c: Column) -> Column:
 def issue_flags(df: DataFrame, p: Params) -> DataFrame:
     """L10 + L11: issue columns, flags and the Unified_Value audit key."""
     issued = F.coalesce(F.col("_ml_issued"), F.lit(0))
-    dx = try_date(F.col("Date_Expiry"), p.date_formats)
+    df = df.withColumn("_dx", try_date(F.col("Date_Expiry"), p.date_formats))  # both flags read it
+    dx = F.col("_dx")
     early_cut = F.lit(p.today - dt.timedelta(days=p.early_issue_days))
     uv_tail = F.when(F.col("_ml_req").isNull(), _text(F.col("CleanDeductions"))) \
         .otherwise(_text(F.col("_ml_req") - F.col("_ml_issued")))
