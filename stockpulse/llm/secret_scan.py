@@ -3,11 +3,13 @@
 The lexer reads a whole text once for ``name = value`` and ``name: value`` forms
 of source and configuration syntax (dotted, bracketed and quoted names, quoted
 or bare values of any length, joined string pieces, defaults of environment
-variables in calls and choices, declarations with a type; any blanks around signs).  Values that are
+variables in calls and choices, declarations with a type; any blanks around signs;
+triple-quoted strings and indented blocks behind ``|`` or ``>``), and for elements
+``<name>value</name>`` and pairs ``key="name" value="value"`` of markup.  Names have any length.  Values that are
 names of earlier literals are resolved (constant propagation, in order of
 appearance, through chains), and each literal is scored by the most sensitive
 name it reaches, its length, its mix of characters and its entropy; placeholders
-score nothing.  Literals at or above ``threshold`` add spans of kind ``lexed``
+score nothing, and neither do blocks that are mostly words.  Literals at or above ``threshold`` add spans of kind ``lexed``
 at the literal itself, unless a base span already covers it.
 
 Spans are code points, end exclusive.  Defined cases: null text is empty and has
@@ -20,7 +22,9 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_right
 from collections import Counter
+from itertools import accumulate
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -44,7 +48,8 @@ PLACEHOLDER = re.compile(
     r"|undefined|test(?:ing)?|dummy|redacted)", re.IGNORECASE | re.ASCII)
 _STRING = r"""(?:"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*'|`(?:[^`\\\n]|\\.)*`)"""
 _BINDS = re.compile(r"(?<![=!<>:+*/-])(?::=|=>|[:=])(?![=:])[\x20\t]*")
-_NAME = re.compile(r"""([A-Za-z_][A-Za-z0-9_.-]{0,127})(?:\[["']([A-Za-z0-9_.-]{1,128})["']\])?["']?\Z""")
+_IN_NAME = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789_.-")
+_NAME_START = re.compile(r"[A-Za-z_]")
 _STRINGS = rf"{_STRING}(?:[\x20\t]*[+.][\x20\t]*{_STRING})*"
 _QUOTED, _BARE = re.compile(_STRINGS), re.compile(r"[A-Za-z0-9+/_.=~@!-]+")
 # What stands before a literal that is the default of an environment variable: a call or a choice.
@@ -58,8 +63,13 @@ _ENV_ELSE = re.compile(
 # The type and sign that stand between a declared name's colon and its value.
 _TYPE = r"""(?:&(?:'[a-z]+[\x20\t]+)?)?[A-Za-z_][A-Za-z0-9_.]*(?:\[[A-Za-z0-9_.,|\x20"']*\]|<[A-Za-z0-9_.,|\x20]*>)?"""
 _TYPED = re.compile(rf"{_TYPE}(?:[\x20\t]*\|[\x20\t]*{_TYPE})*\??[\x20\t]*=(?![=>])[\x20\t]*")
-_NAME_REACH = 280
 _PIECE = re.compile(_STRING)
+# An indented block's head, an element with text only, and a pair of attributes.
+_BLOCK = re.compile(r"[|>][+-]?[1-9]?[+-]?[\x20\t]*(?:#[^\n]*)?\n")
+_ELEMENT = re.compile(r"<([A-Za-z_][A-Za-z0-9_.:-]*)(?:\s[^<>]*)?>([^<>]+)</")
+_ATTRIBUTES = re.compile(
+    r"""\b(?:key|name)[\x20\t]*=[\x20\t]*["']([A-Za-z0-9_.:-]+)["']\s+value[\x20\t]*=[\x20\t]*(?:"([^"<>\n]+)"|'([^'<>\n]+)')""",
+    re.IGNORECASE | re.ASCII)
 _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|[0-9]+")
 
 
@@ -90,6 +100,58 @@ def literal_score(literal: str, name_weight: float) -> float:
     return name_weight * spread * (0.4 if words_only else 0.7 + 0.1 * mixed)
 
 
+def name_before(text: str, stop: int) -> str | None:
+    """The name that ends at ``stop``: of a subscript if there is one, else what stands before."""
+    def back(end: int) -> int:
+        while end and text[end - 1] in _IN_NAME:
+            end -= 1
+        return end
+
+    if stop and text[stop - 1] in "\"'":
+        stop -= 1
+    key = None
+    if stop > 1 and text[stop - 1] == "]" and text[stop - 2] in "\"'":
+        low = back(stop - 2)
+        if low == stop - 2 or low < 2 or text[low - 1] not in "\"'" or text[low - 2] != "[":
+            return None
+        key, stop = text[low:stop - 2], low - 2
+    start = _NAME_START.search(text, back(stop), stop)
+    return (key or text[start.start():stop]) if start else None
+
+
+def _stripped(text: str, start: int, stop: int) -> tuple[int, int]:
+    """The span without blanks at its ends."""
+    inner = text[start:stop]
+    start += len(inner) - len(inner.lstrip())
+    return start, start + len(inner.strip())
+
+
+def block_after(text: str, head: re.Match, stop: int) -> tuple[int, int] | None:
+    """The block of lines that stand deeper than the line of the name before ``stop``."""
+    line = text.rfind("\n", 0, stop) + 1
+    depth = len(text[line:stop]) - len(text[line:stop].lstrip(" \t"))
+    first, last, at = -1, -1, head.end()
+    while at < len(text):
+        end = text.find("\n", at)
+        end = len(text) if end < 0 else end
+        own = text[at:end]
+        if own.strip():
+            deep = len(own) - len(own.lstrip(" \t"))
+            if deep <= depth:
+                break
+            first, last = (first if first >= 0 else at + deep), at + len(own.rstrip())
+        at = end + 1
+    return (first, last) if first >= 0 else None
+
+
+def block_score(literal: str) -> float:
+    """``literal_score`` of a literal of several lines or of markup, for a name of weight 1;
+    text that is mostly words is none."""
+    pieces = literal.split()
+    words = sum(p.strip(".,;:!?()\"'").isalpha() for p in pieces)
+    return 0.0 if len(pieces) > 3 and 2 * words > len(pieces) else literal_score(literal, 1.0)
+
+
 class _Run:
     """A run of bare characters and the shares of a full score that its tails
     behind each ``=`` have, all counted in one pass from its end."""
@@ -134,23 +196,51 @@ def lexed_spans(text: str, threshold: float) -> list[tuple[int, int]]:
     """Spans of literals that sensitive names are bound to, directly or through constants."""
     found: dict[tuple[int, int], float] = {}
     constants: dict[str, tuple[list[tuple[int, int]], float]] = {}
-    run, typed = None, -1
+    run, typed, longest = None, -1, 0
+    unclosed = {}  # where the search for the end of a triple-quoted string found none
+
+    def note(name: str, share: float, spans: list[tuple[int, int]]) -> None:
+        score = sensitivity(name) * share
+        if score and score >= threshold:
+            for a, b in spans:
+                if b > a:
+                    found[a, b] = max(score, found.get((a, b), 0.0))
+
+    def block(start: int, stop: int) -> tuple[int, int] | None:
+        triple = text[start:start + 3]
+        if triple in ('"""', "'''") and triple not in unclosed:
+            close = text.find(triple, start + 3)
+            if close >= 0:
+                return _stripped(text, start + 3, close)
+            unclosed[triple] = start
+        head = _BLOCK.match(text, start)
+        return block_after(text, head, stop) if head else None
+
+    for e in _ELEMENT.finditer(text):
+        if text.startswith(e[1], e.end()) and text[e.end() + len(e[1]):e.end() + len(e[1]) + 1] in (">", " ", "\n"):
+            span = _stripped(text, *e.span(2))
+            note(e[1], block_score(text[span[0]:span[1]]), [span])
+    for e in _ATTRIBUTES.finditer(text):
+        span = e.span(2) if e[2] else e.span(3)
+        note(e[1], block_score(text[span[0]:span[1]]), [span])
     for bind in _BINDS.finditer(text):
         stop, start = bind.start(), bind.end()
         if stop < typed:  # the sign behind a declared type, whose value is read already
             continue
         while stop and text[stop - 1] in " \t":
             stop -= 1
-        named = _NAME.search(text[max(0, stop - _NAME_REACH):stop])
-        if not named:
+        name = name_before(text, stop)
+        if not name:
             continue
-        name = named[2] or named[1]
         if text[bind.start()] == ":" and (kind := _TYPED.match(text, start)):
             start = typed = kind.end()
-        quoted = _QUOTED.match(text, start)
-        if not quoted and (before := _ENV_CALL.match(text, start) or _ENV_ELSE.match(text, start)):
+        inner = block(start, stop)
+        quoted = _QUOTED.match(text, start) if not inner else None
+        if not inner and not quoted and (before := _ENV_CALL.match(text, start) or _ENV_ELSE.match(text, start)):
             quoted = _QUOTED.match(text, before.end())
-        if quoted:
+        if inner:
+            literals, share = [inner], block_score(text[inner[0]:inner[1]])
+        elif quoted:
             literals = [(p.start() + 1, p.end() - 1) for p in _PIECE.finditer(text, quoted.start(), quoted.end())]
             share = literal_score("".join(text[a:b] for a, b in literals), 1.0)
         else:
@@ -160,16 +250,14 @@ def lexed_spans(text: str, threshold: float) -> list[tuple[int, int]]:
                     continue
                 run = _Run(text, *bare.span())
             end = max(run.end, start)
-            known = constants.get(text[start:end]) if end - start <= 128 else None
-            if not known and (dot := text.rfind(".", max(start, end - 129), end)) >= 0:
+            # no name is longer than ``longest``
+            known = constants.get(text[start:end]) if end - start <= longest else None
+            if not known and (dot := text.rfind(".", max(start, end - longest - 1), end)) >= 0:
                 known = constants.get(text[dot + 1:end])
             literals, share = known or ([(start, end)], run.share(start) if end > start else 0.0)
         constants[name] = constants[name.rpartition(".")[2]] = literals, share
-        score = sensitivity(name) * share
-        if score and score >= threshold:
-            for a, b in literals:
-                if b > a:
-                    found[a, b] = max(score, found.get((a, b), 0.0))
+        longest = max(longest, len(name))
+        note(name, share, literals)
     return sorted(found)
 
 
@@ -182,8 +270,14 @@ def scan(text: str | None, threshold: float) -> tuple[int, int, int, str, str]:
         base += [(a, kind, b) for a, b in (m.span() for m in pattern.finditer(text)) if b - a >= least]
     base.sort()
     counts = Counter(k for _, k, _ in base)
-    more = [(a, 3, b) for a, b in lexed_spans(text, threshold)
-            if not any(x <= a and b <= y for x, _, y in base)] if ("=" in text or ":" in text) else []
+    starts, reach = [a for a, _, _ in base], list(accumulate((b for _, _, b in base), max))
+
+    def covered(a: int, b: int) -> bool:  # by a base span: of those that start before, one ends behind
+        before = bisect_right(starts, a)
+        return before > 0 and reach[before - 1] >= b
+
+    lexed = lexed_spans(text, threshold) if "=" in text or ":" in text or "</" in text else []
+    more = [(a, 3, b) for a, b in lexed if not covered(a, b)]
     show = lambda spans: ",".join(f"{KINDS[k]}:{a}:{b}" for a, k, b in spans)
     return counts[0], counts[1], counts[2], show(base), show(sorted(base + more))
 

@@ -395,3 +395,30 @@ def test_items_back_to_back_are_all_found():
         got = decontam.Matcher([(1, item)], 0.1, 8).find(text)
         assert k and [e for *_, e in got] == edits
         assert [b - a for _, a, b, _ in got] == [80] * 3
+
+
+def test_secret_lexing_has_no_length_limit_on_names():
+    key, name = "aZ3kd9fQ1xPz8w", "signing_key_" + "q" * 5000
+    constant = "K" + "b" * 5000
+    for text in (f'{name} = "{key}"', f'cfg["{name}"] = "{key}"', f'{constant} = "{key}"\nclient_secret = {constant}'):
+        assert [text[a:b] for a, b in secret_scan.lexed_spans(text, 0.45)] == [key]
+
+
+def test_secret_lexing_reads_blocks_and_markup():
+    key = "aZ3kd9fQ1xPz8w"
+    for text, want in (
+            (f'client_secret = """\n  {key}\n"""', key), (f"signing_key = '''{key}'''", key),
+            (f"private_key: |\n  -----BEGIN-----\n  {key}\n\n  QQz8\nother: 1", f"-----BEGIN-----\n  {key}\n\n  QQz8"),
+            (f"db:\n  auth_token: >-  # folded\n    {key}\n  port: 1", key),
+            (f"<clientSecret enc='no'>\n {key} </clientSecret>", key),
+            (f'<add key="ApiKey" value="{key}"/>', key), (f"<x name='private_key'\n value='{key}'/>", key)):
+        assert [text[a:b] for a, b in secret_scan.lexed_spans(text, 0.45)] == [want]
+    for text in ('token = """the quick brown fox jumps over"""', f"<title>{key}</title>", f"title: |\n  {key}\n",
+                 "private_key: |\nother: 1", 'secret = """', "<token></token>"):
+        assert secret_scan.lexed_spans(text, 0.45) == []
+
+
+def test_lexed_spans_inside_base_spans_are_left_out():
+    text = 'secret = "aZ3kd9fQ1xPz8w"; ' * 300
+    *_, base, spans = secret_scan.scan(text, 0.45)
+    assert base == spans and base.count("assign") == 300
