@@ -7,8 +7,11 @@ and the base rules pass.
 
 The CRF is trained here, by exact likelihood (forward-backward, Adam), on at most
 ``sample_per_class`` labelled documents of either quality, chosen by a hash of
-their id; a line takes its document's label.  Training documents over
-``sample_chars`` are passed over; scoring reads every text whole.
+their id.  Sequences are these documents, each line with its document's label, and as
+many spliced ones: pieces of a good and of a junk document in turn, each line with
+the label of the document it came from, so that the model sees moves between the
+labels.  Training documents over ``sample_chars`` are passed over; scoring reads
+every text whole.
 
 Defined cases: null or empty text has no words (all counts 0, base failed, not
 kept); repeated rows are all returned; labels that are null or of one class only
@@ -33,7 +36,7 @@ _LOWER = b"abcdefghijklmnopqrstuvwxyz"
 _DIGITS = b"0123456789"
 # Words of notices and navigation.
 NOTICE = (b"copyright", b"license", b"cookie", b"subscribe", b"rights reserved", b"click here", b"sign in")
-N_FEATURES = 13
+N_FEATURES = 14
 MIN_WORDS = 50
 RETURNS = ("n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
            "base_failed boolean, kept boolean, content_share double")
@@ -70,28 +73,32 @@ def _count(data: bytes, kinds: bytes) -> int:
     return len(data) - len(data.translate(None, kinds))
 
 
-def repeated_words(words: list[bytes]) -> int:
-    """Words in 3-word windows that occur at least twice."""
+def repeated_places(words: list[bytes]) -> np.ndarray:
+    """Which words lie in 3-word windows that occur at least twice."""
     n = len(words)
     if n < 4:
-        return 0
+        return np.zeros(n, dtype=bool)
     ids: dict[bytes, int] = {}
     a = np.array([ids.setdefault(w, len(ids)) for w in words], dtype=np.int64)
     if len(ids) == n:
-        return 0
+        return np.zeros(n, dtype=bool)
     _, pairs = np.unique(a[:-1] * len(ids) + a[1:], return_inverse=True)
     _, inverse, counts = np.unique(pairs[:-1] * len(ids) + a[2:], return_inverse=True, return_counts=True)
     again = counts[inverse] > 1
     covered = np.zeros(n, dtype=bool)
     for k in range(3):
         covered[k:n - 2 + k] |= again
-    return int(covered.sum())
+    return covered
 
 
-def line_features(lines: list[tuple[bytes, int, bool]], repeat_share: float) -> np.ndarray:
-    """One row per (line, its number of words, whether it equals an earlier line)."""
-    rows = []
-    for line, n_words, earlier in lines:
+def line_features(lines: list[tuple[bytes, int, bool]], repeated: np.ndarray) -> np.ndarray:
+    """One row per (line, its number of words, whether it equals an earlier line);
+    ``repeated`` tells which words of the text are repeated."""
+    if not lines:
+        return np.zeros((0, N_FEATURES))
+    rows, repeat_share = [], float(repeated.mean())
+    heads = np.cumsum([0, *(k for _, k, _ in lines[:-1])])
+    for (line, n_words, earlier), again in zip(lines, np.add.reduceat(repeated, heads, dtype=np.int64).tolist()):
         size = len(line)
         symbols, upper, lower = _count(line, SYMBOLS), _count(line, _UPPER), _count(line, _LOWER)
         low = line.lower()
@@ -100,7 +107,7 @@ def line_features(lines: list[tuple[bytes, int, bool]], repeat_share: float) ->
             float(upper > lower), float(upper + lower == 0), float(n_words < 3),
             min(1.0, 20 * line.count(b"|") / size), min(1.0, 4 * _count(line, _DIGITS) / size),
             float(earlier), repeat_share, min(1.0, 20 * line.count(b"!") / size),
-            float(line.rstrip()[-1:] in b".?!"), float(any(x in low for x in NOTICE))))
+            float(line.rstrip()[-1:] in b".?!"), float(any(x in low for x in NOTICE)), again / n_words))
     return np.array(rows, dtype=np.float64).reshape(-1, N_FEATURES)
 
 
@@ -122,11 +129,12 @@ def assess(text: str | None, model: LineCrf | None, min_content: float) -> tuple
     lines, words = split_lines(text)
     text = text or ""
     raw = text.encode("utf-8", "surrogatepass")
-    n, repeats = len(words), repeated_words(words)
+    repeated = repeated_places(words)
+    n, repeats = len(words), int(repeated.sum())
     failed = n < MIN_WORDS or 100 * repeats > 50 * n
     share = 1.0 if n else 0.0
     if model and n:
-        labels = model.viterbi(line_features(lines, repeats / n))
+        labels = model.viterbi(line_features(lines, repeated))
         share = sum(k for (_, k, _), y in zip(lines, labels) if y) / n
     return (n, len(text) - _count(raw, BLANKS), _count(raw, SYMBOLS), sum(e for *_, e in lines), repeats,
             failed, not failed and share >= min_content, share)
@@ -167,27 +175,52 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: i
     return [(r["_text"], r["_y"]) for r in rows]
 
 
+def spliced(sample: list[tuple[str, int]], seed: int = 11) -> list[tuple[str, list[int]]]:
+    """Texts of two to four pieces that come from a good and a junk document in turn, and
+    the label of each line; every document of the larger class is used once."""
+    rng = np.random.default_rng(seed)
+    kinds: tuple[list, list] = [], []
+    for text, y in sample:
+        lines = [line for line in (text or "").split("\n") if line.encode("utf-8", "surrogatepass").split()]
+        if lines:
+            kinds[y].append(lines)
+    out = []
+    if all(kinds):
+        for i in range(max(map(len, kinds))):
+            label, lines, labels = int(rng.integers(2)), [], []
+            for _ in range(int(rng.integers(2, 5))):
+                own = kinds[label][i % len(kinds[label])]
+                low = int(rng.integers(len(own)))
+                piece = own[low:low + int(rng.integers(1, len(own) + 1))]
+                lines += piece
+                labels += [label] * len(piece)
+                label = 1 - label
+            out.append(("\n".join(lines), labels))
+    return out
+
+
 def fit_line_crf(sample: list[tuple[str, int]], steps: int = 150, rate: float = 0.15,
                  ridge: float = 1e-3, length: int = 48) -> LineCrf | None:
-    """Train on (text, quality); sequences are cut into pieces of ``length`` lines."""
+    """Train on (text, quality) and their splices; sequences are cut into pieces of ``length`` lines."""
     xs, ys = [], []
-    for text, y in sample:
+    for text, y in [*sample, *spliced(sample)]:
         lines, words = split_lines(text)
         if words:
-            x = line_features(lines, repeated_words(words) / len(words))
+            x = line_features(lines, repeated_places(words))
+            labels = y if isinstance(y, list) else [y] * len(x)
             for at in range(0, len(x), length):
                 xs.append(x[at:at + length])
-                ys.append(y)
-    if len(set(ys)) < 2:
+                ys.append(labels[at:at + length])
+    if len({y for own in ys for y in own}) < 2:
         return None
     n, longest = len(xs), max(map(len, xs))
     x = np.zeros((n, longest, N_FEATURES))
     there = np.zeros((n, longest), dtype=bool)
-    for i, piece in enumerate(xs):
-        x[i, :len(piece)], there[i, :len(piece)] = piece, True
-    y = np.array(ys)
-    gold = there * y[:, None]
+    gold = np.zeros((n, longest))
+    for i, (piece, own) in enumerate(zip(xs, ys)):
+        x[i, :len(piece)], there[i, :len(piece)], gold[i, :len(piece)] = piece, True, own
     pair = there[:, 1:]  # a move into each line but the first
+    seen = np.array([[(pair & (gold[:, :-1] == a) & (gold[:, 1:] == b)).sum() for b in (0, 1)] for a in (0, 1)])
     theta = np.zeros(N_FEATURES + 1 + 4)
     first, second = np.zeros_like(theta), np.zeros_like(theta)
     for step in range(1, steps + 1):
@@ -207,9 +240,6 @@ def fit_line_crf(sample: list[tuple[str, int]], steps: int = 150, rate: float =
         one = np.exp(alpha[:, :, 1] + beta[:, :, 1] - total[:, None]) * there
         both = np.exp(alpha[:, :-1, :, None] + moves + (unary[:, 1:] + beta[:, 1:])[:, :, None, :]
                       - total[:, None, None, None]) * pair[:, :, None, None]
-        seen = np.zeros((2, 2))
-        for k in (0, 1):
-            seen[k, k] = pair[y == k].sum()
         miss = gold - one
         grad = np.concatenate([np.einsum("nt,ntf->f", miss, x), [miss[:, 0].sum()],
                                (seen - both.sum(axis=(0, 1))).ravel()]) / there.sum() - ridge * theta

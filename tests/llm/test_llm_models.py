@@ -181,6 +181,24 @@ def test_line_crf_on_held_out_documents():
     assert np.mean(seen[1]) > 0.99 and np.mean(seen[0]) < 0.05
 
 
+def test_line_crf_labels_both_sides_of_a_cut():
+    """Held-out texts spliced from good and junk pieces."""
+    rows = _labelled("quality")
+    model = quality.fit_line_crf(rows[:1500])
+    assert model.moves[0][0] > model.moves[0][1] and model.moves[1][1] > model.moves[1][0]
+    right, shares = {0: [], 1: []}, []
+    for text, want in quality.spliced(rows[1500:], seed=5):
+        lines, words = quality.split_lines(text)
+        got = model.viterbi(quality.line_features(lines, quality.repeated_places(words)))
+        assert len(got) == len(want)
+        for a, b in zip(got, want):
+            right[b].append(a == b)
+        if set(want) == {0, 1}:
+            shares.append(quality.assess(text, model, 0.5)[7])
+    assert np.mean(right[1]) > 0.92 and np.mean(right[0]) > 0.85
+    assert np.mean([0 < s < 1 for s in shares]) > 0.7
+
+
 def test_toxicity_on_held_out_documents():
     rows = _labelled("toxic")
     train, test = rows[:3000], rows[3000:]
