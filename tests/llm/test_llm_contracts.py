@@ -6,6 +6,7 @@ import random
 import re
 import zlib
 
+import numpy as np
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -218,8 +219,30 @@ def test_shards_do_not_depend_on_input_order_and_salt_hot_rows(spark, docs):
         sharding.shuffle_into_shards(d, n_shards=3, **p)).collect()))
     assert place(docs) == place(docs.repartition(7))
     copies = spark.range(900).select(F.lit(1).cast("long").alias("doc_id"), F.lit("copy").alias("text"))
-    slots = sharding.shuffle_into_shards(copies, n_shards=4, hot_rows=100).groupBy("shard").count().collect()
-    assert [r["count"] for r in slots] == [225] * 4
+    for frame in (copies.repartition(5), copies.coalesce(1)):
+        slots = sharding.shuffle_into_shards(frame, n_shards=4).groupBy("shard").count().collect()
+        assert [r["count"] for r in slots] == [225] * 4
+
+
+def test_copies_scatter_and_places_depend_on_the_rows_only(spark, docs):
+    copies = spark.range(600).select(F.lit(1).cast("long").alias("doc_id"), F.lit("x" * 100_000).alias("text"))
+    frame = docs.select("doc_id", "text").unionByName(copies)
+    place = lambda d: sorted(map(repr, sharding.shard_digest(
+        sharding.shuffle_into_shards(d, n_shards=3, bucket_bytes=1 << 20)).collect()))
+    assert place(frame.repartition(2)) == place(frame.repartition(9, "text"))
+    records = copies.select(F.struct("doc_id", sharding.record_size().alias("size")).alias("record"),
+                            F.col("doc_id").alias("id"), "text")
+    hashes = [r["h"] for r in sharding._scattered(records.repartition(4), 17)[0].select("h").collect()]
+    full = np.bincount([h % 60 for h in hashes], minlength=60)
+    assert len(set(hashes)) == 600 and full.max() < 30
+
+
+def test_shards_take_columns_of_maps(spark):
+    frame = spark.range(50).selectExpr("id as doc_id", "concat('t', id % 5) as text", "map('a', id, 'b', 2L) as m")
+    frame = frame.unionByName(frame)
+    out = sharding.shuffle_into_shards(frame, n_shards=4)
+    assert sorted((r["doc_id"], sorted(r["m"].items())) for r in out.collect()) == sorted(
+        (r["doc_id"], sorted(r["m"].items())) for r in frame.collect())
 
 
 def test_written_shards_read_back(spark, docs, tmp_path):
