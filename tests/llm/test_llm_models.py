@@ -111,6 +111,41 @@ def test_edited_passages_are_recalled(spark, every):
     assert found >= 0.95
 
 
+def test_a_passage_is_found_however_many_others_hold_its_phrases(spark):
+    """Documents 1 and 2 share an edited passage; each of its phrases also stands, alone, in
+    documents of lower and of higher keys than theirs, which are the first and last holders."""
+    rnd = random.Random(31)
+    own = lambda n: ["".join(rnd.choice("abcdefghij") for _ in range(6)) for _ in range(n)]
+    passage = own(80)
+    edited = [own(1)[0] if i % 8 == 7 else w for i, w in enumerate(passage)]
+    texts = {1: own(30) + passage + own(30), 2: own(20) + edited + own(20)}
+    for i in range(10):  # phrase by phrase, in many documents each
+        for n in range(12):
+            texts[10 + 12 * i + n] = own(30) + passage[8 * i:8 * i + 7] + own(30)
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in texts.items()], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in passages.repeated_passages(docs).collect()}
+    assert got[1]["partners"] == [2] and got[2]["partners"] == [1]
+    assert got[1]["spans"] == "30:109:2" and got[2]["spans"] == "20:99:1"
+    assert not any(got[i]["n_passages"] for i in texts if i > 9)
+
+
+def test_every_holder_of_a_passage_is_a_partner(spark):
+    rnd = random.Random(32)
+    own = lambda n: ["".join(rnd.choice("abcdefghij") for _ in range(6)) for _ in range(n)]
+    shared = own(60)
+    texts = [" ".join(own(10 + i) + shared + own(20)) for i in range(6)]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(10, texts[0]), (11, texts[0]), (11, texts[0]), (None, texts[1])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r["doc_id"]: r for r in passages.repeated_passages(docs).collect()}
+    every = set(range(6))
+    for i in range(6):
+        assert set(got[i]["partners"]) == every - {i} | ({10} if i == 0 else set())
+        assert f"{10 + i}:{70 + i}:{(i + 1) % 6}" in got[i]["spans"].split(",")
+    assert set(got[10]["partners"]) == set(got[11]["partners"]) == every
+    assert "0:90:0" in got[11]["spans"].split(",") and got[11]["repeated_words"] == 90
+    assert set(got[None]["partners"]) == every and "0:91:1" in got[None]["spans"].split(",")
+
+
 def test_word_hashes_tell_words_apart():
     text = "One two\tone\n\x0b two  Three x  é"
     h = passages.word_hashes(text)
