@@ -5,7 +5,7 @@ from decimal import Decimal
 
 from conftest import make_tables
 from stockpulse.operators import demand
-from stockpulse.plans import LedgerRun
+from stockpulse.plans import LedgerRun, views
 
 
 def shuffle_files(spark):
@@ -58,3 +58,47 @@ def test_first_demand_with_and_without_rank(spark, params):
     pn = demand.filter_demand(make_tables(spark, **rows())["planning"], params)
     a, b = (demand.first_demand(pn, params, rank=r) for r in (True, False))
     assert a.count() == 37 and a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
+
+
+def test_sliced_run_equals_the_whole_one_and_stores_its_steps_by_slice(spark, params, monkeypatch):
+    data = rows()
+    data["planning"] += [dict(ORDERNUMBER=o, ITEMNMBR=i, STSDESCR="Released", DUEDATE=dt.date(2026, 1, 9), Deductions="2", Running_Balance="1")
+                         for o in ("Beg Bal", "mo 3", "MO-3 ", "#", "MO") for i in ("10.1", " 10.1", "10.2 ", "a1", "A1")]
+    data["mo_issues"] = [dict(MANUFACTUREORDER_I=f"{m}{i}", ITEMNMBR=f"10.{i % 5}", WCID_I="WC-W1", QTY_ISSUED_I=Decimal(1), MRPAMOUNT_I=Decimal(k),
+                              QTY_BACKFLUSHED_I=Decimal(0), ATYALLOC=Decimal(0)) for i in range(7) for m in ("MO", "mo ", "") for k in (2, 3)]
+    data["mo_status"] = [dict(MANUFACTUREORDER_I=f"{m}{i}", MANUFACTUREORDERST_I=2) for i in range(7) for m in ("MO", "mo ", "")]
+    data["lots"] = [dict(ITEMNMBR=f"10.{i}", LOCNCODE="WF-Q", LOTNUMBR=f"L{i}{k}", DATERECD=dt.datetime(2026, 1, 2), QTYRECVD=Decimal(9),
+                         QTYSOLD=Decimal(0)) for i in range(3) for k in range(2)]
+    stored = {}
+    store = LedgerRun._store
+
+    def counted(self, df, name, *mode):
+        out = store(self, df, name, *mode)
+        stored.setdefault(name, []).append(out.count())
+        return out
+    monkeypatch.setattr(LedgerRun, "_store", counted)
+    t = make_tables(spark, **data)
+    run, once = (LedgerRun(t, params, materialize="table", slices=n) for n in (2, 1))
+    try:
+        for view in ("v1", "v2", "v4", "v5", "deficits"):
+            a, b = getattr(run, view), getattr(once, view)
+            assert a.count() and a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty(), view
+        for step in ("core_ledger", "ranked_issues", "stocked_ledger", "covered_ledger"):
+            *parts, whole = stored[step]
+            assert len(parts) == 2 and 0 < min(parts) and sum(parts) == whole, step
+        assert listed(spark, run) == {"demand_ledger_full", "suppressed_ledger_full", "quarantine_pipe", "extended_ledger",
+                                      "supply_action", "deficit_rows"}
+    finally:
+        run.release()
+        once.release()
+
+
+def test_a_run_is_sliced_by_the_size_of_its_stored_demand(spark, params, tmp_path, monkeypatch):
+    t = make_tables(spark, **rows())
+    assert LedgerRun(t, params, materialize="table").slices == 1  # rows whose size Spark does not know
+    t["planning"].write.parquet(f"{tmp_path}/planning")
+    t["planning"] = spark.read.parquet(f"{tmp_path}/planning")
+    assert LedgerRun(t, params, materialize="table").slices == 1
+    monkeypatch.setattr(views, "SLICE_BYTES", 1000)
+    assert LedgerRun(t, params, materialize="table").slices == views.MAX_SLICES
+    assert LedgerRun(t, params, materialize=None).slices == 1
