@@ -93,6 +93,16 @@ def test_sliced_run_equals_the_whole_one_and_stores_its_steps_by_slice(spark, pa
         once.release()
 
 
+def test_safety_stock_is_stored_before_the_ledger(spark, params, monkeypatch):
+    stored = []
+    monkeypatch.setattr(LedgerRun, "_store", lambda self, df, name, *mode: stored.append(name) or df)
+    monkeypatch.setattr(LedgerRun, "_drop", lambda self, *names: None)
+    for view in ("v6", "_v7_rows"):
+        stored.clear()
+        getattr(LedgerRun(make_tables(spark), params, materialize="table"), view)
+        assert stored.index("safety_stock") < stored.index("demand_rows"), view
+
+
 def test_a_run_is_sliced_by_the_size_of_its_stored_demand(spark, params, tmp_path, monkeypatch):
     t = make_tables(spark, **rows())
     assert LedgerRun(t, params, materialize="table").slices == 1  # rows whose size Spark does not know
