@@ -44,6 +44,21 @@ def test_demand_is_dealt_out_once_for_its_choice_and_the_fg_join(spark, params):
     assert not [line for line in plan[at:choice] if "Exchange" in line or "+- Sort [" in line or ":- Sort [" in line]
 
 
+def test_no_exchange_of_the_core_ledger_carries_a_row_for_each_fg(spark, params):
+    t = tables(spark)
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    was = spark.conf.get(name)
+    spark.conf.set(name, "-1")
+    try:
+        core = demand.core_ledger(demand.filter_demand(t["planning"], params), t["fg_orders"], t["vendor_items"], params)
+        plan = core._jdf.queryExecution().executedPlan().toString().splitlines()
+    finally:
+        spark.conf.set(name, was)
+    fg = next(i for i, line in enumerate(plan) if "SortMergeJoin [CleanOrder" in line)
+    assert fg < next(i for i, line in enumerate(plan) if "Exchange" in line)
+    assert next(i for i, line in enumerate(plan) if "SortMergeJoin [upper(rtrim(ITEMNMBR" in line) > fg
+
+
 def test_view_4_stores_only_the_columns_it_needs(spark, params):
     run = LedgerRun(tables(spark), params, materialize=None)
     stored = {}
