@@ -69,3 +69,16 @@ def test_view_4_stores_only_the_columns_it_needs(spark, params):
     v4 = overlay.extended_ledger(run.v2_full, run.v3, params, cut)
     assert v4.columns == overlay.V4_COLUMNS
     assert set(stored["covered_ledger"]) == set(overlay.V4_COLUMNS) - {"Ledger_Extended_Balance", "WFQ_Extended_Status"} | {"Seq"}
+
+
+def test_issues_are_exchanged_once_for_open_orders_and_ranks(spark, params):
+    t = tables(spark)
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    was = spark.conf.get(name)
+    spark.conf.set(name, "-1")
+    try:
+        ranked = demand.rank_issues(demand.issue_metrics(demand.open_mo_issues(t["mo_issues"], t["mo_status"], params)), params)
+        plan = ranked._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set(name, was)
+    assert "SortMergeJoin" in plan and plan.count("Exchange hashpartitioning") == 2  # issues and order states

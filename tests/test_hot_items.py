@@ -87,3 +87,16 @@ def test_view_4_comes_from_view_1_in_one_exchange_by_item(spark, params):
             spine, least = [*spine, line], at
     assert sum("Exchange" in line for line in spine) == 1
     assert sum("Sort [" in line for line in spine) == 2  # the ledger's order, and the groups of the re-attach
+
+
+def test_reports_store_the_columns_that_they_read(spark, params):
+    run, plain = LedgerRun(tables(spark), params, materialize="table", split="hot"), LedgerRun(tables(spark), params, materialize=None)
+    try:
+        run.deficits
+        path = spark._jvm.org.apache.hadoop.fs.Path(run._scratch)
+        stored = {f.getPath().getName() for f in path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)}
+        assert stored == {"demand_ledger_full", "quarantine_pipe", "decision_ledger", "deficit_rows"}
+        a, b = run.decisions, plain.v4.select(views.DECISION_COLUMNS)
+        assert a.columns == b.columns and a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
+    finally:
+        run.release()
